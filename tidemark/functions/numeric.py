@@ -79,3 +79,13 @@ def profit_factor(value) -> Column:
     gain = F.coalesce(F.sum(F.when(value > 0, value)), F.lit(0.0))
     loss = F.abs(F.sum(F.when(value < 0, value)))
     return F.when(loss > 0, rnd(gain / loss, 8))
+
+
+def mean(value, digits: int = 8) -> Column:
+    """Average of values that carry ``digits`` decimals, summed exactly.
+
+    A decimal sum does not depend on the order partitions arrive in, so a rerun
+    gives the same bits.
+    """
+    exact = col(value).cast(f"decimal(28,{digits})")
+    return F.sum(exact).cast("double") / F.count(exact)

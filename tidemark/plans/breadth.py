@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import balance, clamp, rnd
+from tidemark.functions.numeric import balance, clamp, mean, rnd
 from tidemark.operators.windows import prior, series
 
 
@@ -115,8 +115,8 @@ def sector_inputs(bars: DataFrame, index_features: DataFrame) -> DataFrame:
         "trading_date", F.col("return_20d").alias("index_return_20d"), F.col("return_60d").alias("index_return_60d")
     ).dropna()
     daily = bars.filter("ema200 is not null").groupBy("trading_date", "sector_code").agg(
-        F.avg("return_20d").alias("sector_return_20d"),
-        F.avg("return_60d").alias("sector_return_60d"),
+        mean("return_20d").alias("sector_return_20d"),
+        mean("return_60d").alias("sector_return_60d"),
         *_direction_aggregates(),
     )
     return daily.join(index, "trading_date")

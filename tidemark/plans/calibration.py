@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import at_least, profit_factor, reasons, rnd
+from tidemark.functions.numeric import at_least, mean, profit_factor, reasons, rnd
 from tidemark.operators.ordering import medians
 from tidemark.session import Workspace
 
@@ -125,9 +125,9 @@ def backtest_summary(rows: DataFrame, ws: Workspace, point_in_time_ready: bool =
         label("TARGET").alias("target_trades"), label("STOP").alias("stop_trades"), label("EXPIRED").alias("expired_trades"),
         F.count_if(r > 0).alias("positive_r_trades"), F.count_if(r < 0).alias("negative_r_trades"),
         F.count_if(r == 0).alias("flat_r_trades"),
-        rnd(F.avg(r), 8).alias("average_r"),
-        rnd(F.avg(F.when(mature, F.col("mfe_r"))), 8).alias("average_mfe_r"),
-        rnd(F.avg(F.when(mature, F.col("mae_r"))), 8).alias("average_mae_r"),
+        rnd(mean(r), 8).alias("average_r"),
+        rnd(mean(F.when(mature, F.col("mfe_r"))), 8).alias("average_mfe_r"),
+        rnd(mean(F.when(mature, F.col("mae_r"))), 8).alias("average_mae_r"),
         profit_factor(r).alias("profit_factor"),
     )
 
@@ -163,6 +163,6 @@ def sector_summary(rows: DataFrame) -> DataFrame:
     mature = F.col("sample_status") == "MATURE_TRADE"
     return rows.groupBy("sector_code").agg(
         F.count_if(mature).alias("mature_trades"),
-        rnd(F.avg(F.when(mature, F.col("realized_r"))), 8).alias("average_r"),
-        rnd(F.avg(F.when(mature, F.col("target_hit").cast("double"))), 8).alias("target_rate"),
+        rnd(mean(F.when(mature, F.col("realized_r"))), 8).alias("average_r"),
+        rnd(mean(F.when(mature, F.col("target_hit").cast("double"))), 8).alias("target_rate"),
     ).filter("mature_trades > 0")

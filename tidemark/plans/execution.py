@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import col, ladder, profit_factor, reasons, rnd
+from tidemark.functions.numeric import col, ladder, mean, profit_factor, reasons, rnd
 from tidemark.operators.joins import points_in_ranges
 from tidemark.operators.ordering import medians
 from tidemark.session import Workspace
@@ -179,20 +179,20 @@ def execution_summary(rows: DataFrame, ws: Workspace) -> DataFrame:
     mature = F.col("sample_status") == "MATURE_TRADE"
     usable = mature & F.col("execution_metrics_available")
 
-    def mean(c: str, name: str) -> Column:
-        return rnd(F.avg(F.when(usable, F.col(c))), 8).alias(name)
+    def average(c: str, name: str) -> Column:
+        return rnd(mean(F.when(usable, F.col(c))), 8).alias(name)
 
     base = rows.agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_if(mature).alias("mature_trades"),
         F.count_if(usable).alias("execution_metrics_available"),
         F.count_if("strict_calibration_eligible").alias("strict_eligible"),
         *[F.count_if(mature & (F.col("outcome_label") == n)).alias(f"{n.lower()}_trades") for n in ("TARGET", "STOP", "EXPIRED")],
-        mean("raw_realized_r", "raw_average_r"), mean("gross_modeled_r", "gross_average_r"),
-        mean("net_realized_r", "net_average_r"),
+        average("raw_realized_r", "raw_average_r"), average("gross_modeled_r", "gross_average_r"),
+        average("net_realized_r", "net_average_r"),
         profit_factor(F.when(usable, F.col("raw_realized_r"))).alias("raw_profit_factor"),
         profit_factor(F.when(usable, F.col("net_realized_r"))).alias("net_profit_factor"),
-        mean("slippage_drag_r", "average_slippage_drag_r"), mean("fee_drag_r", "average_fee_drag_r"),
-        mean("total_cost_drag_r", "average_total_drag_r"),
+        average("slippage_drag_r", "average_slippage_drag_r"), average("fee_drag_r", "average_fee_drag_r"),
+        average("total_cost_drag_r", "average_total_drag_r"),
     )
     middle = medians(rows.filter(usable).select(F.lit(1).alias("_one"), "raw_realized_r", "net_realized_r"),
                      ws, ["_one"], ["raw_realized_r", "net_realized_r"])
@@ -247,10 +247,10 @@ def sensitivity_rows(execution: DataFrame) -> DataFrame:
 
 def scenario_summary(rows: DataFrame, ws: Workspace) -> DataFrame:
     base = rows.groupBy("scenario").agg(
-        F.count(F.lit(1)).alias("trades"), rnd(F.avg("net_r"), 8).alias("average_r"),
+        F.count(F.lit(1)).alias("trades"), rnd(mean("net_r"), 8).alias("average_r"),
         profit_factor("net_r").alias("profit_factor"), F.count_if(F.col("net_r") > 0).alias("positive_trades"),
         rnd(F.count_if(F.col("net_r") > 0) / F.count(F.lit(1)), 8).alias("positive_rate"),
-        rnd(F.avg("total_drag_r"), 8).alias("average_drag_r"),
+        rnd(mean("total_drag_r"), 8).alias("average_drag_r"),
     )
     return base.join(medians(rows, ws, ["scenario"], ["net_r"]), "scenario", "left").withColumnRenamed(
         "median_net_r", "median_r")
@@ -259,8 +259,8 @@ def scenario_summary(rows: DataFrame, ws: Workspace) -> DataFrame:
 def group_summary(rows: DataFrame, scenario: str, bucket: str) -> DataFrame:
     """One scenario by a bucket column, most trades first."""
     return rows.filter(F.col("scenario") == scenario).groupBy(F.col(bucket).cast("string").alias(bucket)).agg(
-        F.count(F.lit(1)).alias("trades"), rnd(F.avg("raw_realized_r"), 8).alias("raw_avg_r"),
-        rnd(F.avg("net_r"), 8).alias("net_avg_r"), rnd(F.avg("total_drag_r"), 8).alias("avg_drag_r"),
+        F.count(F.lit(1)).alias("trades"), rnd(mean("raw_realized_r"), 8).alias("raw_avg_r"),
+        rnd(mean("net_r"), 8).alias("net_avg_r"), rnd(mean("total_drag_r"), 8).alias("avg_drag_r"),
         profit_factor("net_r").alias("net_profit_factor"),
         rnd(F.count_if(F.col("net_r") > 0) / F.count(F.lit(1)), 8).alias("positive_rate"),
     ).orderBy(F.col("trades").desc(), F.col(bucket))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import balance, clamp, rnd
+from tidemark.functions.numeric import balance, clamp, mean, rnd
 from tidemark.operators.joins import asof_backward
 from tidemark.operators.windows import series
 
@@ -104,8 +104,8 @@ def sector_ownership_inputs(trends: DataFrame, instruments: DataFrame,
         F.count_if("corporate_action_risk").alias("corporate_action_risk_count"),
         F.count_if("snapshot_gap_flag").alias("snapshot_gap_count"),
         F.count_if(F.abs(delta) >= extreme).alias("extreme_move_count"),
-        F.avg(delta).alias("avg_delta_foreign_ownership_pp"),
-        F.avg(F.when(clean, clipped)).alias("avg_clean_clipped_delta_pp"),
+        mean(delta).alias("avg_delta_foreign_ownership_pp"),
+        mean(F.when(clean, clipped)).alias("avg_clean_clipped_delta_pp"),
     )
     return grouped.join(sizes, "sector_code")
 
