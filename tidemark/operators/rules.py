@@ -68,11 +68,12 @@ def lookup(df: DataFrame, rules: DataFrame, rule_type: str, keys: list[str], dat
     fields = [c.strip().split()[0] for c in RULE_SCHEMA.split(",")]
     if wanted.limit(INLINE_RULES + 1).count() <= INLINE_RULES:
         packed = wanted.agg(F.collect_list(F.struct(*fields)).alias("_rules")).scalar()
-        out = df.withColumn("_found", F.filter(packed, lambda r: applies(r, when, at, of)))
+        out = df.withColumn("_rules", packed)
+        out = out.withColumn("_found", F.filter("_rules", lambda r: applies(r, when, at, of)))
         out = out.withColumn("_newest", F.array_max(F.transform("_found", lambda r: r["effective_from"])))
         out = out.withColumn("_top", F.filter("_found", lambda r: r["effective_from"] == F.col("_newest")))
         return out.withColumns({v: F.get("_top", F.lit(0))[v] for v in values}).withColumn(
-            "rule_conflict", F.size("_top") > 1).drop("_found", "_newest", "_top")
+            "rule_conflict", F.size("_top") > 1).drop("_rules", "_found", "_newest", "_top")
     salts = 64
     spread = df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
     copies = wanted.select(F.struct(*fields).alias("_r"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))

@@ -15,7 +15,6 @@ CATEGORIES = ["IS", "CP", "PF", "IB", "ID", "MF", "SC", "FD", "OT"]
 HEADER = ["Date", "Code", "Type", "Sec. Num", "Price", *[f"Local {c}" for c in CATEGORIES], "Total",
           *[f"Foreign {c}" for c in CATEGORIES], "Total"]
 LINES = "archive string, member string, line_no int, line string, problem string"
-WHOLE = r"^[+-]?\d+$"
 
 
 def _decode(raw: bytes) -> str:
@@ -65,36 +64,37 @@ def check_headers(lines: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, equity_only: bool = True) -> DataFrame:
     """Typed rows below the header with the list of errors; an empty list is a good row."""
-    rows = lines.filter("line_no > 1 and line is not null and trim(line) <> ''").withColumn("_c", F.split("line", r"\|", -1))
+    rows = lines.filter("line_no > 1 and line is not null and trim(line) <> ''").withColumn(
+        "_c", F.transform(F.split("line", r"\|", -1), lambda c: F.trim(c)))
     if equity_only:
-        rows = rows.filter((F.size("_c") < 3) | (F.upper(F.trim(F.get("_c", F.lit(2)))) == "EQUITY"))
+        rows = rows.filter((F.size("_c") < 3) | (F.upper(F.get("_c", F.lit(2))) == "EQUITY"))
 
     def cell(i: int) -> Column:
-        return F.trim(F.get("_c", F.lit(i)))
+        return F.get("_c", F.lit(i))
 
-    def whole(i: int) -> Column:
-        return F.when(F.regexp_like(cell(i), F.lit(WHOLE)), cell(i).try_cast("long"))
+    def block(start: int) -> Column:
+        """The nine category cells of one side."""
+        return F.transform(F.slice("_c", start + 1, len(CATEGORIES)), lambda c: c.try_cast("long"))
 
-    numbers = {"security_number": 3, **{f"local_{c.lower()}": 5 + i for i, c in enumerate(CATEGORIES)}, "local_total": 14,
-               **{f"foreign_{c.lower()}": 15 + i for i, c in enumerate(CATEGORIES)}, "foreign_total": 24}
+    wide = F.size("_c") == len(HEADER)
     day = F.when(F.regexp_like(cell(0), F.lit(r"^\d{1,2}-[A-Za-z]{3}-\d{4}$")), F.to_date(F.try_to_timestamp(cell(0), F.lit("d-MMM-yyyy"))))
     typed = rows.select(
-        "archive", "member", "line_no", F.size("_c").alias("_columns"), day.alias("as_of_date"), F.upper(cell(1)).alias("code"),
-        F.upper(cell(2)).alias("security_type"), cell(4).try_cast("double").alias("price"),
-        *[whole(i).alias(n) for n, i in numbers.items()])
-    readable = (
-        (F.col("_columns") == len(HEADER)) & F.col("as_of_date").isNotNull() & F.col("price").isNotNull())
-    for n in numbers:
-        readable = readable & F.col(n).isNotNull()
-    typed = typed.withColumn("_readable", readable)
+        "archive", "member", "line_no", wide.alias("_wide"), day.alias("as_of_date"), F.upper(cell(1)).alias("code"),
+        F.upper(cell(2)).alias("security_type"), cell(3).try_cast("long").alias("security_number"), cell(4).try_cast("double").alias("price"),
+        F.when(wide, block(5)).alias("local"), cell(14).try_cast("long").alias("local_total"),
+        F.when(wide, block(15)).alias("foreign"), cell(24).try_cast("long").alias("foreign_total"))
+    readable = F.col("_wide") & ~F.exists("local", lambda v: v.isNull()) & ~F.exists("foreign", lambda v: v.isNull())
+    for c in ("as_of_date", "security_number", "price", "local_total", "foreign_total"):
+        readable = readable & F.col(c).isNotNull()
+    typed = typed.withColumn("_readable", F.coalesce(readable, F.lit(False)))
     first = typed.filter("_readable").groupBy("archive").agg(F.min_by("as_of_date", "line_no").alias("_date"))
     typed = typed.join(first, "archive", "left").withColumns(percentages())
-    mixed = F.col("_readable") & (F.col("as_of_date") != F.col("_date"))
-    unreadable = F.when(F.col("_columns") != len(HEADER), "Unexpected column count.").otherwise("Unreadable field.")
+    mixed = F.col("as_of_date") != F.col("_date")
     errors = (
-        F.when(~F.col("_readable"), F.array(unreadable))
+        F.when(~F.col("_wide"), F.array(F.lit("Unexpected column count.")))
+        .when(~F.col("_readable"), F.array(F.lit("Unreadable field.")))
         .when(mixed, F.array(F.lit("Mixed snapshot dates in archive."))).otherwise(record_errors()))
-    return typed.withColumn("errors", errors).drop("_columns", "_readable", "_date")
+    return typed.withColumn("errors", errors).drop("_wide", "_readable", "_date")
 
 
 def percentages() -> dict[str, Column]:
@@ -111,29 +111,28 @@ def percentages() -> dict[str, Column]:
 
 
 def record_errors() -> Column:
-    def parts(side: str) -> list[str]:
-        return [f"{side}_{c.lower()}" for c in CATEGORIES]
+    names = F.array(*[F.lit(c) for c in CATEGORIES])
+
+    def negatives(side: str, label: str) -> Column:
+        return F.array_compact(F.transform(side, lambda v, i: F.when(
+            v < 0, F.concat(F.lit(f"{label} "), F.get(names, i), F.lit(" cannot be negative.")))))
 
     def total(side: str) -> Column:
-        out = F.lit(0)
-        for c in parts(side):
-            out = out + F.col(c)
-        return out
+        return F.aggregate(side, F.lit(0).cast("long"), lambda a, v: a + v)
 
-    checks = [
+    head = reasons(
         ("Empty security code.", F.col("code") == ""),
         ("Security number must be greater than zero.", F.col("security_number") <= 0),
-        ("Price cannot be negative.", F.col("price") < 0)]
-    for side, label in (("local", "Local"), ("foreign", "Foreign")):
-        checks += [(f"{label} {c} cannot be negative.", F.col(f"{side}_{c.lower()}") < 0) for c in CATEGORIES]
-    checks += [("Local total cannot be negative.", F.col("local_total") < 0),
-               ("Foreign total cannot be negative.", F.col("foreign_total") < 0),
-               ("Local category sum does not match Local Total.", total("local") != F.col("local_total")),
-               ("Foreign category sum does not match Foreign Total.", total("foreign") != F.col("foreign_total")),
-               ("Local + foreign holdings exceed total securities.", F.col("scripless_total") > F.col("security_number"))]
-    checks += [(f"{c} outside 0-100.", ~F.col(c).between(0.0, 100.0001))
-               for c in ("local_ownership_pct", "foreign_ownership_pct", "scripless_pct")]
-    return reasons(*checks)
+        ("Price cannot be negative.", F.col("price") < 0))
+    tail = reasons(
+        ("Local total cannot be negative.", F.col("local_total") < 0),
+        ("Foreign total cannot be negative.", F.col("foreign_total") < 0),
+        ("Local category sum does not match Local Total.", total("local") != F.col("local_total")),
+        ("Foreign category sum does not match Foreign Total.", total("foreign") != F.col("foreign_total")),
+        ("Local + foreign holdings exceed total securities.", F.col("scripless_total") > F.col("security_number")),
+        *[(f"{c} outside 0-100.", ~F.col(c).between(0.0, 100.0001))
+          for c in ("local_ownership_pct", "foreign_ownership_pct", "scripless_pct")])
+    return F.concat(head, negatives("local", "Local"), negatives("foreign", "Foreign"), tail)
 
 
 def archive_identity(rows: DataFrame) -> DataFrame:
@@ -166,7 +165,7 @@ def snapshot_rows(rows: DataFrame, instruments: DataFrame) -> tuple[DataFrame, D
     known = instruments.select(F.col("symbol").alias("code"), "instrument_id")
 
     def side(name: str) -> Column:
-        return F.struct(*[F.col(f"{name}_{c.lower()}").alias(c) for c in CATEGORIES], F.col(f"{name}_total").alias("total"))
+        return F.struct(*[F.get(name, F.lit(i)).alias(c) for i, c in enumerate(CATEGORIES)], F.col(f"{name}_total").alias("total"))
 
     details = F.struct(
         F.col("archive").alias("archive_name"), F.col("member").alias("member_name"), "security_type", "security_number", "price",
