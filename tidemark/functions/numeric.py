@@ -89,3 +89,9 @@ def mean(value, digits: int = 8) -> Column:
     """
     exact = col(value).cast(f"decimal(28,{digits})")
     return F.sum(exact).cast("double") / F.count(exact)
+
+
+def written_as(text: Column, names: dict[str, list[str]]) -> Column:
+    """Code whose list of spellings holds the text, NULL for none; one map lookup."""
+    pairs = [F.lit(x) for code, spellings in names.items() for name in spellings for x in (name, code)]
+    return F.try_element_at(F.create_map(*pairs), text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import rnd
+from tidemark.functions.numeric import rnd, written_as
 
 # Board names as they are written, by board.
 BOARD_NAMES = {
@@ -104,10 +104,7 @@ def current_lifecycle(snapshot: DataFrame, source: str) -> DataFrame:
 def board_code(raw: str) -> Column:
     """Board of a written name, whatever its case, spacing, dashes or underscores."""
     clean = F.trim(F.regexp_replace(F.translate(F.lower(F.trim(raw)), "_-", "  "), r"\s+", " "))
-    out = None
-    for code, names in BOARD_NAMES.items():
-        out = F.when(clean.isin(names), code) if out is None else out.when(clean.isin(names), code)
-    return out.otherwise("UNKNOWN")
+    return F.coalesce(written_as(clean, BOARD_NAMES), F.lit("UNKNOWN"))
 
 
 def board_group(code: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import event_symbol, provider_date
-from tidemark.functions.numeric import reasons
+from tidemark.functions.numeric import reasons, written_as
 from tidemark.operators.keyed import last_per_key, merge_keep_known
 
 # Sector names as written, by sector code.
@@ -34,10 +34,7 @@ SYMBOL_SHAPE = "^[A-Z0-9]{1,12}$"
 
 def sector_code(name: Column) -> Column:
     clean = F.trim(F.regexp_replace(F.lower(F.trim(name)), r"\s+", " "))
-    out = None
-    for code, names in SECTOR_NAMES.items():
-        out = F.when(clean.isin(names), code) if out is None else out.when(clean.isin(names), code)
-    return out
+    return written_as(clean, SECTOR_NAMES)
 
 
 def normalize_profiles(rows: DataFrame, body: str = "body") -> DataFrame:
@@ -51,7 +48,8 @@ def normalize_profiles(rows: DataFrame, body: str = "body") -> DataFrame:
     lowered = rows.withColumn("_m", entries)
 
     def pick(field: str) -> Column:
-        return F.coalesce(*[F.nullif(F.element_at("_m", k), F.lit("")) for k in PROFILE_KEYS[field]])
+        values = F.transform(F.array(*[F.lit(k) for k in PROFILE_KEYS[field]]), lambda k: F.try_element_at("_m", k))
+        return F.get(F.filter(values, lambda v: v != ""), F.lit(0))
 
     return lowered.select(
         *kept, event_symbol(pick("symbol")).alias("symbol"), F.trim(pick("name")).alias("name"),
