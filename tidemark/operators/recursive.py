@@ -19,29 +19,29 @@ CHUNK_ROWS = 4020
 
 @dataclass(frozen=True)
 class Smoother:
-    """Output column, input column, decay and minimum number of inputs."""
+    """Output column, input column, decay, minimum number of inputs, and how many
+    leading rows of a series have no input (a first difference has one)."""
 
     output: str
     source: str
     alpha: float
     minimum: int
+    lead: int = 0
 
 
 def span(output: str, source: str, periods: int) -> Smoother:
     return Smoother(output, source, 2.0 / (periods + 1.0), periods)
 
 
-def wilder(output: str, source: str, periods: int = 14) -> Smoother:
-    return Smoother(output, source, 1.0 / periods, periods)
+def wilder(output: str, source: str, periods: int = 14, lead: int = 0) -> Smoother:
+    return Smoother(output, source, 1.0 / periods, periods, lead)
 
 
 def smooth(df: DataFrame, smoothers: list[Smoother], keys: list[str], order: str, position: str,
            chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add one column per smoother.
+    """Add one column per smoother; ``position`` is the 1-based row number in the series.
 
-    ``position`` is the 1-based row number in the series. A source column may
-    be NULL on the leading rows only (a first difference is); the filter starts
-    at its first value.
+    Both windows read the rows in (key, chunk, time) order, so one sort serves them.
     """
     chunk = F.floor((F.col(position) - 1) / F.lit(chunk_rows)).cast("long")
     offset = F.pmod(F.col(position) - 1, F.lit(chunk_rows)).cast("double")
@@ -50,16 +50,12 @@ def smooth(df: DataFrame, smoothers: list[Smoother], keys: list[str], order: str
         Window.partitionBy(*keys, "_chunk").orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    whole = Window.partitionBy(*keys).orderBy(order)
-    so_far = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_chunk", order).rowsBetween(Window.unboundedPreceding, -1)
 
-    sources = sorted({s.source for s in smoothers})
-    df = df.withColumns({f"_n_{c}": F.count(c).over(so_far) for c in sources})
     local = {}
     for s in smoothers:
         keep = 1.0 - s.alpha
-        weight = F.when(F.col(f"_n_{s.source}") == 1, F.lit(1.0)).otherwise(F.lit(s.alpha))
+        weight = F.when(F.col(position) == s.lead + 1, F.lit(1.0)).otherwise(F.lit(s.alpha))
         term = weight * F.col(s.source) * F.pow(F.lit(keep), -F.col("_off"))
         local[f"_l_{s.output}"] = F.pow(F.lit(keep), F.col("_off")) * F.sum(term).over(running)
     df = df.withColumns(local)
@@ -70,7 +66,6 @@ def smooth(df: DataFrame, smoothers: list[Smoother], keys: list[str], order: str
             F.when(F.col("_off") == chunk_rows - 1, F.col(f"_l_{s.output}")), ignorenulls=True
         ).over(before)
         carried = F.coalesce(F.pow(F.lit(keep), F.col("_off") + 1.0) * tail, F.lit(0.0))
-        ready = F.col(f"_n_{s.source}") >= s.minimum
+        ready = F.col(position) >= s.minimum + s.lead
         final[s.output] = F.when(ready, F.col(f"_l_{s.output}") + carried)
-    df = df.withColumns(final)
-    return df.drop("_chunk", "_off", *[f"_n_{c}" for c in sources], *local)
+    return df.withColumns(final).drop("_chunk", "_off", *local)

@@ -64,7 +64,7 @@ def technical_features(bars: DataFrame, with_volume: bool = True) -> DataFrame:
         [
             span("ema20", "close", 20), span("ema50", "close", 50),
             span("ema100", "close", 100), span("ema200", "close", 200),
-            wilder("_avg_gain", "_gain"), wilder("_avg_loss", "_loss"), wilder("atr14", "_range"),
+            wilder("_avg_gain", "_gain", lead=1), wilder("_avg_loss", "_loss", lead=1), wilder("atr14", "_range"),
         ],
         ["instrument_id"], "trading_date", "_pos",
     )

@@ -208,6 +208,15 @@ def screener_warnings() -> Column:
 
 
 def ranked(rows: DataFrame, ws: Workspace) -> DataFrame:
-    """Rank in the date and in the date's sector: best overall, then technical, then symbol."""
+    """Rank in the date and in the date's sector: best overall, then technical, then symbol.
+
+    The scored rows are written once; only the ordering columns are sorted, and
+    the ranks are joined back by key.
+    """
+    rows = ws.write(rows, "scored")
+    keys = ["instrument_id", "trading_date"]
     order = [F.col("overall_score").desc(), F.col("technical_score").desc(), F.col("symbol").asc()]
-    return positions(rows, ws, ["trading_date"], order, "universe_rank", {"sector_rank": ["sector_code"]})
+    placed = positions(
+        rows.select(*keys, "sector_code", "overall_score", "technical_score", "symbol"), ws,
+        ["trading_date"], order, "universe_rank", {"sector_rank": ["sector_code"]})
+    return rows.join(placed.select(*keys, "universe_rank", "sector_rank"), keys)
