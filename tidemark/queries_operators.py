@@ -76,13 +76,13 @@ _DAMAGE = {
     "overall_score": "CASE WHEN universe_rank % 10 = 0 THEN overall_score + 0.01 ELSE overall_score + 0.00001 END",
     "status": "CASE WHEN universe_rank % 17 = 0 THEN 'WAIT' ELSE status END"}
 register("screener_diff", lambda p: table_diff(
-    p.screened.filter("universe_rank % 13 <> 0"),
-    p.screened.filter("universe_rank % 11 <> 0").withColumns({c: F.expr(e) for c, e in _DAMAGE.items()}),
+    p.screened.filter("liquidity_score >= 10"),
+    p.screened.filter("risk_score >= 72").withColumns({c: F.expr(e) for c, e in _DAMAGE.items()}),
     KEY, ["status"], ["overall_score", "technical_score"]), f"""
-SELECT instrument_id, trading_date, CASE WHEN universe_rank % 11 = 0 THEN 'MISSING' WHEN universe_rank % 13 = 0 THEN 'UNEXPECTED' ELSE 'MISMATCH' END AS issue,
-  CASE WHEN universe_rank % 11 = 0 OR universe_rank % 13 = 0 THEN NULL ELSE concat_ws(',', CASE WHEN s2 <> status THEN 'status' END, CASE WHEN o2 - overall_score > 0.001 THEN 'overall_score' END) END AS fields
+SELECT instrument_id, trading_date, CASE WHEN risk_score < 72 THEN 'MISSING' WHEN liquidity_score < 10 THEN 'UNEXPECTED' ELSE 'MISMATCH' END AS issue,
+  CASE WHEN risk_score < 72 OR liquidity_score < 10 THEN NULL ELSE concat_ws(',', CASE WHEN s2 <> status THEN 'status' END, CASE WHEN o2 - overall_score > 0.001 THEN 'overall_score' END) END AS fields
 FROM (SELECT *, {_DAMAGE["overall_score"]} AS o2, {_DAMAGE["status"]} AS s2 FROM screened)
-WHERE NOT (universe_rank % 11 = 0 AND universe_rank % 13 = 0) AND (universe_rank % 11 = 0 OR universe_rank % 13 = 0 OR s2 <> status OR o2 - overall_score > 0.001)""")
+WHERE NOT (risk_score < 72 AND liquidity_score < 10) AND (risk_score < 72 OR liquidity_score < 10 OR s2 <> status OR o2 - overall_score > 0.001)""")
 register("calendar_gaps", lambda p: quality.orphans(p.raw_bars, p.index_bars, ["trading_date"]), """
 SELECT count(*) AS orphan_rows FROM bars_walk WHERE trading_date NOT IN (SELECT trading_date FROM index_bars)""")
 register("orphan_features", lambda p: quality.orphans(p.features, p.bars.filter("volume > 3"), KEY), "SELECT count(*) AS orphan_rows FROM bars WHERE NOT volume > 3")
@@ -109,9 +109,9 @@ register("integrated_signature", lambda p: quality.signature(p.integrated, "trad
 SELECT trading_date, string_agg(DISTINCT sector_code || ':' || ownership_as_of_date, ',' ORDER BY sector_code || ':' || ownership_as_of_date) AS signature
 FROM integrated WHERE trading_date = (SELECT max(trading_date) FROM integrated) GROUP BY 1""")
 register("latest_model", lambda p: quality.latest_model(p.screened.withColumn(
-    "model_version", F.when(F.col("universe_rank") % 2 == 0, F.col("model_version")).otherwise("stock_screener_v0_current_19990101")).filter(
+    "model_version", F.when(F.col("status") == "AVOID", F.col("model_version")).otherwise("stock_screener_v0_current_19990101")).filter(
     "model_version not like '%v0%' or trading_date < '2001-01-01'"), "stock_screener", "trading_date"), """
-SELECT model_version, max(trading_date) AS latest_date, count(*) AS rows FROM screened WHERE universe_rank % 2 = 0 GROUP BY 1""")
+SELECT model_version, max(trading_date) AS latest_date, count(*) AS rows FROM screened WHERE status = 'AVOID' GROUP BY 1""")
 register("status_distribution", lambda p: quality.distribution(p.screened, "status"), "SELECT status, count(*) AS rows FROM screened GROUP BY 1")
 register("outcome_distribution", lambda p: quality.distribution(p.outcomes, "outcome_label", "entry_filled"),
          "SELECT outcome_label, entry_filled, count(*) AS rows FROM outcomes GROUP BY 1, 2")
@@ -203,11 +203,11 @@ register("price_upsert", lambda p: keyed.upsert(
 SELECT instrument_id, trading_date, CASE WHEN volume > 20 THEN close * 2 ELSE close END AS close FROM bars WHERE volume < 40 OR volume > 20""")
 register("instrument_merge", lambda p: keyed.merge_keep_known(
     p.instruments.select("symbol", "sector_code", F.create_map(F.lit("a"), F.lit("old"), F.lit("b"), F.lit("old")).alias("metadata")),
-    p.instruments.filter("instrument_id % 3 = 0").select(
-        "symbol", F.when(F.col("instrument_id") % 2 == 0, "NEW").alias("sector_code"), F.create_map(F.lit("b"), F.lit("new"), F.lit("c"), F.lit("new")).alias("metadata")),
+    p.instruments.filter("sector_code <> 'ASIA'").select(
+        "symbol", F.when(F.col("sector_code") == "EUROPE", "NEW").alias("sector_code"), F.create_map(F.lit("b"), F.lit("new"), F.lit("c"), F.lit("new")).alias("metadata")),
     ["symbol"], ["metadata"]).select("symbol", "sector_code", *[F.element_at("metadata", k).alias(f"meta_{k}") for k in "abc"]), """
-SELECT symbol, CASE WHEN instrument_id % 6 = 0 THEN 'NEW' ELSE sector_code END AS sector_code, 'old' AS meta_a, CASE WHEN instrument_id % 3 = 0 THEN 'new' ELSE 'old' END AS meta_b,
-  CASE WHEN instrument_id % 3 = 0 THEN 'new' END AS meta_c FROM instruments""")
+SELECT symbol, CASE WHEN sector_code = 'EUROPE' THEN 'NEW' ELSE sector_code END AS sector_code, 'old' AS meta_a, CASE WHEN sector_code <> 'ASIA' THEN 'new' ELSE 'old' END AS meta_b,
+  CASE WHEN sector_code <> 'ASIA' THEN 'new' END AS meta_c FROM instruments""")
 
 
 def _availability(p, shift: int):
@@ -228,7 +228,7 @@ FROM (SELECT o_orderkey, (o_orderkey + o_custkey) % 3 AS a, (o_orderkey + o_cust
 
 def _probes(p):
     return p.source.table("events").select(
-        F.concat(F.lit("SRC"), F.col("user_id").cast("string")).alias("source_key"), F.col("ts").alias("probed_at"), "event_id",
+        F.concat(F.lit("SRC"), F.col("user_id").cast("string")).alias("source_key"), F.col("ts").alias("probed_at"), "event_id", "event_type",
         (F.col("value") > 5).alias("success"))
 
 
@@ -243,11 +243,11 @@ def _catalog(p):
         F.array(*[F.lit(f) for f in FAMILIES]), (F.col("user_id") % 3).cast("int")).alias("dataset_family"))
 
 
-register("source_readiness", lambda p: quality.readiness(_catalog(p), _probes(p).filter("success or event_id % 2 = 0"), FAMILIES), """
+register("source_readiness", lambda p: quality.readiness(_catalog(p), _probes(p).filter("success or event_type = 'error'"), FAMILIES), """
 SELECT *, lifecycle_reachable AND board_history_reachable AND corporate_action_reachable AS ready_for_parser_work FROM (
 SELECT count(*) AS source_total, count(ok) AS probes_present, count(*) FILTER (WHERE ok) AS successful_probes, coalesce(bool_or(ok AND user_id % 3 = 0), false) AS lifecycle_reachable,
   coalesce(bool_or(ok AND user_id % 3 = 1), false) AS board_history_reachable, coalesce(bool_or(ok AND user_id % 3 = 2), false) AS corporate_action_reachable
-FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN (SELECT user_id, value > 5 AS ok FROM events WHERE value > 5 OR event_id % 2 = 0
+FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN (SELECT user_id, value > 5 AS ok FROM events WHERE value > 5 OR event_type = 'error'
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) USING (user_id))""")
 register("source_families", lambda p: quality.distribution(_catalog(p), "dataset_family"), """
 SELECT ['LIFECYCLE', 'BOARD_HISTORY', 'CORPORATE_ACTION'][user_id % 3 + 1] AS dataset_family, count(DISTINCT user_id) AS rows FROM events GROUP BY 1""")
@@ -310,24 +310,24 @@ register("audit_scenario_coverage", lambda p: quality.scenario_coverage(
     p.sensitivity.filter("scenario <> 'STRESS_2T' or raw_risk_ticks > 8"), ["TICK_ONLY", "MIN_COST_ZERO_SLIPPAGE", "BASELINE_CONSERVATIVE", "STRESS_2T"]), """
 SELECT signal_id, count(*) AS rows, count(DISTINCT scenario) AS scenarios FROM sensitivity WHERE scenario <> 'STRESS_2T' OR raw_risk_ticks > 8 GROUP BY 1 HAVING count(*) <> 4""")
 register("technical_coverage", lambda p: quality.technical_coverage(
-    p.bars, p.features.filter("instrument_id % 7 <> 0 and (instrument_id % 5 <> 0 or trading_date < '2001-06-01')")), """
+    p.bars, p.features.filter("sector_code <> 'AFRICA' and (sector_code <> 'ASIA' or trading_date < '2001-06-01')")), """
 SELECT count(*) FILTER (WHERE n >= 15) AS eligible_instruments, count(*) FILTER (WHERE n >= 200) AS screen_eligible, count(*) FILTER (WHERE n < 15) AS insufficient_history,
   count(f) AS feature_instruments, count(*) FILTER (WHERE n >= 15 AND coalesce(f = n AND fl = l, false)) AS up_to_date, count(*) FILTER (WHERE n >= 15 AND NOT coalesce(f = n AND fl = l, false)) AS stale_or_missing
 FROM (SELECT instrument_id, count(*) AS n, max(trading_date) AS l FROM bars GROUP BY 1)
-LEFT JOIN (SELECT instrument_id, count(*) AS f, max(trading_date) AS fl FROM bars WHERE instrument_id % 7 <> 0 AND (instrument_id % 5 <> 0 OR trading_date < DATE '2001-06-01') GROUP BY 1) USING (instrument_id)""")
+LEFT JOIN (SELECT instrument_id, count(*) AS f, max(trading_date) AS fl FROM bars JOIN instruments USING (instrument_id) WHERE sector_code <> 'AFRICA' AND (sector_code <> 'ASIA' OR trading_date < DATE '2001-06-01') GROUP BY 1) USING (instrument_id)""")
 register("stale_instruments", lambda p: quality.bar_feature_coverage(
-    p.bars, p.features.filter("instrument_id % 5 <> 0 or trading_date < '2001-06-01'")).filter("not up_to_date").select("instrument_id", "price_rows", "feature_rows"), """
+    p.bars, p.features.filter("sector_code <> 'ASIA' or trading_date < '2001-06-01'")).filter("not up_to_date").select("instrument_id", "price_rows", "feature_rows"), """
 SELECT instrument_id, n AS price_rows, f AS feature_rows FROM (SELECT instrument_id, count(*) AS n, count(*) FILTER (WHERE trading_date < DATE '2001-06-01') AS f,
-  max(trading_date) AS l FROM bars WHERE instrument_id % 5 = 0 GROUP BY 1) WHERE l >= DATE '2001-06-01'""")
-register("reference_closes", lambda p: quality.reference_closes(p.index_bars, p.source.table("orders").filter("o_orderkey % 50 = 0").groupBy(
+  max(trading_date) AS l FROM bars JOIN instruments USING (instrument_id) WHERE sector_code = 'ASIA' GROUP BY 1) WHERE l >= DATE '2001-06-01'""")
+register("reference_closes", lambda p: quality.reference_closes(p.index_bars, p.source.table("orders").filter("o_orderpriority = '1-URGENT'").groupBy(
     F.to_date("o_orderdate").alias("trading_date")).agg(rnd(F.lit(1000.0) + F.min("o_custkey") % 7, 2).alias("official_close")), 3.0), """
 SELECT o.trading_date, official_close, close, CASE WHEN close IS NULL THEN 'MISSING' WHEN abs(close - official_close) <= 3.0 THEN 'PASS' ELSE 'FAIL' END AS verdict
-FROM (SELECT CAST(o_orderdate AS DATE) AS trading_date, (1000 + min(o_custkey) % 7)::DOUBLE AS official_close FROM orders WHERE o_orderkey % 50 = 0 GROUP BY 1) o
+FROM (SELECT CAST(o_orderdate AS DATE) AS trading_date, (1000 + min(o_custkey) % 7)::DOUBLE AS official_close FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) o
 LEFT JOIN index_bars b ON b.trading_date = o.trading_date""")
 register("instrument_summary", lambda p: p.instruments.agg(
-    F.count(F.lit(1)).alias("equities"), F.count_if(F.col("instrument_id") % 3 == 0).alias("active"), F.count_if(F.col("sector_code").isNull()).alias("missing_sector"),
+    F.count(F.lit(1)).alias("equities"), F.count_if(F.col("sector_code") != "ASIA").alias("active"), F.count_if(F.col("sector_code").isNull()).alias("missing_sector"),
     F.count_distinct("sector_code").alias("sectors")), """
-SELECT count(*) AS equities, count(*) FILTER (WHERE instrument_id % 3 = 0) AS active, count(*) FILTER (WHERE sector_code IS NULL) AS missing_sector, count(DISTINCT sector_code) AS sectors FROM instruments""")
+SELECT count(*) AS equities, count(*) FILTER (WHERE sector_code <> 'ASIA') AS active, count(*) FILTER (WHERE sector_code IS NULL) AS missing_sector, count(DISTINCT sector_code) AS sectors FROM instruments""")
 register("index_summary", lambda p: p.regimes.agg(
     F.count(F.lit(1)).alias("rows"), F.min("trading_date").alias("first_date"), F.max("trading_date").alias("last_date"),
     F.max_by("regime", "trading_date").alias("latest_regime"), F.max_by("composite_score", "trading_date").alias("latest_score")), """

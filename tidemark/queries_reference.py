@@ -85,13 +85,13 @@ register("interval_overlaps", lambda p: _listed_spans(p).transform(
     lambda d: overlapping(d, ["symbol"], "valid_from", "valid_to", "valid_from")).select("symbol").distinct(), """
 SELECT DISTINCT a.symbol FROM listed_spans a JOIN listed_spans b ON a.symbol = b.symbol AND a.valid_from < b.valid_from
   AND b.valid_from <= a.valid_to AND a.valid_from <= b.valid_to""", {"listed_spans": f"""
-SELECT symbol, first_seen AS valid_from, CAST(first_seen + 58 + CAST(month % 5 AS INTEGER) AS DATE) AS valid_to FROM presence WHERE month % 2 = 0"""})
+SELECT symbol, first_seen AS valid_from, CAST(first_seen + 16 + CAST(month % 5 AS INTEGER) AS DATE) AS valid_to FROM presence"""})
 
 
 def _listed_spans(p):
-    # every second month's presence as a span that may reach into the next one
-    return _present(p).filter("month % 2 = 0").select(
-        "symbol", F.col("first_seen").alias("valid_from"), F.date_add("first_seen", (F.lit(58) + F.col("month") % 5).cast("int")).alias("valid_to"))
+    # each month's presence as a span that may reach into the next month's
+    return _present(p).select(
+        "symbol", F.col("first_seen").alias("valid_from"), F.date_add("first_seen", (F.lit(16) + F.col("month") % 5).cast("int")).alias("valid_to"))
 
 
 register("bounded_lifecycle_rows", lambda p: lifecycle.bounded_rows(_intervals(p), _events(p), _lit_date(END)), f"""
@@ -469,7 +469,7 @@ def _refreshed(p, part):
         profiles.normalize_profiles(feeds.profile_payloads(p.source)).withColumn(
             "symbol", F.when(F.col("instrument_id") % 10 == 9, F.concat(F.lit("T"), (F.col("instrument_id") - 1).cast("string"))).otherwise(F.col("symbol"))),
         _lit_date("1998-01-01"), "instrument_id")
-    stored = p.instruments.filter("instrument_id % 2 = 0").select(
+    stored = p.instruments.filter("sector_code <> 'ASIA'").select(
         F.concat(F.lit("T"), F.col("instrument_id").cast("string")).alias("symbol"), F.concat(F.lit("old "), "symbol").alias("name"),
         F.lit("IDXTRANS").alias("sector_code"), F.lit("1980-01-01").cast("date").alias("listed_date"), F.lit(True).alias("is_active"),
         F.create_map(F.lit("listing_board"), F.lit("old"), F.lit("origin"), F.lit("stored")).alias("metadata"))
@@ -485,7 +485,7 @@ register("universe_refresh", lambda p: _refreshed(p, 0).select(
 SELECT coalesce(n.symbol, o.symbol) AS symbol, coalesce(n.name, o.name) AS name, coalesce(n.sector_code, o.sector_code) AS sector_code,
   coalesce(n.listed_date, o.listed_date) AS listed_date, true AS is_active, coalesce(n.listing_board, 'old') AS listing_board, o.origin
 FROM refreshed_new n FULL JOIN (SELECT 'T' || s_suppkey AS symbol, 'old ' || s_name AS name, 'IDXTRANS' AS sector_code, DATE '1980-01-01' AS listed_date, 'stored' AS origin
-  FROM supplier WHERE s_suppkey % 2 = 0) o ON o.symbol = n.symbol""")
+  FROM supplier JOIN instruments ON instrument_id = s_suppkey WHERE instruments.sector_code <> 'ASIA') o ON o.symbol = n.symbol""")
 register("universe_snapshot", lambda p: _refreshed(p, 1),
          "SELECT symbol, name, sector_code, listing_board, listed_date, DATE '2001-11-04' AS snapshot_date, true AS is_member FROM refreshed_new")
 
@@ -518,16 +518,16 @@ SELECT *, CASE WHEN instrument_id % 16 = 0 THEN 'Unreadable field.' ELSE concat_
 FROM snapshots WHERE instrument_id % 9 <> 0"""
 register("holding_lines", lambda p: _holdings(p).select("archive", "line_no", "code", F.array_join("errors", "|").alias("errors")), """
 SELECT 'BalanceposEfek' || strftime(as_of_date, '%Y%m%d') || '.zip' AS archive, CAST(instrument_id + 2 AS INTEGER) AS line_no, 'C' || instrument_id AS code, errors FROM holdings""")
-register("holding_snapshots", lambda p: holdings.snapshot_rows(_holdings(p), p.instruments.filter("instrument_id % 4 <> 0").withColumn(
+register("holding_snapshots", lambda p: holdings.snapshot_rows(_holdings(p), p.instruments.filter("sector_code <> 'ASIA'").withColumn(
     "symbol", F.concat(F.lit("C"), F.col("instrument_id").cast("string"))))[0].select(
     "instrument_id", "as_of_date", "local_ownership_pct", "foreign_ownership_pct", "scripless_pct",
     F.col("holder_details.foreign.total").alias("foreign_total"), F.col("holder_details.local.IS").alias("local_is")), f"""
 SELECT instrument_id, as_of_date, {r("local_shares::DOUBLE / security_number * 100.0", 8)} AS local_ownership_pct, foreign_ownership_pct,
   {r("(local_shares + foreign_shares)::DOUBLE / security_number * 100.0", 8)} AS scripless_pct, foreign_shares AS foreign_total, local_shares - local_shares // 9 * 8 AS local_is
-FROM holdings WHERE errors = '' AND instrument_id % 4 <> 0""")
-register("holding_unmapped", lambda p: holdings.snapshot_rows(_holdings(p), p.instruments.filter("instrument_id % 4 <> 0").withColumn(
+FROM holdings JOIN instruments USING (instrument_id) WHERE errors = '' AND sector_code <> 'ASIA'""")
+register("holding_unmapped", lambda p: holdings.snapshot_rows(_holdings(p), p.instruments.filter("sector_code <> 'ASIA'").withColumn(
     "symbol", F.concat(F.lit("C"), F.col("instrument_id").cast("string"))))[1],
-    "SELECT DISTINCT 'C' || instrument_id AS code FROM holdings WHERE errors = '' AND instrument_id % 4 = 0")
+    "SELECT DISTINCT 'C' || instrument_id AS code FROM holdings JOIN instruments USING (instrument_id) WHERE errors = '' AND sector_code = 'ASIA'")
 register("archive_identity", lambda p: holdings.archive_identity(_holdings(p)), """
 SELECT 'BalanceposEfek' || strftime(as_of_date, '%Y%m%d') || '.zip' AS archive,
   'Balancepos' || strftime(CASE WHEN month(as_of_date) = 2 THEN as_of_date + 1 ELSE as_of_date END, '%Y%m%d') || '.txt' AS member, count(*) AS rows,

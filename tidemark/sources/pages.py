@@ -93,10 +93,11 @@ def page_references(pages: DataFrame, base: str = "url", html: str = "html") ->
     """One row per raw reference: link attributes, absolute addresses and quoted paths."""
     kept = [c for c in pages.columns if c != html]
     body = pages.withColumn("_m", markup(html))
-    tags = body.select(*kept, F.explode(F.regexp_extract_all("_m", F.lit(r"(?is)<[a-z][^>]*>"), F.lit(0))).alias("_tag"))
+    tags = body.select(*kept, F.explode(F.regexp_extract_all("_m", F.lit(r"(?is)<[a-z][^>]*=[^>]*>"), F.lit(0))).alias("_tag"))
+    low = F.lower("_tag")
     name = F.lower(F.regexp_extract("_tag", r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
     found = [F.when(name == tag, attribute("_tag", attr)) for tag, attr in LINK_ATTRIBUTES.items()]
-    found += [attribute("_tag", attr) for attr in DATA_ATTRIBUTES]
+    found += [F.when(F.contains(low, F.lit(attr)), attribute("_tag", attr)) for attr in DATA_ATTRIBUTES]
     attrs = tags.select(*kept, F.explode(F.array_compact(F.array(*found))).alias("reference"))
     loose = pages.select(*kept, F.explode(F.concat(
         F.regexp_extract_all(html, F.lit(r"(?i)https?://[^\s\"'<>]+"), F.lit(0)),
