@@ -35,10 +35,21 @@ def seed_rules(spark: SparkSession) -> DataFrame:
                  None, None, None, None, 1.0, 1.0))
     rows.append(("AR_ACCEL_WATCH_GT_10_20250408", "AUTO_REJECTION", "ACCEL_WATCH", ar, 10.0, False, None, None,
                  None, None, 0.10, 0.10, None, None))
-    typed = RULE_SCHEMA.replace("effective_from date, effective_to date", "effective_from string")
-    columns = [c.strip().split()[0] for c in RULE_SCHEMA.split(",")]
-    return spark.createDataFrame(rows, typed).withColumns({
-        "effective_from": F.col("effective_from").cast("date"), "effective_to": F.lit(None).cast("date")}).select(*columns)
+    typed = [(*row[:4], None, *row[4:]) for row in rows]
+    return inline_table(spark, typed, RULE_SCHEMA)
+
+
+def inline_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as an inline SQL table, so the planner knows their exact size."""
+    fields = [f.strip().split() for f in schema.split(",")]
+
+    def literal(value, kind: str) -> str:
+        if value is None:
+            return f"CAST(NULL AS {kind})"
+        return f"CAST('{value}' AS {kind})" if isinstance(value, str) else f"CAST({value} AS {kind})"
+
+    listed = ", ".join("(" + ", ".join(literal(v, kind) for v, (_, kind) in zip(row, fields)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t({', '.join(name for name, _ in fields)})")
 
 
 def applies(rule, date: Column, price: Column | None, group: Column | None) -> Column:
@@ -70,10 +81,11 @@ def lookup(df: DataFrame, rules: DataFrame, rule_type: str, keys: list[str], dat
         packed = wanted.agg(F.collect_list(F.struct(*fields)).alias("_rules")).scalar()
         out = df.withColumn("_rules", packed)
         out = out.withColumn("_found", F.filter("_rules", lambda r: applies(r, when, at, of)))
-        out = out.withColumn("_newest", F.array_max(F.transform("_found", lambda r: r["effective_from"])))
-        out = out.withColumn("_top", F.filter("_found", lambda r: r["effective_from"] == F.col("_newest")))
-        return out.withColumns({v: F.get("_top", F.lit(0))[v] for v in values}).withColumn(
-            "rule_conflict", F.size("_top") > 1).drop("_rules", "_found", "_newest", "_top")
+        out = out.withColumn("_top", F.array_max(F.transform(
+            "_found", lambda r: F.struct(r["effective_from"].alias("since"), r.alias("rule")))))
+        same = F.filter("_found", lambda r: r["effective_from"] == F.col("_top.since"))
+        return out.withColumns({v: F.col(f"_top.rule.{v}") for v in values}).withColumn(
+            "rule_conflict", F.size(same) > 1).drop("_rules", "_found", "_top")
     salts = 64
     spread = df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
     copies = wanted.select(F.struct(*fields).alias("_r"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))

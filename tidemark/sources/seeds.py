@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.rules import inline_table
+
 # Code, name, type, authority rank and address of each source.
 DATA_SOURCES = [
     ("IDX_OFFICIAL", "Indonesia Stock Exchange", "OFFICIAL_EXCHANGE", 1, "https://www.idx.id/"),
@@ -17,8 +19,8 @@ BENCHMARK = ("IHSG", "Indeks Harga Saham Gabungan", "INDEX", "IDX", "IDR")
 
 
 def data_sources(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DATA_SOURCES, "code string, name string, source_type string, authority_rank int, base_url string")
+    return inline_table(spark, DATA_SOURCES, "code string, name string, source_type string, authority_rank int, base_url string")
 
 
 def benchmark_instrument(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([BENCHMARK], "symbol string, name string, asset_type string, exchange string, currency string")
+    return inline_table(spark, [BENCHMARK], "symbol string, name string, asset_type string, exchange string, currency string")
