@@ -38,7 +38,7 @@ def provider_date(value) -> Column:
     """``/Date(ms)/`` in UTC, ISO with or without time, or a text form."""
     text = F.trim(col(value))
     millis = F.regexp_extract(text, r"^/Date\((-?\d+)", 1)
-    epoch = F.when(millis != "", F.to_date(F.timestamp_millis(millis.cast("long"))))
+    epoch = F.when(millis != "", F.date_from_unix_date(F.floor(millis.try_cast("long") / 86400000).cast("int")))
     iso = F.when(F.regexp_like(text, F.lit(r"^\d{4}-\d{2}-\d{2}")), F.to_date(F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))))
     return F.coalesce(epoch, iso, text_date(text, [TEXT_DATES[2], TEXT_DATES[3], TEXT_DATES[0]]))
 

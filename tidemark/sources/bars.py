@@ -97,8 +97,9 @@ def parse_bar_payloads(payloads: DataFrame, body: str = "body", index: bool = Fa
         F.col("_p.symbol").alias("symbol"), F.col("_p.granularity").alias("granularity"),
         F.posexplode(zipped).alias("bar_index", "b"),
     )
-    instant = F.timestamp_seconds(F.col("b.timestamp"))
-    when = F.from_utc_timestamp(instant, zone) if index else instant
+    # zone-less arithmetic, so the session's own time zone plays no part
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, b.timestamp)")
+    when = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc) if index else utc
     adjusted = F.coalesce(F.col("b.adjclose"), F.col("b.close")) if index else F.col("b.adjclose")
     return rows.select(
         "symbol", "granularity", "bar_index", F.to_date(when).alias("trading_date"),

@@ -73,13 +73,14 @@ def activity_rows(source: Source, *line_numbers: int) -> DataFrame:
 
 # --- landed documents rebuilt from the tables, so parsers run over whole tables ---
 
-def bar_payloads(bars: DataFrame, zone: str = "Asia/Jakarta") -> DataFrame:
+def bar_payloads(bars: DataFrame) -> DataFrame:
     """One JSON document per symbol; every 50th bar has a missing high.
 
     The array holds one entry per trading day of a symbol, so it is as long as
     the calendar at most.
     """
-    local_open = F.unix_timestamp(F.to_utc_timestamp(F.col("trading_date").cast("timestamp"), zone)) + 9 * 3600
+    # 09:00 in the market's zone, which is UTC+7
+    local_open = F.unix_date("trading_date").cast("long") * 86400 + 2 * 3600
     broken = F.pmod(F.col("instrument_id") + F.unix_date("trading_date"), F.lit(50)) == 0
     entry = F.struct(
         local_open.alias("timestamp"), "open", F.when(~broken, F.col("high")).alias("high"), "low", "close", "volume",
