@@ -34,9 +34,14 @@ class Pipeline:
 
     @cached_property
     def bars(self) -> DataFrame:
-        """Valid bars with the previous valid close."""
-        checked = bar_rules.validate_equity_bars(self.raw_bars).filter(F.size("reasons") == 0).drop("reasons")
-        return self.ws.write(bar_rules.with_previous_close(checked), "bars")
+        """Valid bars with the previous valid close, stored by instrument.
+
+        Every look-back and look-ahead of the pipeline is per instrument, so the
+        table is bucketed on it: the windows over it run without a shuffle.
+        """
+        rows = self.source.bars_walk(self.ws.keyed(self.source.daily_totals(), "instrument_id"))
+        checked = bar_rules.validate_equity_bars(rows).filter(F.size("reasons") == 0).drop("reasons")
+        return self.ws.write_keyed(bar_rules.with_previous_close(checked), "bars", "instrument_id", "trading_date")
 
     @cached_property
     def index_bars(self) -> DataFrame:
@@ -56,7 +61,7 @@ class Pipeline:
         rows = features.with_index_strength(
             features.technical_features(ranged), self.index_features)
         members = self.instruments.select("instrument_id", "symbol", "sector_code")
-        return self.ws.write(rows.join(members, "instrument_id"), "features")
+        return self.ws.write_keyed(rows.join(members, "instrument_id"), "features", "instrument_id", "trading_date")
 
     @cached_property
     def regimes(self) -> DataFrame:
@@ -73,11 +78,12 @@ class Pipeline:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return self.ws.write(self.source.ownership_snapshots(), "snapshots")
+        return self.ws.write_keyed(self.source.ownership_snapshots(), "snapshots", "instrument_id", "as_of_date")
 
     @cached_property
     def trends(self) -> DataFrame:
-        return self.ws.write(ownership.ownership_trends(self.snapshots, "ownership_trend_v1"), "trends")
+        return self.ws.write_keyed(
+            ownership.ownership_trends(self.snapshots, "ownership_trend_v1"), "trends", "instrument_id", "as_of_date")
 
     @cached_property
     def sector_ownership(self) -> DataFrame:

@@ -49,6 +49,33 @@ class Workspace:
         if not root:
             root = tempfile.mkdtemp(prefix="tidemark-")
         self.root = f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+
+    def write_keyed(self, df: DataFrame, name: str, key: str, order: str) -> DataFrame:
+        """Write bucketed by a key, so later windows and joins on it need no shuffle.
+
+        One bucket per shuffle partition; the repartition in front makes every
+        task write a single file and is the exchange the caller's windows use.
+        """
+        path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+        table = f"tidemark_{uuid.uuid4().hex[:12]}_{name.replace('-', '_')}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (
+            df.write.bucketBy(buckets, key).sortBy(key, order).format("parquet")
+            .option("path", path).saveAsTable(table)
+        )
+        self.tables.append(table)
+        return self.spark.table(table)
+
+    def close(self) -> None:
+        """Forget the catalog entries of the keyed tables; their files stay."""
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
+
+    def keyed(self, df: DataFrame, key: str) -> DataFrame:
+        """Hash-partition by a key into as many parts as the keyed tables have buckets."""
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), key)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"

@@ -42,12 +42,15 @@ class Source:
             )
         )
 
-    def bars_walk(self) -> DataFrame:
-        """Smooth random-walk bars, one row per (instrument, date)."""
+    def bars_walk(self, totals: DataFrame | None = None) -> DataFrame:
+        """Smooth random-walk bars, one row per (instrument, date).
+
+        ``totals`` may be the daily totals already partitioned by instrument.
+        """
         w = Window.partitionBy("instrument_id").orderBy("trading_date")
         cum = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         close = rnd(F.lit(1000.0) * F.exp(cum / F.lit(10000.0)), 2)
-        steps = self.daily_totals().withColumn("close", close)
+        steps = (self.daily_totals() if totals is None else totals).withColumn("close", close)
         steps = steps.withColumn("open", F.coalesce(F.lag("close").over(w), F.lit(1000.0)))
         whole = F.col("volume").cast("long")
         top = F.rint(F.greatest("open", "close") * 100).cast("long")
