@@ -51,3 +51,9 @@ def universe_date(version) -> Column:
 
 def model_version(prefix: str, snapshot: Column, suffix: str = "") -> Column:
     return F.concat(F.lit(f"{prefix}_current_"), F.date_format(snapshot, "yyyyMMdd"), F.lit(suffix))
+
+
+def newest_input(required: list[str], optional: list[str] = ()) -> Column:
+    """Latest of several update times; optional ones count as the epoch when missing."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp")
+    return F.greatest(*[F.col(c) for c in required], *[F.coalesce(F.col(c), epoch) for c in optional])

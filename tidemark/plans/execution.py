@@ -120,6 +120,7 @@ def execution_inputs(calibration: DataFrame, bars: DataFrame, actions: DataFrame
             F.col("realized_return").alias("raw_realized_return"), F.col("realized_r").alias("raw_realized_r"),
             F.col("entry_price").alias("raw_entry_price"), F.col("exit_price").alias("raw_exit_price"),
             F.col("stop_price").alias("raw_stop_price"), "entry_reference_price", "exit_reference_price",
+            F.col("warnings").alias("calibration_warnings"),
             F.coalesce("_hit", F.lit(False)).alias("corporate_action_overlap_detected"),
         )
     )
@@ -134,10 +135,18 @@ MODELED = [
 ]
 
 
-def execution_rows(inputs: DataFrame, model_version: str, point_in_time_safe: bool = False,
-                   survivorship_safe: bool = False, actions_complete: bool = False,
+def execution_rows(inputs: DataFrame, model_version: str, actions_complete: bool = False,
                    commission_modeled: bool = False, auto_rejection_modeled: bool = False) -> DataFrame:
-    """Modeled result of every mature trade with complete prices, and what blocks strict use."""
+    """Modeled result of every mature trade with complete prices, and what blocks strict use.
+
+    A row is point-in-time and survivorship safe unless its calibration warnings say otherwise.
+    """
+    def free_of(warning: str) -> Column:
+        return ~F.array_contains("calibration_warnings", warning)
+
+    inputs = inputs.withColumns({
+        "point_in_time_safe": free_of("HISTORICAL_KSEI_AS_OF_DATE_IS_NOT_PUBLICATION_TIME_SAFE"),
+        "survivorship_safe": free_of("CURRENT_UNIVERSE_HISTORY_IS_SURVIVORSHIP_BIASED")})
     mature = F.col("sample_status") == "MATURE_TRADE"
     absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in RAW_INPUTS]))
     df = inputs.withColumn("_absent", absent).withColumn(
@@ -152,8 +161,8 @@ def execution_rows(inputs: DataFrame, model_version: str, point_in_time_safe: bo
     ).withColumns({c: F.col(f"_keep_{c}") for c in RAW_INPUTS})
     overlap = F.col("corporate_action_overlap_detected")
     blocking = reasons(
-        ("POINT_IN_TIME_KSEI_NOT_SAFE", F.lit(not point_in_time_safe)),
-        ("CURRENT_UNIVERSE_SURVIVORSHIP_BIAS", F.lit(not survivorship_safe)),
+        ("POINT_IN_TIME_KSEI_NOT_SAFE", ~F.col("point_in_time_safe")),
+        ("CURRENT_UNIVERSE_SURVIVORSHIP_BIAS", ~F.col("survivorship_safe")),
         ("CORPORATE_ACTION_HISTORY_NOT_COMPLETE", F.lit(not actions_complete)),
         ("CORPORATE_ACTION_OVERLAP_DETECTED", overlap),
         ("BROKER_COMMISSION_NOT_MODELED", F.lit(not commission_modeled)),
@@ -163,14 +172,14 @@ def execution_rows(inputs: DataFrame, model_version: str, point_in_time_safe: bo
         F.concat(F.lit("EXECUTION_INPUT_MISSING:"), F.array_join("_absent", ","))))
     unavailable = F.when(F.col("calibration_eligible") & ~usable, F.array(F.lit("EXECUTION_METRICS_UNAVAILABLE")))
     nothing = F.array().cast("array<string>")
-    everything_safe = all([point_in_time_safe, survivorship_safe, actions_complete, commission_modeled, auto_rejection_modeled])
+    modeled_fully = F.lit(actions_complete and commission_modeled and auto_rejection_modeled)
+    safe = F.col("point_in_time_safe") & F.col("survivorship_safe") & modeled_fully
     return modeled.withColumns({
         "blocking_reasons": F.concat(blocking, F.coalesce(missing, nothing), F.coalesce(unavailable, nothing)),
         "entry_slippage_ticks": F.when(usable, F.lit(BASELINE.entry_ticks)),
         "exit_slippage_ticks": F.when(usable, exit_ticks(BASELINE)),
         "buy_fee_rate": F.when(usable, F.lit(BUY_FEE)), "sell_fee_rate": F.when(usable, F.lit(SELL_FEE)),
-        "strict_calibration_eligible": F.col("calibration_eligible") & usable & ~overlap & F.lit(everything_safe),
-        "point_in_time_safe": F.lit(point_in_time_safe), "survivorship_safe": F.lit(survivorship_safe),
+        "strict_calibration_eligible": F.col("calibration_eligible") & usable & ~overlap & safe,
         "model_version": F.lit(model_version),
     }).drop("_absent", *[f"_keep_{c}" for c in RAW_INPUTS])
 

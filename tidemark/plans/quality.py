@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import table_diff
+from tidemark.operators.joins import overlapping, table_diff
 from tidemark.operators.windows import series
 
 
@@ -250,3 +250,14 @@ def last_rows(df: DataFrame, n: int, keys="instrument_id", date="trading_date")
     """The last n rows of each key."""
     newest = Window.partitionBy(keys).orderBy(F.col(date).desc())
     return df.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def bounded_validation(rows: DataFrame) -> DataFrame:
+    """Row counts of a bounded lifecycle load, and what must be zero: safe, known, overlapping."""
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("lifecycle_rows"), F.count_if(F.col("membership_status") == "ACTIVE").alias("active_rows"),
+        F.count_if(F.col("membership_status") == "INACTIVE").alias("inactive_rows"), F.count_if("point_in_time_safe").alias("point_in_time_true"),
+        F.count_if(F.col("availability_status") != "UNKNOWN").alias("availability_known"))
+    crossed = overlapping(rows, ["symbol"], "effective_from", "effective_to", "lifecycle_status").agg(
+        F.count(F.lit(1)).alias("overlapping_rows"))
+    return counts.withColumn("_k", F.lit(1)).join(crossed.withColumn("_k", F.lit(1)), "_k").drop("_k")

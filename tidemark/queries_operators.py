@@ -10,7 +10,9 @@ from tidemark.operators import keyed
 from tidemark.operators.joins import asof_backward, table_diff
 from tidemark.operators.ordering import medians, percent_rank
 from tidemark.oracle.ctes import CTES, mean, r
-from tidemark.plans import breadth, incremental, ownership, quality, screener, setups
+from tidemark.functions import dates as date_functions
+from tidemark.plans import breadth, calibration, incremental, ownership, quality, screener, setups
+from tidemark.plans import outcomes as outcome_plans
 from tidemark.plans import features as feature_plans
 from tidemark.sources import bars as bar_ops
 
@@ -306,6 +308,29 @@ audit("audit_prices", "prices", lambda p: p.raw_bars, "bars_walk", {"low": "CASE
 audit("audit_sensitivity", "sensitivity", lambda p: p.sensitivity, "sensitivity", {
     "stored_baseline_net_r": "CASE WHEN split_label = 'TEST' THEN stored_baseline_net_r + 1 ELSE stored_baseline_net_r END",
     "risk_tick_bucket": "CASE WHEN split_label = 'TRAIN' THEN NULL ELSE risk_tick_bucket END"})
+register("screener_warnings", lambda p: p.screened.join(
+    p.trends.select("instrument_id", F.col("as_of_date").alias("ownership_as_of_date"), F.col("corporate_action_risk").alias("_risk")),
+    ["instrument_id", "ownership_as_of_date"], "left").select(
+    *KEY, F.array_join(screener.screener_warnings(), "|").alias("warnings")), """
+SELECT s.instrument_id, s.trading_date, concat_ws('|', 'SCREENING_ONLY_NOT_EXECUTABLE_SIGNAL', 'YAHOO_EOD_IS_THIRD_PARTY_MARKET_DATA',
+  'HISTORICAL_KSEI_AS_OF_DATE_IS_NOT_PUBLICATION_TIME_SAFE', 'RS_SECTOR_20D_UNAVAILABLE_USING_IHSG_ONLY',
+  CASE WHEN volume_z20 IS NULL THEN 'VOLUME_Z20_UNAVAILABLE_NEUTRAL_FALLBACK' END, CASE WHEN ownership_as_of_date IS NULL THEN 'STOCK_OWNERSHIP_UNAVAILABLE' END,
+  CASE WHEN ownership_stale_flag THEN 'STOCK_OWNERSHIP_STALE' END, CASE WHEN sector_ownership_stale_flag THEN 'SECTOR_OWNERSHIP_STALE' END,
+  CASE WHEN t.corporate_action_risk THEN 'OWNERSHIP_CORPORATE_ACTION_RISK' END, CASE WHEN failed_breakout_flag THEN 'FAILED_BREAKOUT' END) AS warnings
+FROM screened s LEFT JOIN trends t ON t.instrument_id = s.instrument_id AND t.as_of_date = s.ownership_as_of_date""")
+register("outcome_evidence", lambda p: p.outcomes.withColumn("e", outcome_plans.outcome_evidence()).select(
+    "signal_id", F.get_json_object("e", "$.entry_model.fill_method").alias("fill_method"),
+    F.get_json_object("e", "$.returns.realized_r").try_cast("double").alias("realized_r"),
+    F.size(F.from_json(F.get_json_object("e", "$.warnings"), "array<string>")).alias("warning_count")), """
+SELECT signal_id, fill_method, realized_r, CAST(CASE WHEN sequence_ambiguous THEN 9 ELSE 8 END AS INTEGER) AS warning_count FROM outcomes""")
+register("calibration_evidence", lambda p: p.calibration.withColumn("e", calibration.calibration_evidence()).select(
+    "signal_id", F.get_json_object("e", "$.split.label").alias("split_label"), F.get_json_object("e", "$.labels.outcome_label").alias("outcome_label"),
+    F.get_json_object("e", "$.labels.positive_r_label").alias("positive_r_label")), """
+SELECT signal_id, split_label, outcome_label, CAST(positive_r_label AS VARCHAR) AS positive_r_label FROM calibration""")
+register("newest_inputs", lambda p: p.source.table("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("a"), F.when(
+    F.col("o_orderstatus") == "F", F.date_add(F.to_date("o_orderdate"), 2).cast("timestamp")).alias("b")).select(
+    "o_orderkey", F.to_date(date_functions.newest_input(["a"], ["b"])).alias("input_updated_on")), """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) + CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 0 END AS input_updated_on FROM orders""")
 register("audit_scenario_coverage", lambda p: quality.scenario_coverage(
     p.sensitivity.filter("scenario <> 'STRESS_2T' or raw_risk_ticks > 8"), ["TICK_ONLY", "MIN_COST_ZERO_SLIPPAGE", "BASELINE_CONSERVATIVE", "STRESS_2T"]), """
 SELECT signal_id, count(*) AS rows, count(DISTINCT scenario) AS scenarios FROM sensitivity WHERE scenario <> 'STRESS_2T' OR raw_risk_ticks > 8 GROUP BY 1 HAVING count(*) <> 4""")

@@ -10,7 +10,7 @@ from tidemark.operators import rules as rule_ops
 from tidemark.operators import sets
 from tidemark.operators.joins import overlapping
 from tidemark.oracle.ctes import CTES, r
-from tidemark.plans import lifecycle, pit
+from tidemark.plans import lifecycle, pit, quality
 from tidemark.sources import bars as bar_ops
 from tidemark.sources import feeds, holdings, pages, profiles
 
@@ -104,6 +104,13 @@ SELECT symbol, effective_from, effective_to, lifecycle_status, membership_status
   UNION ALL
   SELECT symbol, valid_to, DATE '{END}', 'DELISTED', 'INACTIVE', NULL, valid_to, 'WARNING' FROM life_intervals WHERE valid_to IS NOT NULL)""")
 
+register("bounded_lifecycle_validation", lambda p: quality.bounded_validation(
+    lifecycle.bounded_rows(_intervals(p), _events(p), _lit_date(END))), """
+SELECT count(*) AS lifecycle_rows, count(*) FILTER (WHERE st = 'LISTED') AS active_rows, count(*) FILTER (WHERE st = 'DELISTED') AS inactive_rows,
+  0::BIGINT AS point_in_time_true, 0::BIGINT AS availability_known, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM bounded_spans b
+    WHERE b.symbol = a.symbol AND (b.f, b.st) < (a.f, a.st) AND b.t >= a.f)) AS overlapping_rows FROM bounded_spans a""", {"bounded_spans": f"""
+SELECT symbol, valid_from AS f, coalesce(valid_to - 1, DATE '{END}') AS t, 'LISTED' AS st FROM life_intervals
+UNION ALL SELECT symbol, valid_to, DATE '{END}', 'DELISTED' FROM life_intervals WHERE valid_to IS NOT NULL"""})
 CTES["life_replayed"] = f"""
 SELECT DISTINCT symbol, unnest(range(m, greatest(m, e) + 1)) AS month FROM (
   SELECT symbol, {MONTH.format(d="effective_date")} AS m, CASE WHEN event_type = 'DELISTED' THEN {MONTH.format(d="effective_date")}
@@ -345,6 +352,14 @@ SELECT count(*) AS total, count(*) FILTER (WHERE availability_status = 'KNOWN')
   {r("count(*) FILTER (WHERE point_in_time_safe) / count(*)::DOUBLE", 8)} AS coverage_ratio FROM ledger""")
 
 
+_UNSAFE = {"point_in_time_safe": "point_in_time_safe OR o_orderstatus = 'P'"}
+register("audit_availability", lambda p: quality.rule_counts(
+    _ledger(p).join(p.source.table("orders").select("o_orderkey", "o_orderstatus"), "o_orderkey").withColumns(
+        {c: F.expr(e) for c, e in _UNSAFE.items()}), quality.RULES["availability"]), """
+SELECT 'unsafe_marked_safe' AS check_name, count(*) FILTER (WHERE o_orderstatus = 'P') AS bad_rows FROM orders
+UNION ALL SELECT 'known_without_time', count(*) FILTER (WHERE o_orderstatus = 'P' AND available_at IS NULL) FROM ledger JOIN orders USING (o_orderkey)""")
+
+
 def _universe(p):
     i = F.col("instrument_id")
     return p.instruments.select(
