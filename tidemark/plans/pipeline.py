@@ -97,10 +97,9 @@ class Pipeline:
 
     @cached_property
     def screener_inputs(self) -> DataFrame:
-        bare = self.features.drop("symbol", "sector_code", "previous_close", "open", "high", "low", "value",
-                                  *[f"prior_{n}_{s}" for n in (20, 252) for s in ("count", "high", "low")])
-        return screener.screener_inputs(bare, self.bars, self.instruments, self.integrated, self.regimes,
-                                        self.trends, self.ws)
+        wanted = ["instrument_id", "trading_date", "symbol", "sector_code", "close", "volume_z20", *screener.REQUIRED[:-1]]
+        return screener.screener_inputs(
+            self.features.select(*wanted), self.bars, self.integrated, self.regimes, self.trends, self.ws)
 
     @cached_property
     def screened(self) -> DataFrame:

@@ -111,14 +111,16 @@ def turnover_window(bars: DataFrame, first: Column, last: Column, minimum_rows:
     )
 
 
-def screener_inputs(features: DataFrame, bars: DataFrame, instruments: DataFrame, sectors: DataFrame,
+def screener_inputs(features: DataFrame, bars: DataFrame, sectors: DataFrame,
                     regimes: DataFrame, trends: DataFrame, ws: Workspace) -> DataFrame:
-    """Everything a screened row needs, with the turnover percentile of its date."""
+    """Everything a screened row needs, with the turnover percentile of its date.
+
+    ``features`` carries symbol and sector of the current universe.
+    """
     span = sectors.agg(F.min("trading_date").alias("a"), F.max("trading_date").alias("b"))
     window = turnover_window(bars, span.select("a").scalar(), span.select("b").scalar())
     base = (
-        features.join(instruments.filter("sector_code is not null").select("instrument_id", "symbol", "sector_code"),
-                      "instrument_id")
+        features.filter("sector_code is not null")
         .join(window, ["instrument_id", "trading_date"])
         .join(sectors.select(
             "trading_date", "sector_code", F.col("integrated_score").alias("sector_input_score"),
@@ -150,7 +152,7 @@ def screener_scores(inputs: DataFrame, model_version: str) -> DataFrame:
     rows = inputs.withColumns({
         "_owned": F.col("ownership_as_of_date").isNotNull() & F.col("ownership_trend_label").isNotNull()
         & F.col("ownership_signal_strength").isNotNull(),
-        "_atr_pct": F.col("atr14") / F.col("close") * 100.0,
+        "_atr_pct": F.col("atr14") / F.col("close") * 100.0, "_rsi": clamp("rsi14"),
     })
     rows = rows.withColumn(
         "ownership_age_days", F.when(F.col("_owned"), F.datediff("trading_date", "ownership_as_of_date"))
@@ -158,13 +160,13 @@ def screener_scores(inputs: DataFrame, model_version: str) -> DataFrame:
     rows = rows.withColumns({
         "market_score": market_score(F.col("market_regime"), F.col("market_confidence")),
         "trend_score": trend_score(),
-        "momentum_score": rnd(clamp(piecewise(clamp("rsi14"), MOMENTUM_KNOTS)), 4),
+        "momentum_score": rnd(piecewise("_rsi", MOMENTUM_KNOTS), 4),
         "relative_strength_score": strength_score(F.col("rs_ihsg_20d"), no_sector_rs),
         "volume_score": F.coalesce(rnd(clamp(F.lit(50.0) + F.col("volume_z20") * 15.0), 4), F.lit(50.0)),
         "breakout_score": breakout_score(),
         "liquidity_score": rnd(clamp("liquidity_percentile", 0.0, 1.0) * 100.0, 4),
         "ownership_score": ownership_score(),
-        "risk_score": rnd(clamp(piecewise("_atr_pct", RISK_KNOTS)), 4),
+        "risk_score": rnd(piecewise("_atr_pct", RISK_KNOTS), 4),
         "atr_pct": rnd("_atr_pct", 4),
         "_sector_raw": F.col("sector_input_score"),
     })
@@ -187,7 +189,7 @@ def screener_scores(inputs: DataFrame, model_version: str) -> DataFrame:
     rows = rows.withColumn("data_completeness", completeness).withColumn("status", screening_status())
     return rows.withColumn("sector_score", rnd(clamp("_sector_raw"), 4)).withColumn(
         "model_version", F.lit(model_version)
-    ).drop("_owned", "_atr_pct", "_sector_raw", "sector_input_score")
+    ).drop("_owned", "_atr_pct", "_rsi", "_sector_raw", "sector_input_score")
 
 
 def screener_warnings() -> Column:
