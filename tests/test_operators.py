@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import keyed, ordering, sets
@@ -39,7 +40,25 @@ def test_recursive_filter_with_leading_gap_and_long_chunk(spark):
     np.testing.assert_allclose(got.d14, want, atol=1e-12)
 
 
-def test_positions_percent_rank_and_median_with_a_hot_group(spark, ws):
+@pytest.fixture(params=["true", "false"])
+def coalesced(spark, request):
+    """With and without small partitions being merged, so ranks cross partition borders."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ordered_rows_span_partitions(spark, ws):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(F.lit("one").alias("g"), "id")
+        placed = ordering._spread(df, ws, ["g"], [F.col("id").asc()], "t")
+        assert placed.select("_part").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_positions_percent_rank_and_median_with_a_hot_group(spark, ws, coalesced):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"g{i % 5}", i, float(rng.choice([1, 1, 1, 2, 3, 5, 8])), "s" + str(i % 4)) for i in range(1200)]
     df = spark.createDataFrame(rows, "g string, id int, v double, s string")
