@@ -22,7 +22,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.source = Source(spark, folder)
-        self.ws = Workspace(spark)
+        self.ws = Workspace(spark, self.source.parts("lineitem"))
 
     @cached_property
     def instruments(self) -> DataFrame:

@@ -45,8 +45,9 @@ class Workspace:
     setting is absent (tests on one machine).
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, parts: int | None = None):
         self.spark = spark
+        self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             root = tempfile.mkdtemp(prefix="tidemark-")
@@ -56,14 +57,12 @@ class Workspace:
     def write_keyed(self, df: DataFrame, name: str, key: str, order: str) -> DataFrame:
         """Write bucketed by a key, so later windows and joins on it need no shuffle.
 
-        One bucket per shuffle partition; the repartition in front makes every
-        task write a single file and is the exchange the caller's windows use.
+        ``keyed`` in front of the caller's windows makes each task hold one bucket.
         """
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         table = f"tidemark_{uuid.uuid4().hex[:12]}_{name.replace('-', '_')}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            df.write.bucketBy(buckets, key).sortBy(key, order).format("parquet")
+            df.write.bucketBy(self.parts, key).sortBy(key, order).format("parquet")
             .option("path", path).saveAsTable(table)
         )
         self.tables.append(table)
@@ -77,7 +76,7 @@ class Workspace:
 
     def keyed(self, df: DataFrame, key: str) -> DataFrame:
         """Hash-partition by a key into as many parts as the keyed tables have buckets."""
-        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), key)
+        return df.repartition(self.parts, key)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
