@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +40,8 @@ class Workspace:
 
     A written stage cuts lineage, survives lost executors and keeps column
     pruning and filter pushdown for whatever reads it next. The folder comes
-    from ``spark.checkpoint.dir``; a temporary one is made only where that
-    setting is absent (tests on one machine).
+    from ``spark.checkpoint.dir``; without that setting it raises, since a folder
+    of one machine would lose what other executors write.
     """
 
     def __init__(self, spark: SparkSession, parts: int | None = None):
@@ -50,7 +49,7 @@ class Workspace:
         self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            root = tempfile.mkdtemp(prefix="tidemark-")
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         self.root = f"{root.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
         self.tables: list[str] = []
 
