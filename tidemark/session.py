@@ -61,7 +61,7 @@ class Workspace:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         table = f"tidemark_{uuid.uuid4().hex[:12]}_{name.replace('-', '_')}"
         (
-            df.write.bucketBy(self.parts, key).sortBy(key, order).format("parquet")
+            df.write.bucketBy(self.parts, key).sortBy(*dict.fromkeys([key, order])).format("parquet")
             .option("path", path).saveAsTable(table)
         )
         self.tables.append(table)
