@@ -9,6 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MEMO_ENTRIES = 400_000
 
@@ -74,7 +75,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique(out)
 
 
-def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str | StructType) -> DataFrame:
     """``mapInPandas`` of a function of one batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

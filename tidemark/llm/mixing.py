@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import Workspace
@@ -12,7 +12,7 @@ WEIGHTS, CAP, LEVELS, LEVEL_BITS = (5, 2, 1), 3, 5, 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _hash(column: str):
+def _hash(column: str) -> Column:
     """60 bits of the id's md5: the same on every run and in every engine."""
     return F.conv(F.substring(F.md5(F.coalesce(F.col(column).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
 
@@ -42,37 +42,24 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def mix(
-    docs: DataFrame, ws: Workspace, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, size: str | None = None,
-    levels: int = LEVELS, level_bits: int = LEVEL_BITS,
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken: how many words of each document the mix takes.
+def _copies(h: str) -> Column:
+    """How often a row is taken whole, from its hash and its source's rounds and threshold."""
+    return F.col("rounds") + (F.shiftright(h, 60 - LEVELS * LEVEL_BITS) < F.col("threshold")).cast("long")
 
-    Every document of a source is taken whole floor(target / size) times, and once more where its
-    hash is below the source's threshold. Thresholds come from histograms: words are summed by
-    source and hash bucket, the buckets below the rest of the budget are taken, and only the
-    bucket at the border is refined by the next ``level_bits`` bits, ``levels`` times. Nothing is sorted,
-    and a bucket row is all that leaves a task for its documents.
 
-    The bucket at the border after the last level (equal hashes up to 60 bits, in practice one
-    document or the copies of one id) is taken if that comes nearer to the target. A
-    null text has size 0 and is taken 0 words; null sources are one source, the last; a source
-    without words has target 0. Repeated rows count and are taken alike. An empty table gives no
-    rows. ``levels * level_bits`` is at most 60.
-    """
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    slim = ws.write(docs.select("doc_id", "source", words.alias("size"), _hash("doc_id").alias("h")), "sizes")
+def thresholds(slim: DataFrame, ws: Workspace, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """s (source), source_size, target, rounds, threshold: one row per source; ``slim`` has source, size, h."""
     goals = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     goals = goals.withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     rest = F.col("target") - F.col("rounds") * F.col("source_size")
     state = ws.write(goals.withColumn("rest", rest).withColumn("low", F.lit(0).cast("long")).withColumn("border", F.lit(0).cast("long")), "targets")
 
-    for level in range(levels):
-        shift = 60 - (level + 1) * level_bits
+    for level in range(LEVELS):
+        shift = 60 - (level + 1) * LEVEL_BITS
         bucket = F.shiftright("h", shift)
         inside = slim if level == 0 else slim.join(
             state.select(F.col("source").alias("s"), "border"),
-            slim["source"].eqNullSafe(F.col("s")) & (F.shiftright(slim["h"], shift + level_bits) == F.col("border")),
+            slim["source"].eqNullSafe(F.col("s")) & (F.shiftright(slim["h"], shift + LEVEL_BITS) == F.col("border")),
         ).select(slim["source"], slim["h"], slim["size"])
         counts = inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("source").orderBy("bucket"))
@@ -91,12 +78,42 @@ def mix(
             ), f"level{level}",
         )
     take_last = (F.col("last") > 0) & (F.col("last") - F.col("rest") < F.col("rest"))
-    final = state.select(
+    return state.select(
         F.col("source").alias("s"), "source_size", "target", "rounds",
         F.when(F.col("border").isNull(), F.lit(0)).otherwise(F.col("border") + take_last.cast("long")).alias("threshold"),
     )
-    once_more = (F.shiftright("h", 60 - levels * level_bits) < F.col("threshold")).cast("long")
-    taken = F.col("size") * (F.col("rounds") + once_more)
+
+
+def _slim(docs: DataFrame, ws: Workspace) -> DataFrame:
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return ws.write(docs.select("doc_id", "source", words.alias("size"), _hash("doc_id").alias("h")), "sizes")
+
+
+def mix(docs: DataFrame, ws: Workspace, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """doc_id, size, source_size, target, taken: how many words of each document the mix takes.
+
+    Every document of a source is taken whole floor(target / size) times, and once more where its
+    hash is below the source's threshold. Thresholds come from histograms: words are summed by
+    source and hash bucket, the buckets below the rest of the budget are taken, and only the
+    bucket at the border is refined by the next ``LEVEL_BITS`` bits, ``LEVELS`` times. Nothing is sorted,
+    and a bucket row is all that leaves a task for its documents.
+
+    The bucket at the border after the last level (equal hashes up to 60 bits, in practice one
+    document or the copies of one id) is taken if that comes nearer to the target. A
+    null text has size 0 and is taken 0 words; null sources are one source, the last; a source
+    without words has target 0. Repeated rows count and are taken alike. An empty table gives no
+    rows.
+    """
+    slim = _slim(docs, ws)
+    final = thresholds(slim, ws, weights, cap)
     return slim.join(final, slim["source"].eqNullSafe(F.col("s"))).select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("size") * _copies("h")).cast("long").alias("taken")
     )
+
+
+def take(docs: DataFrame, ws: Workspace, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The rows of the mix with all their columns, a row as often as it is taken; the rules of ``mix``."""
+    final = thresholds(_slim(docs, ws), ws, weights, cap).select(F.col("s").alias("_s"), "rounds", "threshold")
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.col("source").alias("_source"), _hash("doc_id").alias("_h"))
+    copies = held.join(final, F.col("_source").eqNullSafe(F.col("_s"))).select("row", _copies("_h").alias("n")).filter("n > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")

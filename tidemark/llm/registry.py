@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, mixing, quality, topk, toxicity
+from tidemark.llm import ann, bpe, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
 from tidemark.llm.common import held_out, remainder, table
 from tidemark.session import Workspace
 
@@ -31,6 +31,17 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    own = F.filter("spans", lambda s: s["base"])
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    kinds = F.transform(own, lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)).alias(k) for k in pii.KINDS]
+    counts = [(F.size(kinds) - n).cast("long").alias(f"n_{kind}") for n, kind in zip(counts, pii.KINDS, strict=True)]
+    return found.select("doc_id", *counts, F.sha2(shown(own), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,6 +54,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(table(spark, folder, "documents"), Workspace(spark), width=4, percent=85)
+
+
 def op8_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), Workspace(spark))
 
@@ -54,6 +69,19 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = held_out("doc_id", 5, 1)
+    learning = docs.select("doc_id", "text", (F.col("doc_id").isNotNull() & ~held).alias("learned"))
+    return katz.score(learning, "learned", Workspace(spark)).withColumn("held_out", held)
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 TOP_PRODUCTS_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
@@ -105,12 +133,43 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 JOIN b ON d.source IS NOT DISTINCT FROM b.source AND d.h = b.h
 """
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingles FROM w
+), k AS (
+  SELECT min(doc_id) AS doc_id, shingles, len(shingles) AS n FROM s WHERE len(shingles) > 0 GROUP BY shingles, len(shingles)
+), e AS (
+  SELECT doc_id, n, unnest(shingles) AS shingle FROM k
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+), l AS (
+  SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)
+  UNION ALL SELECT b, a FROM common WHERE 100 * c >= 85 * (na + nb - c)
+  UNION ALL SELECT s.doc_id, k.doc_id FROM s JOIN k ON list_sort(s.shingles) = list_sort(k.shingles) AND s.doc_id <> k.doc_id
+  UNION ALL SELECT k.doc_id, s.doc_id FROM s JOIN k ON list_sort(s.shingles) = list_sort(k.shingles) AND s.doc_id <> k.doc_id
+), r AS (
+  SELECT doc_id, doc_id AS reached FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reached = l.a
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(r.reached) AS component_id
+FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.shingles)
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_nearest_neighbours": (op1_nearest_neighbours, None),
     "op2_top_products": (op2_top_products, TOP_PRODUCTS_SQL),
     "op3_quality": (op3_quality, None),
+    "op4_personal_data": (op4_personal_data, None),
     "op5_byte_bpe": (op5_byte_bpe, None),
     "op6_language": (op6_language, None),
+    "op7_ngram_jaccard": (op7_ngram_jaccard, JACCARD_SQL),
     "op8_mixture": (op8_mixture, MIXTURE_SQL),
     "op9_toxicity": (op9_toxicity, None),
+    "op10_language_model": (op10_language_model, None),
+    "pipeline": (pipeline, None),
 }
