@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import keyed, ordering, sets
+from tidemark.functions.numeric import rnd
+from tidemark.operators import keyed, ordering, rules, sets
 from tidemark.operators.joins import asof_backward, next_rows, overlapping, points_in_ranges, table_diff
 from tidemark.operators.recursive import Smoother, smooth, span, wilder
 from tidemark.operators.windows import series, share_not_above, zscore
@@ -154,12 +155,68 @@ def test_merges(spark):
     assert kept == {"a": "old", "b": "new"}
 
 
-def test_fingerprint_methods_separate_sets(spark):
+def test_fingerprints_separate_sets_by_one_rule(spark):
     import hashlib
 
-    rows = [("m1", s) for s in "abc"] + [("m2", s) for s in "cba"] + [("m3", s) for s in "abd"]
+    rows = [("m1", s) for s in "abc"] + [("m2", s) for s in "cbaa"] + [("m3", s) for s in "abd"]
     df = spark.createDataFrame(rows, "m string, s string")
-    exact = {r["m"]: r["fingerprint"] for r in sets.fingerprints(df, ["m"], "s").collect()}
-    assert exact["m1"] == hashlib.sha256(b"a\nb\nc").hexdigest() == exact["m2"] != exact["m3"]
-    added = {r["m"]: r["fingerprint"] for r in sets.fingerprints(df, ["m"], "s", limit=2).collect()}
-    assert added["m1"] == added["m2"] != added["m3"] and added["m1"] != exact["m1"]
+    got = {r["m"]: r["fingerprint"] for r in sets.fingerprints(df, ["m"], "s").collect()}
+    digests = [hashlib.sha256(s.encode()).hexdigest() for s in "abc"]
+    lanes = [str(sum(int(d[15 * i : 15 * i + 15], 16) for d in digests)) for i in range(4)]
+    assert got["m1"] == hashlib.sha256("|".join(lanes).encode()).hexdigest() == got["m2"] != got["m3"]
+
+
+def test_rounding_is_that_of_the_exact_value(spark):
+    import random
+
+    rng = random.Random(3)
+    literal = [(55.645, 2, 55.65), (19.50065, 4, 19.5007), (58.3772715, 6, 58.377271), (-55.645, 2, -55.65), (0.125, 2, 0.12), (0.375, 2, 0.38), (-0.125, 2, -0.12), (2.5, 0, 2.0)]
+    for value, digits, want in literal:
+        assert round(value, digits) == want
+    rows = [(v, d) for v, d, _ in literal] + [
+        (rng.choice([1, -1]) * rng.randrange(10**8) / 10 ** (d + 1), d) for d in (0, 2, 4, 6, 8) for _ in range(800)] + [
+        (rng.uniform(-1e6, 1e6), d) for d in (2, 8) for _ in range(300)] + [(1e300, 2), (1e17 + 2, 2), (0.0, 4), (-0.0, 4)]
+    for digits in {d for _, d in rows}:
+        df = spark.createDataFrame([(v,) for v, d in rows if d == digits], "v double").withColumn("r", rnd("v", digits))
+        assert [r.r for r in df.collect()] == [round(v, digits) + 0.0 for v, d in rows if d == digits]
+
+
+def test_one_rule_path_with_ties_and_repeated_keys(spark):
+    seeded = [r for r in rules.SEEDED if r[1] == "TICK_SIZE"]
+    twin = ("A_TWIN", *seeded[0][1:10], 3.0, *seeded[0][11:])
+    table = rules.inline_table(spark, [*seeded, twin], rules.RULE_SCHEMA)
+    df = spark.sql("SELECT * FROM VALUES (1, DATE '2026-08-06', 100D), (1, DATE '2026-08-06', 300D), (2, DATE '2013-12-31', 100D) AS t(i, d, p)")
+    got = sorted((r.i, r.p, r.rule_key, r.tick_size, r.rule_conflict) for r in rules.lookup(df, table, "TICK_SIZE", ["i"], "d", "p", values=["rule_key", "tick_size"]).collect())
+    assert got == [(1, 100.0, "A_TWIN", 3.0, True), (1, 300.0, "TICK_200_TO_LT_500_20160502", 2.0, False), (2, 100.0, None, None, False)]
+
+
+def test_no_row_is_lost_to_nulls(spark, ws):
+    df = spark.createDataFrame([(1, None, 1.0), (2, None, None), (3, "a", None), (4, "a", 2.0), (5, "a", None)], "id int, g string, v double")
+    ranks = {r.id: r.r for r in ordering.percent_rank(df, ws, ["g"], "v", "r").collect()}
+    assert ranks == {1: 0.0, 2: 1.0, 3: 0.5, 4: 0.0, 5: 0.5}
+    places = {r.id: r.p for r in ordering.positions(df, ws, ["g"], [F.col("id").asc()], "p").collect()}
+    assert places == {1: 1, 2: 2, 3: 1, 4: 2, 5: 3}
+    assert {r.g: r.median_v for r in ordering.medians(df, ws, ["g"], ["v"]).collect()} == {None: 1.0, "a": 2.0}
+    left = spark.createDataFrame([("x", 1), ("x", 5), (None, 5), ("x", None)], "k string, t int")
+    right = spark.createDataFrame([("x", None, "bad"), (None, 1, "bad"), ("x", 2, "good")], "k string, rt int, v string")
+    got = {(r.k, r.t, r.v) for r in asof_backward(left, right, ["k"], "t", "rt", ["v"], "left").collect()}
+    assert got == {("x", 1, None), ("x", 5, "good"), (None, 5, None), ("x", None, None)}
+
+
+def test_repeated_keys_have_one_answer(spark):
+    old = spark.createDataFrame([("k", "a"), ("k", "b")], "k string, v string")
+    new = spark.createDataFrame([("k", "z", 1), ("k", "c", 2)], "k string, v string, at int")
+    assert [tuple(r) for r in keyed.upsert(old, new, ["k"], "at").collect()] == [("k", "c")]
+    assert [tuple(r) for r in keyed.upsert(old, new.drop("at"), ["k"]).collect()] == [("k", "z")]
+    assert [tuple(r) for r in keyed.merge_keep_known(old, new.drop("at"), ["k"]).collect()] == [("k", "z")]
+
+
+def test_missing_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from tidemark.session import Workspace
+
+    settings = {"spark.sql.shuffle.partitions": "4"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Workspace(session)

@@ -159,9 +159,7 @@ def test_board_names(spark, name, code):
     assert spark.createDataFrame([(name,)], "b string").select(pit.board_code("b").alias("c")).first()["c"] == code
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_rules_inline_and_joined_agree(spark, monkeypatch, inline):
-    monkeypatch.setattr(rules, "INLINE_RULES", inline)
+def test_seeded_rules(spark):
     d = dt.date(2025, 5, 1)
     rows = [(i, d, p, g) for i, (p, g) in enumerate([
         (199.0, "MAIN_DEV_NEW"), (200.0, "MAIN_DEV_NEW"), (200.5, "MAIN_DEV_NEW"), (5000.0, "MAIN_DEV_NEW"), (5001.0, "MAIN_DEV_NEW"), (49.0, "MAIN_DEV_NEW"),

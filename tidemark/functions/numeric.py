@@ -11,13 +11,19 @@ def col(value) -> Column:
 
 
 def rnd(value, digits: int) -> Column:
-    """Half-even rounding of the double, the rule of the reference's language.
+    """Decimal rounding of the exact value of the double, exact ties to even.
 
-    ``rint`` is used instead of ``round``/``bround`` because those go through
-    the decimal text of the double; the added zero turns -0.0 into 0.0.
+    The product with the power of ten is itself rounded, and may land on a half that the
+    exact product misses. There the sign of the product's error decides: the value is split in a
+    float and the rest, whose products with a power of ten (up to the tenth, 24 bits) are exact.
+    ``round``/``bround`` go through the decimal text of the double instead. The added zero turns
+    -0.0 into 0.0.
     """
-    scale = F.lit(float(10**digits))
-    return F.rint(col(value) * scale) / scale + F.lit(0.0)
+    x, scale = col(value).cast("double"), F.lit(float(10**digits))
+    product, upper = x * scale, x.cast("float").cast("double")
+    error = (upper * scale - product) + (x - upper) * scale
+    nudge = F.when(product - F.floor(product) == 0.5, F.signum(error) * 0.25).otherwise(0.0)
+    return F.when(F.abs(product) >= F.lit(2.0**52), x).otherwise(F.rint(product + nudge) / scale) + F.lit(0.0)
 
 
 def clamp(value, low: float = 0.0, high: float = 100.0) -> Column:
@@ -74,10 +80,11 @@ def reasons(*pairs) -> Column:
 
 
 def profit_factor(value) -> Column:
-    """Sum of gains over absolute sum of losses; NULL without losses."""
+    """Sum of gains over absolute sum of losses, summed exactly at 8 decimals; NULL without losses."""
     value = col(value)
-    gain = F.coalesce(F.sum(F.when(value > 0, value)), F.lit(0.0))
-    loss = F.abs(F.sum(F.when(value < 0, value)))
+    exact = value.cast("decimal(28,8)")
+    gain = F.coalesce(F.sum(F.when(exact > 0, exact)).cast("double"), F.lit(0.0))
+    loss = F.abs(F.sum(F.when(exact < 0, exact)).cast("double"))
     return F.when(loss > 0, rnd(gain / loss, 8))
 
 

@@ -12,8 +12,10 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: list[str], left_time:
 
     Both sides are stacked and the last right row seen is carried forward, one
     shuffle on the key instead of a range join. ``how='left'`` keeps left rows
-    that find nothing; ``inner`` drops them.
+    that find nothing; ``inner`` drops them. A NULL key or time matches nothing. The rows of one
+    key are one window: right for series that are as long as a calendar, not for raw events of a hot key.
     """
+    right = right.dropna(subset=[*keys, right_time])
     kept = [c for c in left.columns if c not in keys]
     carried = F.struct(F.col(right_time).alias(right_time), *[F.col(c) for c in payload])
     body = left.select(
@@ -46,7 +48,7 @@ def next_rows(events: DataFrame, bars: DataFrame, keys: list[str], event_time: s
               bar_time: str, rows: int, bar_columns: list[str]) -> DataFrame:
     """Each event with its next ``rows`` bars after the event time.
 
-    An event without a later bar is kept with NULL bars. ``bar_no`` counts from 1.
+    An event without a later bar is kept with NULL bars. ``bar_no`` counts from 1. Groups as for ``asof_backward``.
     """
     placed = numbered(bars.select(*keys, bar_time, *bar_columns), keys, bar_time, "_pos")
     based = asof_backward(
@@ -71,8 +73,9 @@ def points_in_ranges(ranges: DataFrame, points: DataFrame, keys: list[str], rang
 
     A range [start, end] holds a point exactly when the first point at or after
     ``start`` is at or before ``end``: a forward as-of on the key instead of a
-    range join.
+    range join. A NULL key, start, end or point holds nothing. Groups as for ``asof_backward``.
     """
+    ranges, points = ranges.dropna(subset=[*keys, start]), points.dropna(subset=[*keys, point])
     w = (
         Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_side"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -94,7 +97,7 @@ def points_in_ranges(ranges: DataFrame, points: DataFrame, keys: list[str], rang
 def overlapping(intervals: DataFrame, keys: list[str], start: str, end: str, tie: str) -> DataFrame:
     """Intervals that begin on or before the latest earlier end of their key.
 
-    Non-empty exactly when some pair overlaps. NULL ends are open.
+    Non-empty exactly when some pair overlaps. NULL ends are open. Groups as for ``asof_backward``.
     """
     w = (
         Window.partitionBy(*keys).orderBy(F.col(start), F.col(tie))

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[Column], chooser) -> DataFrame:
+    """Rows that tie in ``order`` are settled by their values (maps aside), so every run picks the same."""
     rest = [c for c in df.columns if c not in keys]
-    chosen = chooser(F.struct(*[F.col(c) for c in rest]), F.struct(*order))
+    ties = [F.col(c) for c in rest if not isinstance(df.schema[c].dataType, MapType)]
+    chosen = chooser(F.struct(*[F.col(c) for c in rest]), F.struct(*order, *ties))
     return df.groupBy(*keys).agg(chosen.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
@@ -28,15 +31,23 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter("rows <> 1")
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows replace stored rows of the same key."""
-    both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
-    return last_per_key(both, keys, [F.col("_new")]).drop("_new")
+def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], arrival: str | None = None) -> DataFrame:
+    """Incoming rows replace stored rows of the same key, one row per key.
+
+    Of incoming rows that repeat a key the last by ``arrival`` wins, or without one the largest by its values.
+    """
+    both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    order = [F.col("_new"), *([F.col(arrival)] if arrival else [])]
+    return last_per_key(both, keys, order).select(*stored.columns)
 
 
 def merge_keep_known(stored: DataFrame, incoming: DataFrame, keys: list[str],
                      maps: list[str] = ()) -> DataFrame:
-    """Incoming values win unless NULL; map columns are merged key by key."""
+    """Incoming values win unless NULL; map columns are merged key by key.
+
+    One row per key: of rows that repeat a key on one side the largest by its values stands for that side.
+    """
+    stored, incoming = (last_per_key(df, keys, []) for df in (stored, incoming))
     names = [c for c in stored.columns if c not in keys]
 
     def side(df: DataFrame, name: str) -> DataFrame:

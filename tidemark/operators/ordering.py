@@ -27,6 +27,15 @@ def _spread(df: DataFrame, ws: Workspace, groups: list[str], order: list[Column]
     return ws.write(placed, name)
 
 
+def _join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys, NULL being equal to NULL as in GROUP BY."""
+    other = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(other[f"_k_{k}"])
+    return left.join(other, same).drop(*[f"_k_{k}" for k in keys])
+
+
 def _offsets(placed: DataFrame, groups: list[str], amount: Column) -> DataFrame:
     heads = placed.groupBy("_part", *groups).agg(
         amount.alias("_amount"), F.min("_seq").alias("_first")
@@ -48,7 +57,7 @@ def positions(df: DataFrame, ws: Workspace, groups: list[str], order: list[Colum
     """
     placed = _spread(df, ws, groups, order, "positions")
     heads = _offsets(placed, groups, F.count(F.lit(1)))
-    ranked = placed.join(heads, ["_part", *groups]).withColumn(
+    ranked = _join_same(placed, heads, ["_part", *groups]).withColumn(
         out, F.col("_before") + F.col("_seq") - F.col("_first") + 1
     ).drop("_first", "_before")
     for column, extra in (nested or {}).items():
@@ -56,8 +65,7 @@ def positions(df: DataFrame, ws: Workspace, groups: list[str], order: list[Colum
         heads = _offsets(placed, finer, F.count(F.lit(1)))
         inside = Window.partitionBy("_part", *finer).orderBy("_seq")
         ranked = (
-            ranked.withColumn("_in", F.row_number().over(inside))
-            .join(heads, ["_part", *finer])
+            _join_same(ranked.withColumn("_in", F.row_number().over(inside)), heads, ["_part", *finer])
             .withColumn(column, F.col("_before") + F.col("_in"))
             .drop("_in", "_first", "_before")
         )
@@ -74,8 +82,7 @@ def running_total(df: DataFrame, ws: Workspace, groups: list[str], order: list[C
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        placed.withColumn("_in", F.sum(amount).over(inside))
-        .join(heads, ["_part", *groups])
+        _join_same(placed.withColumn("_in", F.sum(amount).over(inside)), heads, ["_part", *groups])
         .withColumn(out, F.col("_before") + F.col("_in"))
         .drop("_part", "_seq", "_in", "_before")
     )
@@ -85,17 +92,17 @@ def percent_rank(df: DataFrame, ws: Workspace, groups: list[str], value: str, ou
     """(rank - 1) / (rows - 1), ties sharing the lowest rank, 0 for one row.
 
     Equal values are counted first, so a value shared by any number of rows
-    travels as one row.
+    travels as one row. NULL values come last and share a rank, NULL groups are a group: no row is lost.
     """
     counted = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counted, ws, groups, [F.col(value).asc()], "_n", "_upto")
+    placed = running_total(counted, ws, groups, [F.col(value).asc_nulls_last()], "_n", "_upto")
     totals = placed.groupBy(*groups).agg(F.max("_upto").alias("_rows"))
-    ranks = placed.join(totals, groups).select(
+    ranks = _join_same(placed, totals, groups).select(
         *groups, value,
         F.when(F.col("_rows") <= 1, F.lit(0.0))
         .otherwise((F.col("_upto") - F.col("_n")) / (F.col("_rows") - 1)).alias(out),
     )
-    return df.join(ranks, [*groups, value])
+    return _join_same(df, ranks, [*groups, value])
 
 
 def medians(df: DataFrame, ws: Workspace, groups: list[str], values: list[str],
@@ -119,7 +126,7 @@ def medians(df: DataFrame, ws: Workspace, groups: list[str], values: list[str],
     def holds(k: Column) -> Column:
         return (F.col("_upto") - F.col("_n") < k) & (k <= F.col("_upto"))
 
-    middle = placed.join(totals, keys).filter(holds(low) | holds(high))
+    middle = _join_same(placed, totals, keys).filter(holds(low) | holds(high))
     half = middle.groupBy(*keys).agg(
         ((F.min("_v") + F.max("_v")) / 2.0).alias("_median")
     )

@@ -11,32 +11,27 @@ RULE_SCHEMA = (
     "lot_size int, tick_size double, ara_pct double, arb_pct double, ara_absolute double, arb_absolute double"
 )
 
-# Up to this many rules travel inside the expression; more are joined.
-INLINE_RULES = 500
+# A rule table is a small dimension; a longer one is refused, never cut.
+MOST_RULES = 10_000
+
+#: The seeded lot, tick and auto-rejection rules, in the order of RULE_SCHEMA.
+SEEDED = [
+    ("LOT_REGULAR_CASH_20140106_100", "LOT_SIZE", "ALL", "2014-01-06", None, None, None, None, None, 100, None, None, None, None, None),
+    ("TICK_LT_200_20160502", "TICK_SIZE", "ALL", "2016-05-02", None, None, None, 200.0, False, None, 1.0, None, None, None, None),
+    ("TICK_200_TO_LT_500_20160502", "TICK_SIZE", "ALL", "2016-05-02", None, 200.0, True, 500.0, False, None, 2.0, None, None, None, None),
+    ("TICK_500_TO_LT_2000_20160502", "TICK_SIZE", "ALL", "2016-05-02", None, 500.0, True, 2000.0, False, None, 5.0, None, None, None, None),
+    ("TICK_2000_TO_LT_5000_20160502", "TICK_SIZE", "ALL", "2016-05-02", None, 2000.0, True, 5000.0, False, None, 10.0, None, None, None, None),
+    ("TICK_GE_5000_20160502", "TICK_SIZE", "ALL", "2016-05-02", None, 5000.0, True, None, None, None, 25.0, None, None, None, None),
+    ("AR_MAIN_DEV_NEW_50_TO_200_20250408", "AUTO_REJECTION", "MAIN_DEV_NEW", "2025-04-08", None, 50.0, True, 200.0, True, None, None, 0.35, 0.15, None, None),
+    ("AR_MAIN_DEV_NEW_GT_200_TO_5000_20250408", "AUTO_REJECTION", "MAIN_DEV_NEW", "2025-04-08", None, 200.0, False, 5000.0, True, None, None, 0.25, 0.15, None, None),
+    ("AR_MAIN_DEV_NEW_GT_5000_20250408", "AUTO_REJECTION", "MAIN_DEV_NEW", "2025-04-08", None, 5000.0, False, None, None, None, None, 0.20, 0.15, None, None),
+    ("AR_ACCEL_WATCH_1_TO_10_20250408", "AUTO_REJECTION", "ACCEL_WATCH", "2025-04-08", None, 1.0, True, 10.0, True, None, None, None, None, 1.0, 1.0),
+    ("AR_ACCEL_WATCH_GT_10_20250408", "AUTO_REJECTION", "ACCEL_WATCH", "2025-04-08", None, 10.0, False, None, None, None, None, 0.10, 0.10, None, None),
+]
 
 
 def seed_rules(spark: SparkSession) -> DataFrame:
-    """The seeded lot, tick and auto-rejection rules."""
-    lot, tick, ar = "2014-01-06", "2016-05-02", "2025-04-08"
-    rows = [("LOT_REGULAR_CASH_20140106_100", "LOT_SIZE", "ALL", lot, None, None, None, None, 100, None, None, None, None, None)]
-    for label, low, low_in, high, high_in, size in [
-        ("LT_200", None, None, 200.0, False, 1.0), ("200_TO_LT_500", 200.0, True, 500.0, False, 2.0),
-        ("500_TO_LT_2000", 500.0, True, 2000.0, False, 5.0), ("2000_TO_LT_5000", 2000.0, True, 5000.0, False, 10.0),
-        ("GE_5000", 5000.0, True, None, None, 25.0),
-    ]:
-        rows.append((f"TICK_{label}_20160502", "TICK_SIZE", "ALL", tick, low, low_in, high, high_in, None, size, None, None, None, None))
-    for label, low, low_in, high, high_in, up, down in [
-        ("50_TO_200", 50.0, True, 200.0, True, 0.35, 0.15), ("GT_200_TO_5000", 200.0, False, 5000.0, True, 0.25, 0.15),
-        ("GT_5000", 5000.0, False, None, None, 0.20, 0.15),
-    ]:
-        rows.append((f"AR_MAIN_DEV_NEW_{label}_20250408", "AUTO_REJECTION", "MAIN_DEV_NEW", ar, low, low_in, high, high_in,
-                     None, None, up, down, None, None))
-    rows.append(("AR_ACCEL_WATCH_1_TO_10_20250408", "AUTO_REJECTION", "ACCEL_WATCH", ar, 1.0, True, 10.0, True,
-                 None, None, None, None, 1.0, 1.0))
-    rows.append(("AR_ACCEL_WATCH_GT_10_20250408", "AUTO_REJECTION", "ACCEL_WATCH", ar, 10.0, False, None, None,
-                 None, None, 0.10, 0.10, None, None))
-    typed = [(*row[:4], None, *row[4:]) for row in rows]
-    return inline_table(spark, typed, RULE_SCHEMA)
+    return inline_table(spark, SEEDED, RULE_SCHEMA)
 
 
 def inline_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -68,35 +63,23 @@ def lookup(df: DataFrame, rules: DataFrame, rule_type: str, keys: list[str], dat
            price: str | None = None, group: str | None = None, values: list[str] = ("rule_key",)) -> DataFrame:
     """Rows with the values of the newest rule that applies, NULL where none does.
 
-    A few rules (the usual case, counted first) are evaluated as an array inside
-    the projection: no join and no shuffle. A long rule table is joined on the
-    board group, with rows and rules spread over salts so no group is hot, and
-    the newest match is kept per row key. ``rule_conflict`` marks rows for which
-    two rules share the newest date.
+    The rules of the type are one array, evaluated inside the projection: no join, no shuffle, no job while the
+    plan is made, and a row that repeats its keys is a row of its own. Of several rules with the newest date
+    the first by ``rule_key`` gives the values and ``rule_conflict`` is true. More than ``MOST_RULES`` rules of a type stop the query.
     """
-    wanted = rules.filter(F.col("rule_type") == rule_type)
     when, at, of = F.col(date), F.col(price) if price else None, F.col(group) if group else None
     fields = [c.strip().split()[0] for c in RULE_SCHEMA.split(",")]
-    if wanted.limit(INLINE_RULES + 1).count() <= INLINE_RULES:
-        packed = wanted.agg(F.collect_list(F.struct(*fields)).alias("_rules")).scalar()
-        out = df.withColumn("_rules", packed)
-        out = out.withColumn("_found", F.filter("_rules", lambda r: applies(r, when, at, of)))
-        out = out.withColumn("_top", F.array_max(F.transform(
-            "_found", lambda r: F.struct(r["effective_from"].alias("since"), r.alias("rule")))))
-        same = F.filter("_found", lambda r: r["effective_from"] == F.col("_top.since"))
-        return out.withColumns({v: F.col(f"_top.rule.{v}") for v in values}).withColumn(
-            "rule_conflict", F.size(same) > 1).drop("_rules", "_found", "_top")
-    salts = 64
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
-    copies = wanted.select(F.struct(*fields).alias("_r"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    rule = {c: F.col(f"_r.{c}") for c in fields}
-    matched = spread.join(copies, (spread["_salt"] == copies["_salt"]) & applies(rule, when, at, of), "inner")
-    best = matched.groupBy(*keys, F.col("_r.effective_from").alias("_from")).agg(
-        F.min("_r").alias("_r"), F.count(F.lit(1)).alias("_n")
-    ).groupBy(*keys).agg(F.max_by(F.struct("_r", "_n"), "_from").alias("_b"))
-    joined = df.join(best, keys, "left")
-    return joined.withColumns({v: F.col(f"_b._r.{v}") for v in values}).withColumn(
-        "rule_conflict", F.coalesce(F.col("_b._n") > 1, F.lit(False))).drop("_b")
+    listed = F.array_sort(F.collect_list(F.struct(*fields)))  # by rule_key
+    checked = F.when(F.count(F.lit(1)) > MOST_RULES, F.raise_error(F.lit(f"more than {MOST_RULES} rules")).cast("string"))
+    packed = rules.filter(F.col("rule_type") == rule_type).limit(MOST_RULES + 1).agg(
+        listed.alias("_rules"), checked.alias("_checked")).filter("_checked is null").select("_rules").scalar()
+    out = df.withColumn("_rules", packed)
+    out = out.withColumn("_found", F.filter("_rules", lambda r: applies(r, when, at, of)))
+    newest = F.array_max(F.transform("_found", lambda r: r["effective_from"]))
+    out = out.withColumn("_newest", newest)
+    out = out.withColumn("_same", F.filter("_found", lambda r: r["effective_from"] == F.col("_newest")))
+    return out.withColumns({v: F.try_element_at("_same", F.lit(1))[v] for v in values}).withColumn(
+        "rule_conflict", F.size("_same") > 1).drop("_rules", "_found", "_newest", "_same")
 
 
 def require_unambiguous(df: DataFrame) -> DataFrame:

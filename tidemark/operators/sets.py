@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A set up to this size is hashed as the reference hashes it; larger ones by parts.
-EXACT_FINGERPRINT_ROWS = 100_000
-
-
 def sided_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys with how often each side has them."""
     both = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
@@ -59,7 +55,10 @@ def votes(feeds: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_across(feed: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-    """Keys that were seen in more than one bucket, with the bucket list and surplus."""
+    """Keys that were seen in more than one bucket, with the bucket list and surplus.
+
+    The list per key is as long as there are distinct buckets (here: line numbers), not rows.
+    """
     return feed.groupBy(*keys).agg(
         F.array_sort(F.collect_set(bucket)).alias("_buckets"), F.count(F.lit(1)).alias("observations")
     ).filter(F.size("_buckets") > 1).select(
@@ -67,13 +66,11 @@ def repeated_across(feed: DataFrame, keys: list[str], bucket: str) -> DataFrame:
         "observations", (F.size("_buckets") - 1).alias("surplus"))
 
 
-def fingerprints(df: DataFrame, groups: list[str], member: str, limit: int = EXACT_FINGERPRINT_ROWS) -> DataFrame:
-    """One digest per group's set of members, equal exactly for equal sets.
+def fingerprints(df: DataFrame, groups: list[str], member: str) -> DataFrame:
+    """One digest per group's set of members, equal for equal sets, by one rule at every size.
 
-    Up to ``limit`` members: SHA-256 of the sorted members joined by newline.
-    Beyond it a set is not gathered; the members' own digests are added up in
-    four lanes, which needs no order, and the sums are hashed. The choice
-    depends on the size alone, so equal sets always take the same way.
+    The SHA-256 of each member is cut in four lanes of 15 hex digits, the lanes are added up over the set,
+    and the SHA-256 of the sums joined by | is the digest. Sums need no order, so no set is gathered.
     """
     members = df.select(*groups, member).distinct()
     digest = F.sha2(F.col(member), 256)
@@ -82,13 +79,8 @@ def fingerprints(df: DataFrame, groups: list[str], member: str, limit: int = EXA
         part = F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
         return F.sum(part).cast("string")
 
-    sized = members.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("members"), F.sha2(F.concat_ws("|", *[lane(i) for i in range(4)]), 256).alias("_added"))
-    small = sized.filter(F.col("members") <= limit).select(*groups)
-    sorted_text = F.array_join(F.array_sort(F.collect_list(member)), "\n")
-    exact = members.join(small, groups, "left_semi").groupBy(*groups).agg(F.sha2(sorted_text, 256).alias("_exact"))
-    return sized.join(exact, groups, "left").select(
-        *groups, "members", F.coalesce("_exact", "_added").alias("fingerprint"))
+    return members.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("members"), F.sha2(F.concat_ws("|", *[lane(i) for i in range(4)]), 256).alias("fingerprint"))
 
 
 def feed_completeness(feed: DataFrame, group: str, fields: list[str], symbol: str, date: str) -> DataFrame:

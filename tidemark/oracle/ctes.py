@@ -10,8 +10,8 @@ import re
 
 
 def r(expr: str, digits: int) -> str:
-    scale = f"1e{digits}"
-    return f"(round_even(({expr}) * {scale}, 0) / {scale} + 0.0)"
+    """Rounded through the exact decimal digits of the double, which DuckDB's formatter gives."""
+    return f"(CAST(format('{{:.{digits}f}}', CAST({expr} AS DOUBLE)) AS DOUBLE) + 0.0)"
 
 
 def clamp(expr: str, low: float = 0.0, high: float = 100.0) -> str:
@@ -31,8 +31,9 @@ def piecewise(x: str, knots: list[tuple[float, float]]) -> str:
 
 
 def profit_factor(value: str, cond: str = "true") -> str:
-    gain = f"coalesce(sum({value}) FILTER (WHERE {cond} AND {value} > 0), 0.0)"
-    loss = f"abs(sum({value}) FILTER (WHERE {cond} AND {value} < 0))"
+    exact = f"CAST({value} AS DECIMAL(28,8))"
+    gain = f"coalesce(CAST(sum({exact}) FILTER (WHERE {cond} AND {value} > 0) AS DOUBLE), 0.0)"
+    loss = f"abs(CAST(sum({exact}) FILTER (WHERE {cond} AND {value} < 0) AS DOUBLE))"
     return f"CASE WHEN {loss} > 0 THEN {r(f'{gain} / {loss}', 8)} END"
 
 

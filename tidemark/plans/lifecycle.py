@@ -120,9 +120,9 @@ def evidence_years(feeds: DataFrame, sources: list[str], anchor: str, current_ye
 
 # --- delisting evidence -------------------------------------------------------
 
-def delisting_records(rows: DataFrame) -> DataFrame:
-    """One record per (symbol, date); the spreadsheet wins over the page."""
-    return last_per_key(rows, ["symbol", "delisting_date"], [F.col("origin") == "XLSX"])
+def delisting_records(rows: DataFrame, arrival: str) -> DataFrame:
+    """One record per (symbol, date); the spreadsheet wins over the page, then the last to arrive."""
+    return last_per_key(rows, ["symbol", "delisting_date"], [F.col("origin") == "XLSX", F.col(arrival)])
 
 
 def delisting_months(counts: DataFrame, records: DataFrame) -> DataFrame:
@@ -138,12 +138,15 @@ def delisting_months(counts: DataFrame, records: DataFrame) -> DataFrame:
 
 # --- intervals ----------------------------------------------------------------
 
-def event_stream(*feeds: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Union of event feeds with clean symbols, inside the window."""
+def event_stream(*feeds: DataFrame, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Union of event feeds with clean symbols, inside the window if one is given."""
     out = feeds[0]
     for feed in feeds[1:]:
         out = out.unionByName(feed)
-    return out.withColumn("symbol", F.upper(F.trim("symbol"))).filter(F.col("effective_date").between(start, end))
+    out = out.withColumn("symbol", F.upper(F.trim("symbol")))
+    if start is not None:
+        out = out.filter(F.col("effective_date") >= start)
+    return out if end is None else out.filter(F.col("effective_date") <= end)
 
 
 def _ordered(baseline: DataFrame, events: DataFrame, start: Column) -> DataFrame:

@@ -7,10 +7,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import breadth, calibration, execution, features, outcomes, ownership, screener, setups
+from tidemark.plans import breadth, calibration, execution, features, lifecycle, outcomes, ownership, screener, setups
 from tidemark.session import Workspace
 from tidemark.sources import bars as bar_rules
-from tidemark.sources.tables import Source
+from tidemark.sources import feeds
+from tidemark.sources.tables import PART_BYTES, Source
 
 VERSION = "current_20011104"
 
@@ -19,10 +20,11 @@ class Pipeline:
     """Stages that several others read are written to the workspace, as the
     stored tables of a daily build are; the rest stay lazy."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, part_bytes: int = PART_BYTES):
+        """``part_bytes``: about how much of the largest table one bucket of the keyed stages holds."""
         self.spark = spark
         self.source = Source(spark, folder)
-        self.ws = Workspace(spark, self.source.parts("lineitem"))
+        self.ws = Workspace(spark, self.source.parts("lineitem", part_bytes))
 
     @cached_property
     def instruments(self) -> DataFrame:
@@ -126,6 +128,20 @@ class Pipeline:
         inputs = execution.execution_inputs(self.calibration, self.bars, self.source.corporate_actions())
         return self.ws.write(execution.execution_rows(inputs, f"execution_realism_v1_{VERSION}"), "execution")
 
+    @cached_property
+    def presence(self) -> DataFrame:
+        return self.ws.write(feeds.presence(self.source), "presence")
+
+    @cached_property
+    def life_events(self) -> DataFrame:
+        stream = lifecycle.event_stream(feeds.lifecycle_events(self.presence))
+        # symbols keep the case of the feed here
+        return self.ws.write(stream.withColumn("symbol", F.replace("symbol", F.lit("SUPPLIER"), F.lit("Supplier"))), "life-events")
+
+    @cached_property
+    def listing_feeds(self) -> DataFrame:
+        return self.ws.write(feeds.listing_feeds(self.source), "listing-feeds")
+
     @cached_property
     def sensitivity(self) -> DataFrame:
         return self.ws.write(execution.sensitivity_rows(self.execution), "sensitivity")

@@ -134,8 +134,9 @@ def dataset_coverage(rows: DataFrame, dataset: str, dates: list[str], complete:
     ).withColumns({"history_complete": F.lit(complete), "blocking_reason": F.lit(blocking).cast("string")})
 
 
-def trading_calendar(observed: DataFrame, start: Column, end: Column, spark) -> DataFrame:
-    """Every day of the range: observed, weekend or unverified weekday."""
+def trading_calendar(observed: DataFrame, spark) -> DataFrame:
+    """Every day from the first to the last observed one: observed, weekend or unverified weekday."""
+    start, end = (observed.agg(f("trading_date").alias("d")).select("d").scalar() for f in (F.min, F.max))
     days = spark.range(1).select(F.explode(F.sequence(start, end)).alias("trading_date"))
     seen = observed.select("trading_date").distinct().withColumn("_seen", F.lit(True))
     kind = (

@@ -154,18 +154,10 @@ def setup_candidates(screened: DataFrame, features: DataFrame, bars: DataFrame)
 
 
 def setup_thesis() -> Column:
-    """Fixed sentence of the decision; a rejection lists its reasons."""
-    listed = F.when(F.size("decision_reasons") > 0, F.array_join("decision_reasons", ", ")).otherwise("UNSPECIFIED_REJECTION")
-    return (
-        F.when(F.col("setup_decision") == "ACCEPT", F.lit(
-            "Phase 3I V1 long swing setup passed deterministic structure, extension, stop-width, "
-            "reward/risk, and normalized position-sizing gates."))
-        .when(F.col("setup_decision") == "WATCH", F.lit(
-            "Phase 3I V1 candidate remains on watch because price is extended from EMA20. The setup requires a "
-            "pullback toward the proposed entry zone before it can be reconsidered."))
-        .otherwise(F.concat(
-            F.lit("Phase 3I V1 candidate was rejected by deterministic risk or structure gates: "), listed, F.lit(".")))
-    )
+    """The decision with its reason codes; a rejection without any says so."""
+    missing = F.when(F.col("setup_decision") == "ACCEPT", "ALL_GATES_PASSED").otherwise("UNSPECIFIED_REJECTION")
+    listed = F.when(F.size("decision_reasons") > 0, F.array_join("decision_reasons", ", ")).otherwise(missing)
+    return F.concat("setup_decision", F.lit(": "), listed)
 
 
 def setup_evidence() -> Column:

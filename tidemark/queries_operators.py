@@ -45,6 +45,11 @@ QUALIFY row_number() OVER (PARTITION BY sector_code ORDER BY trading_date DESC)
 register("turnover_percent_rank", lambda p: percent_rank(
     p.bars.select(*KEY, "volume"), p.ws, ["trading_date"], "volume", "volume_rank").select(*KEY, rnd("volume_rank", 8).alias("volume_rank")), f"""
 SELECT instrument_id, trading_date, {r("percent_rank() OVER (PARTITION BY trading_date ORDER BY volume)", 8)} AS volume_rank FROM bars""")
+_GAPPED = "CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS g, CASE WHEN l_quantity <> 7 THEN l_discount END AS v"
+register("percent_rank_with_nulls", lambda p: percent_rank(
+    p.source.table("lineitem").selectExpr("l_orderkey", "l_linenumber", *_GAPPED.split(", ")), p.ws, ["g"], "v", "r").select(
+    "l_orderkey", "l_linenumber", "g", "v", rnd("r", 8).alias("r")), f"""
+SELECT l_orderkey, l_linenumber, g, v, {r("percent_rank() OVER (PARTITION BY g ORDER BY v NULLS LAST)", 8)} AS r FROM (SELECT l_orderkey, l_linenumber, {_GAPPED} FROM lineitem)""")
 register("exact_medians", lambda p: medians(p.source.table("lineitem"), p.ws, ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"], 4), f"""
 SELECT l_returnflag, l_linestatus, {r("median(l_quantity)", 4)} AS median_l_quantity, {r("median(l_extendedprice)", 4)} AS median_l_extendedprice FROM lineitem GROUP BY 1, 2""")
 register("gap_audit", lambda p: quality.gap_audit(p.bars), """
@@ -65,6 +70,16 @@ register("enough_history", lambda p: feature_plans.enough_history(p.bars, 390).g
 
 # --- joins ------------------------------------------------------------------------
 
+_SEEN = "CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END AS k, CASE WHEN l_linenumber <> 2 THEN CAST(l_shipdate AS DATE) END AS t"
+_KNOWN = "CASE WHEN ps % 5 <> 0 THEN ps END AS k, CASE WHEN day(d) <> 1 THEN d END AS at"
+register("asof_with_nulls", lambda p: asof_backward(
+    p.source.table("lineitem").selectExpr("l_orderkey", "l_linenumber", *_SEEN.split(", ")),
+    p.source.table("lineitem").filter("l_quantity > 45").selectExpr("l_suppkey AS ps", "CAST(l_shipdate AS DATE) AS d").distinct().selectExpr(*_KNOWN.split(", ")),
+    ["k"], "t", "at", [], "left"), f"""
+SELECT l_orderkey, l_linenumber, s.k, t, known AS "at" FROM (SELECT l_orderkey, l_linenumber, {_SEEN} FROM lineitem) s
+ASOF LEFT JOIN (SELECT k, "at" AS known FROM (SELECT {_KNOWN.replace("AS at", 'AS "at"')} FROM (
+  SELECT DISTINCT l_suppkey AS ps, CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_quantity > 45))) e
+ON s.k = e.k AND s.t >= e.known""")
 register("asof_left_ownership", lambda p: asof_backward(
     p.bars.select(*KEY, "close"), p.trends.select("instrument_id", "as_of_date", "trend_label", "signal_strength"), ["instrument_id"],
     "trading_date", "as_of_date", ["trend_label", "signal_strength"], "left"), """
@@ -143,11 +158,11 @@ SELECT symbol, sector_code, overall_score, universe_rank, sector_rank, status FR
 register("latest_sector_ranking", lambda p: p.integrated.filter(F.col("trading_date") == _last(p.integrated)).select(
     "sector_code", "integrated_score", "integrated_label", "alignment_label").orderBy(F.col("integrated_score").desc()), """
 SELECT sector_code, integrated_score, integrated_label, alignment_label FROM integrated WHERE trading_date = (SELECT max(trading_date) FROM integrated)""")
-register("setup_list", lambda p: p.setups.select("symbol", "trading_date", "setup_decision", "expected_rr").orderBy(
+_SETUP_COLUMNS = ["instrument_id", "symbol", "trading_date", "setup_decision", "status", "entry_low", "entry_high", "stop_price", "expected_rr"]
+register("setup_list", lambda p: p.setups.filter(F.col("trading_date") == _last(p.setups)).select(*_SETUP_COLUMNS).orderBy(
     F.when(F.col("setup_decision") == "ACCEPT", 1).when(F.col("setup_decision") == "WATCH", 2).otherwise(3),
-    F.col("expected_rr").desc_nulls_last(), "symbol", "trading_date").limit(30), """
-SELECT symbol, trading_date, setup_decision, expected_rr FROM setups
-ORDER BY CASE setup_decision WHEN 'ACCEPT' THEN 1 WHEN 'WATCH' THEN 2 ELSE 3 END, expected_rr DESC NULLS LAST, symbol, trading_date LIMIT 30""")
+    F.col("expected_rr").desc_nulls_last(), "symbol"), f"""
+SELECT {", ".join(_SETUP_COLUMNS)} FROM setups WHERE trading_date = (SELECT max(trading_date) FROM setups)""")
 register("recent_screener_dates", lambda p: quality.recent_dates(p.screened, "trading_date", 20),
          "SELECT DISTINCT trading_date FROM screened ORDER BY trading_date DESC LIMIT 20")
 register("top_candidates", lambda p: p.screened.filter(F.col("trading_date") == _last(p.screened)).filter("status <> 'AVOID'").orderBy("universe_rank").select(
@@ -156,10 +171,12 @@ SELECT symbol, overall_score, status, universe_rank FROM screened WHERE trading_
 register("recent_outcomes", lambda p: p.outcomes.orderBy(F.col("trading_date").desc(), "symbol").select(
     "signal_id", "symbol", "trading_date", "outcome_label", "realized_r").limit(20), """
 SELECT signal_id, symbol, trading_date, outcome_label, realized_r FROM outcomes ORDER BY trading_date DESC, symbol LIMIT 20""")
-register("ownership_leaders", lambda p: p.trends.filter(F.col("as_of_date") == _last(p.trends, "as_of_date")).orderBy(
-    F.col("delta_foreign_ownership_pp").desc(), "instrument_id").select("instrument_id", "delta_foreign_ownership_pp", "trend_label").limit(20), """
-SELECT instrument_id, delta_foreign_ownership_pp, trend_label FROM trends WHERE as_of_date = (SELECT max(as_of_date) FROM trends)
-ORDER BY delta_foreign_ownership_pp DESC, instrument_id LIMIT 20""")
+_LEADER_COLUMNS = ["instrument_id", "foreign_ownership_pct", "delta_foreign_ownership_pp", "delta_foreign_shares", "trend_label"]
+register("ownership_leaders", lambda p: p.trends.filter(F.col("as_of_date") == _last(p.trends, "as_of_date")).join(
+    p.instruments.select("instrument_id", "symbol", "sector_code"), "instrument_id").select("symbol", "sector_code", *_LEADER_COLUMNS).orderBy(
+    F.col("delta_foreign_ownership_pp").desc(), "instrument_id"), f"""
+SELECT i.symbol, i.sector_code, {", ".join("t." + c for c in _LEADER_COLUMNS)} FROM trends t JOIN instruments i ON i.instrument_id = t.instrument_id
+WHERE t.as_of_date = (SELECT max(as_of_date) FROM trends)""")
 
 # --- validation, deduplication, merges ----------------------------------------------
 
@@ -200,6 +217,14 @@ UNION ALL SELECT 'AFTER_TARGET_END_DATE', count(*) FROM arrivals WHERE e3 UNION
 UNION ALL SELECT 'NEGATIVE_VOLUME', count(*) FROM arrivals WHERE e4) WHERE bars > 0""")
 register("accepted_bars", lambda p: bar_ops.accepted_bars(_arrivals(p), KEY, [F.col("arrival")], "listed", "target").select(*KEY, "close"),
          "SELECT instrument_id, trading_date, close FROM arrivals WHERE NOT e1 AND NOT e2 AND NOT e3 AND NOT e4")
+def _repeated(p, parity: int):
+    return p.source.table("lineitem").filter(F.pmod("l_linenumber", F.lit(2)) == parity).select(
+        F.col("l_partkey").alias("part"), F.col("l_orderkey").alias("arrival"), F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("price"))
+
+
+register("upsert_repeated_keys", lambda p: keyed.upsert(_repeated(p, 0), _repeated(p, 1), ["part"], "arrival"), """
+SELECT part, arrival, line, price FROM (SELECT l_partkey AS part, l_orderkey AS arrival, l_linenumber AS line, l_extendedprice AS price,
+  row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber % 2 DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS i FROM lineitem) WHERE i = 1""")
 register("price_upsert", lambda p: keyed.upsert(
     p.bars.filter("volume < 40").select(*KEY, "close"), p.bars.filter("volume > 20").select(*KEY, (F.col("close") * 2).alias("close")), KEY), """
 SELECT instrument_id, trading_date, CASE WHEN volume > 20 THEN close * 2 ELSE close END AS close FROM bars WHERE volume < 40 OR volume > 20""")

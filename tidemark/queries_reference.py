@@ -14,7 +14,9 @@ from tidemark.plans import lifecycle, pit, quality
 from tidemark.sources import bars as bar_ops
 from tidemark.sources import feeds, holdings, pages, profiles
 
-START, END = "1995-01-01", "2001-12-31"
+# the window of the lifecycle queries: the years that have observations
+FIRST_DAY = "(SELECT CAST(date_trunc('year', min(first_seen)) AS DATE) FROM presence)"
+LAST_DAY = "(SELECT make_date(CAST(max(month) // 12 AS INTEGER), 12, 31) FROM presence)"
 SNAPSHOT_DAY = "2001-11-04"
 SOURCES = ["LISTING_ACTIVITY", "DIGITAL_STATISTIC", "NEWLY_LISTED_PERFORMANCE"]
 MONTH = "(year({d}) * 12 + month({d}) - 1)"
@@ -29,6 +31,7 @@ def _lit_date(text: str):
 CTES["presence"] = f"""
 SELECT s_name AS symbol, CAST({MONTH.format(d="l_shipdate")} AS BIGINT) AS month, min(CAST(l_shipdate AS DATE)) AS first_seen
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2"""
+_LANES = "|| '|' ||".join(f"CAST(sum(CAST('0x' || substr(sha256(symbol), {1 + 15 * i}, 15) AS HUGEINT)) AS VARCHAR)" for i in range(4))
 CTES["presence_gaps"] = """
 SELECT *, lag(month) OVER w AS pm, lead(month) OVER w AS nm, min(month) OVER () AS lo, max(month) OVER () AS hi
 FROM presence WINDOW w AS (PARTITION BY symbol ORDER BY month)"""
@@ -45,17 +48,20 @@ register("lifecycle_events", lambda p: _events(p), "SELECT * FROM life_events")
 
 
 def _present(p):
-    if not hasattr(p, "_presence"):
-        p._presence = p.ws.write(feeds.presence(p.source), "presence")
-    return p._presence
+    return p.presence
+
+
+def _first_day(p):
+    return _present(p).agg(F.trunc(F.min("first_seen"), "year").alias("d")).select("d").scalar()
+
+
+def _last_day(p):
+    year = F.floor(F.max("month") / 12).cast("int")
+    return _present(p).agg(F.make_date(year, F.lit(12), F.lit(31)).alias("d")).select("d").scalar()
 
 
 def _events(p):
-    if not hasattr(p, "_life_events"):
-        stream = lifecycle.event_stream(feeds.lifecycle_events(_present(p)), start=_lit_date(START), end=_lit_date(END))
-        # symbols keep the case of the feed here
-        p._life_events = p.ws.write(stream.withColumn("symbol", F.replace("symbol", F.lit("SUPPLIER"), F.lit("Supplier"))), "life-events")
-    return p._life_events
+    return p.life_events
 
 
 def _baseline(p):
@@ -64,14 +70,14 @@ def _baseline(p):
 
 
 def _intervals(p):
-    return lifecycle.intervals(_baseline(p), _events(p), _lit_date(START))
+    return lifecycle.intervals(_baseline(p), _events(p), _first_day(p))
 
 
 CTES["life_ordered"] = f"""
 SELECT *, coalesce(sum(CASE WHEN event_type = 'DELISTED' THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY o, effective_date, event_type
    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g,
    lead(effective_date) OVER (PARTITION BY symbol ORDER BY o, effective_date, event_type) AS nxt
-FROM (SELECT symbol, DATE '{START}' AS effective_date, 'WINDOW_BASELINE' AS event_type, 0 AS o FROM life_baseline
+FROM (SELECT symbol, {FIRST_DAY} AS effective_date, 'WINDOW_BASELINE' AS event_type, 0 AS o FROM life_baseline
       UNION ALL SELECT symbol, effective_date, event_type, 1 FROM life_events)"""
 CTES["life_intervals"] = """
 SELECT symbol, start_at AS valid_from, valid_to, start_reason, CASE WHEN valid_to IS NOT NULL THEN 'DELISTED' END AS end_reason
@@ -94,29 +100,29 @@ def _listed_spans(p):
         "symbol", F.col("first_seen").alias("valid_from"), F.date_add("first_seen", (F.lit(16) + F.col("month") % 5).cast("int")).alias("valid_to"))
 
 
-register("bounded_lifecycle_rows", lambda p: lifecycle.bounded_rows(_intervals(p), _events(p), _lit_date(END)), f"""
+register("bounded_lifecycle_rows", lambda p: lifecycle.bounded_rows(_intervals(p), _events(p), _last_day(p)), f"""
 SELECT symbol, effective_from, effective_to, lifecycle_status, membership_status, listing_date, delisting_date, quality,
        'UNKNOWN' AS availability_status, false AS point_in_time_safe FROM (
-  SELECT symbol, valid_from AS effective_from, CASE WHEN valid_to IS NOT NULL THEN valid_to - 1 ELSE DATE '{END}' END AS effective_to,
+  SELECT symbol, valid_from AS effective_from, CASE WHEN valid_to IS NOT NULL THEN valid_to - 1 ELSE {LAST_DAY} END AS effective_to,
          'LISTED' AS lifecycle_status, 'ACTIVE' AS membership_status, CASE WHEN start_reason <> 'WINDOW_BASELINE' THEN first_listing END AS listing_date,
          valid_to AS delisting_date, CASE WHEN valid_to IS NOT NULL OR start_reason = 'WINDOW_BASELINE' THEN 'WARNING' ELSE 'VALID' END AS quality
   FROM life_intervals LEFT JOIN (SELECT symbol, min(effective_date) AS first_listing FROM life_events WHERE event_type <> 'DELISTED' GROUP BY 1) USING (symbol)
   UNION ALL
-  SELECT symbol, valid_to, DATE '{END}', 'DELISTED', 'INACTIVE', NULL, valid_to, 'WARNING' FROM life_intervals WHERE valid_to IS NOT NULL)""")
+  SELECT symbol, valid_to, {LAST_DAY}, 'DELISTED', 'INACTIVE', NULL, valid_to, 'WARNING' FROM life_intervals WHERE valid_to IS NOT NULL)""")
 
 register("bounded_lifecycle_validation", lambda p: quality.bounded_validation(
-    lifecycle.bounded_rows(_intervals(p), _events(p), _lit_date(END))), """
+    lifecycle.bounded_rows(_intervals(p), _events(p), _last_day(p))), """
 SELECT count(*) AS lifecycle_rows, count(*) FILTER (WHERE st = 'LISTED') AS active_rows, count(*) FILTER (WHERE st = 'DELISTED') AS inactive_rows,
   0::BIGINT AS point_in_time_true, 0::BIGINT AS availability_known, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM bounded_spans b
     WHERE b.symbol = a.symbol AND (b.f, b.st) < (a.f, a.st) AND b.t >= a.f)) AS overlapping_rows FROM bounded_spans a""", {"bounded_spans": f"""
-SELECT symbol, valid_from AS f, coalesce(valid_to - 1, DATE '{END}') AS t, 'LISTED' AS st FROM life_intervals
-UNION ALL SELECT symbol, valid_to, DATE '{END}', 'DELISTED' FROM life_intervals WHERE valid_to IS NOT NULL"""})
+SELECT symbol, valid_from AS f, coalesce(valid_to - 1, {LAST_DAY}) AS t, 'LISTED' AS st FROM life_intervals
+UNION ALL SELECT symbol, valid_to, {LAST_DAY}, 'DELISTED' FROM life_intervals WHERE valid_to IS NOT NULL"""})
 CTES["life_replayed"] = f"""
 SELECT DISTINCT symbol, unnest(range(m, greatest(m, e) + 1)) AS month FROM (
   SELECT symbol, {MONTH.format(d="effective_date")} AS m, CASE WHEN event_type = 'DELISTED' THEN {MONTH.format(d="effective_date")}
          ELSE coalesce({MONTH.format(d="nxt")}, (SELECT max(month) FROM presence)) END AS e FROM life_ordered)"""
 register("presence_replay", lambda p: lifecycle.replay(
-    _present(p), _baseline(p), _events(p), _lit_date(START), _present(p).agg(F.max("month").alias("b")).select("b").scalar()
+    _present(p), _baseline(p), _events(p), _first_day(p), _present(p).agg(F.max("month").alias("b")).select("b").scalar()
 ).withColumn("month", F.col("month").cast("long")), f"""
 SELECT month, count(o) AS observed_symbols, count(r) AS replayed_symbols, count(*) FILTER (WHERE r IS NULL) AS missing_from_replay,
        count(*) FILTER (WHERE o IS NULL AND d IS NULL) AS extra_in_replay, count(*) FILTER (WHERE o IS NULL AND d IS NOT NULL) AS tolerated_same_month_delisting,
@@ -168,11 +174,11 @@ register("removal_candidates", lambda p: lifecycle.removal_candidates(_present(p
 SELECT c.symbol, month - 1 AS last_present_month, month AS first_absent_month, last_month > month AS later_reappearance,
        CASE WHEN last_month > month THEN 'TEMPORARY_ABSENCE_OR_DATA_GAP' ELSE 'PERSISTENT_REMOVAL_CANDIDATE' END AS classification
 FROM changes c JOIN (SELECT symbol, max(month) AS last_month FROM presence GROUP BY 1) l ON l.symbol = c.symbol WHERE change = 'REMOVED'""")
-register("membership_fingerprints", lambda p: sets.fingerprints(_present(p), ["month"], "symbol").withColumn("month", F.col("month").cast("long")), """
-SELECT month, count(*) AS members, sha256(string_agg(symbol, chr(10) ORDER BY symbol)) AS fingerprint FROM presence GROUP BY 1""")
+register("membership_fingerprints", lambda p: sets.fingerprints(_present(p), ["month"], "symbol").withColumn("month", F.col("month").cast("long")), f"""
+SELECT month, count(*) AS members, sha256({_LANES}) AS fingerprint FROM presence GROUP BY 1""")
 register("distinct_fingerprints", lambda p: sets.fingerprints(_present(p), ["month"], "symbol").agg(
     F.count_distinct("fingerprint").alias("distinct_sets"), F.count(F.lit(1)).alias("months")), """
-SELECT count(DISTINCT f) AS distinct_sets, count(*) AS months FROM (SELECT month, sha256(string_agg(symbol, chr(10) ORDER BY symbol)) AS f FROM presence GROUP BY 1)""")
+SELECT count(DISTINCT f) AS distinct_sets, count(*) AS months FROM (SELECT month, string_agg(symbol, chr(10) ORDER BY symbol) AS f FROM presence GROUP BY 1)""")
 register("lifecycle_preflight", lambda p: lifecycle.preflight(
     _intervals(p), p.source.table("supplier").filter("s_acctbal >= 1000").select(F.col("s_name").alias("symbol")),
     p.source.table("supplier").filter("s_acctbal < 0").select(F.col("s_name").alias("symbol")), _events(p)), """
@@ -205,9 +211,7 @@ FROM (SELECT *, CASE WHEN best_votes >= 2 AND tied = 1 AND dates > 1 THEN 'CONFL
 
 
 def _feeds(p):
-    if not hasattr(p, "_listing_feeds"):
-        p._listing_feeds = p.ws.write(feeds.listing_feeds(p.source), "listing-feeds")
-    return p._listing_feeds
+    return p.listing_feeds
 
 
 register("listing_votes", lambda p: sets.votes(_feeds(p), ["year", "symbol", "listing_date"]).withColumn("sources", F.array_join("sources", ",")),
@@ -263,10 +267,10 @@ CTES["activity"] = """
 SELECT s_name AS symbol, year(l_shipdate) AS year, CAST(l_shipdate AS DATE) AS listing_date, l_linenumber, l_returnflag, l_quantity
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey"""
 CTES["pairs_lr"] = """
-SELECT year, symbol, listing_date, count(*) FILTER (WHERE l_linenumber IN (6, 7)) AS l, count(*) FILTER (WHERE l_linenumber IN (5, 7)) AS r
-FROM activity WHERE l_linenumber IN (5, 6, 7) GROUP BY 1, 2, 3"""
+SELECT year, symbol, listing_date, count(*) FILTER (WHERE l_linenumber IN (1, 2, 3, 4, 6, 7)) AS l, count(*) FILTER (WHERE l_linenumber IN (1, 2, 3, 5, 7)) AS r
+FROM activity GROUP BY 1, 2, 3"""
 register("source_reconciliation", lambda p: sets.reconcile(
-    feeds.activity_rows(p.source, 6, 7), feeds.activity_rows(p.source, 5, 7), ["year"], "symbol", "listing_date"), """
+    feeds.activity_rows(p.source, 1, 2, 3, 4, 6, 7), feeds.activity_rows(p.source, 1, 2, 3, 5, 7), ["year"], "symbol", "listing_date"), """
 SELECT *, CASE WHEN left_only = 0 AND right_only = 0 AND date_disagreements = 0 AND left_duplicates = 0 AND right_duplicates = 0 THEN 'PASS' ELSE 'MISMATCH' END AS verdict
 FROM (SELECT year, CAST(sum(a) AS BIGINT) AS left_count, CAST(sum(b) AS BIGINT) AS right_count, CAST(sum(ab) AS BIGINT) AS exact_matches,
         CAST(sum(a - ab) AS BIGINT) AS left_only, CAST(sum(b - ab) AS BIGINT) AS right_only,
@@ -274,10 +278,10 @@ FROM (SELECT year, CAST(sum(a) AS BIGINT) AS left_count, CAST(sum(b) AS BIGINT)
       FROM (SELECT year, symbol, count(*) FILTER (WHERE l > 0) AS a, count(*) FILTER (WHERE r > 0) AS b, count(*) FILTER (WHERE l > 0 AND r > 0) AS ab,
               sum(greatest(l - 1, 0)) AS dl, sum(greatest(r - 1, 0)) AS dr FROM pairs_lr GROUP BY 1, 2) GROUP BY 1)""")
 register("source_disagreements", lambda p: sets.disagreements(
-    feeds.activity_rows(p.source, 6, 7), feeds.activity_rows(p.source, 5, 7), ["year"], "symbol", "listing_date"), """
+    feeds.activity_rows(p.source, 1, 2, 3, 4, 6, 7), feeds.activity_rows(p.source, 1, 2, 3, 5, 7), ["year"], "symbol", "listing_date"), """
 SELECT * FROM (SELECT year, symbol, string_agg(CAST(listing_date AS VARCHAR), ',' ORDER BY listing_date) FILTER (WHERE l > 0) AS left_dates,
    string_agg(CAST(listing_date AS VARCHAR), ',' ORDER BY listing_date) FILTER (WHERE r > 0) AS right_dates FROM pairs_lr GROUP BY 1, 2)
-WHERE left_dates <> right_dates""")
+WHERE left_dates <> '' AND right_dates <> '' AND left_dates <> right_dates""")
 register("repeated_records", lambda p: sets.repeated_across(
     feeds.activity_rows(p.source, 1, 2, 3, 4, 5, 6, 7), ["symbol", "listing_date"], "l_linenumber"), """
 SELECT symbol, listing_date, string_agg(DISTINCT CAST(l_linenumber AS VARCHAR), ',' ORDER BY CAST(l_linenumber AS VARCHAR)) AS buckets, count(*) AS observations,
@@ -296,10 +300,10 @@ def _delisting_rows(p):
     return page.unionByName(sheet)
 
 
-register("delisting_records", lambda p: lifecycle.delisting_records(_delisting_rows(p)), """
+register("delisting_records", lambda p: lifecycle.delisting_records(_delisting_rows(p), "copy"), """
 SELECT symbol, effective_date AS delisting_date, CASE WHEN month(effective_date) % 3 = 0 THEN 'XLSX' ELSE 'HTML' END AS origin,
        CASE WHEN month(effective_date) % 3 = 0 THEN 2 ELSE 1 END AS copy FROM life_events WHERE event_type = 'DELISTED'""")
-register("delisting_months", lambda p: lifecycle.delisting_months(_highlights(p), lifecycle.delisting_records(_delisting_rows(p))).withColumns(
+register("delisting_months", lambda p: lifecycle.delisting_months(_highlights(p), lifecycle.delisting_records(_delisting_rows(p), "copy")).withColumns(
     {"month": F.col("month").cast("long"), "resolved_rows": F.col("resolved_rows").cast("long")}), f"""
 SELECT month, issuer_count, CASE WHEN issuer_count > 0 THEN k ELSE 0 END AS resolved_rows,
   CASE WHEN issuer_count IS NULL THEN 'COUNT_UNKNOWN' WHEN issuer_count <= 0 THEN 'NO_POSITIVE_COUNT' WHEN issuer_count = k THEN 'RESOLVED' WHEN k > 0 THEN 'PARTIAL'
@@ -308,10 +312,10 @@ FROM (SELECT h.*, (SELECT count(*) FROM life_events e WHERE event_type = 'DELIST
 
 # --- calendar, availability, boards, rules --------------------------------------
 
-register("trading_calendar", lambda p: pit.trading_calendar(p.index_bars, _lit_date("1995-01-01"), _lit_date("2001-12-31"), p.spark), """
+register("trading_calendar", lambda p: pit.trading_calendar(p.index_bars, p.spark), """
 SELECT d AS trading_date, t IS NOT NULL AS is_trading_day, CASE WHEN t IS NOT NULL THEN 'OBSERVED_TRADING' WHEN isodow(d) >= 6 THEN 'WEEKEND'
   ELSE 'UNVERIFIED_NON_TRADING' END AS day_type, false AS verified
-FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d)
+FROM (SELECT CAST(unnest(generate_series((SELECT min(trading_date) FROM index_bars), (SELECT max(trading_date) FROM index_bars), INTERVAL 1 DAY)) AS DATE) AS d)
 LEFT JOIN (SELECT DISTINCT trading_date AS t FROM index_bars) ON t = d""")
 
 

@@ -20,6 +20,10 @@ LINK_ATTRIBUTES = {"a": "href", "script": "src", "form": "action"}
 DATA_ATTRIBUTES = ["data-url", "data-api", "data-endpoint", "data-download", "data-source"]
 
 
+# What counts as a reference in the text of a page.
+ABSOLUTE_REFERENCE = r"(?i)https?://[^\s\"'<>]+"
+QUOTED_PATH = r"[\"'](/[^\"'<>]{2,300})[\"']"
+
 def unescape(text) -> Column:
     """The common character references; the ampersand last."""
     out = F.col(text) if isinstance(text, str) else text
@@ -100,8 +104,8 @@ def page_references(pages: DataFrame, base: str = "url", html: str = "html") ->
     found += [F.when(F.contains(low, F.lit(attr)), attribute("_tag", attr)) for attr in DATA_ATTRIBUTES]
     attrs = tags.select(*kept, F.explode(F.array_compact(F.array(*found))).alias("reference"))
     loose = pages.select(*kept, F.explode(F.concat(
-        F.regexp_extract_all(html, F.lit(r"(?i)https?://[^\s\"'<>]+"), F.lit(0)),
-        F.regexp_extract_all(html, F.lit(r"[\"'](/[^\"'<>]{2,300})[\"']"), F.lit(1)))).alias("reference"))
+        F.regexp_extract_all(html, F.lit(ABSOLUTE_REFERENCE), F.lit(0)),
+        F.regexp_extract_all(html, F.lit(QUOTED_PATH), F.lit(1)))).alias("reference"))
     return attrs.unionByName(loose)
 
 

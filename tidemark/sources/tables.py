@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import rnd
 
 
+PART_BYTES = 64 << 20
+
+
 class Source:
     """Lazy logical tables over one folder of Parquet files."""
 
@@ -18,13 +21,12 @@ class Source:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def parts(self, name: str, part_bytes: int = 64 << 20) -> int:
-        """How many parts to lay a table out in: one per 64 MB of input, at least one per
-        core and at most the session's shuffle partitions. Reads file sizes only."""
+    def parts(self, name: str, part_bytes: int = PART_BYTES) -> int:
+        """How many parts to lay a table out in: one per ``part_bytes`` of input and at least
+        one per core. Reads file sizes only."""
         files = self.spark.read.format("binaryFile").load(f"{self.folder}/{name}.parquet")
         size = files.select("length").agg(F.sum("length")).first()[0] or 0
-        wanted = max(self.spark.sparkContext.defaultParallelism, -(-size // part_bytes))
-        return min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+        return max(self.spark.sparkContext.defaultParallelism, -(-size // part_bytes))
 
     def instruments(self) -> DataFrame:
         """supplier x nation x region; the two lookups are small fixed tables."""
