@@ -9,8 +9,8 @@ from tidemark.session import Workspace, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("4", shuffle_partitions=4, memory="4g")
+def spark(tmp_path_factory):
+    return local_session("4", shuffle_partitions=4, memory="4g", shared=str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture()

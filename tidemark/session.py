@@ -17,8 +17,11 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """Session for tests and the benchmark; a cluster brings its own."""
+def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """Session for tests and the benchmark; a cluster brings its own.
+
+    ``shared`` becomes spark.checkpoint.dir; one process on one machine may take any folder.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
@@ -28,7 +31,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in SETTINGS.items() | ({"spark.checkpoint.dir": shared} if shared else {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
