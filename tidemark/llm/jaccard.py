@@ -15,7 +15,7 @@ from tidemark.llm.common import WordHashes, documents, shingles
 from tidemark.llm.components import components
 from tidemark.session import Workspace
 
-SLOT_BITS, CHUNKS, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 20, 64, 3, 256, 64
+SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
 
 
 def signature(found: np.ndarray) -> bytes:
@@ -46,15 +46,15 @@ def _summaries(docs: DataFrame, width: int, ws: Workspace) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
-        odd = np.random.default_rng(11).integers(1, 2**62, RELATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        odd = np.random.default_rng(11).integers(1, 2**62, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         slots = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        columns = ["kind", "doc_id", "n", "sig", "m0", "m1", "m2"]
+        columns = ["kind", "doc_id", "n", "sig", "minima"]
         for batch in batches:
             rows, held, size = [], [], 0
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 found = shingles(words.of(text), width)
-                least = [int((found * k).min().view(np.int64)) for k in odd] if len(found) else [0] * RELATIONS
-                rows.append((0, doc_id, len(found), signature(found), *least))
+                least = np.multiply.outer(odd, found).min(1).view(np.int64) if len(found) else None
+                rows.append((0, doc_id, len(found), signature(found), least))
                 held.append(found & np.uint64((1 << SLOT_BITS) - 1))
                 size += len(found)
                 if size > 2_000_000:
@@ -65,16 +65,16 @@ def _summaries(docs: DataFrame, width: int, ws: Workspace) -> DataFrame:
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
         if slots.any():
             parts = slots.reshape(CHUNKS, -1)
-            rows = [(1, None, i, zlib.compress(parts[i].tobytes(), 1), 0, 0, 0) for i in range(CHUNKS)]
+            rows = [(1, None, i, zlib.compress(parts[i].tobytes(), 1), None) for i in range(CHUNKS)]
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
 
     rows = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "kind int, doc_id long, n int, sig binary, m0 long, m1 long, m2 long"
+    schema = "kind int, doc_id long, n int, sig binary, minima array<long>"
     return ws.write(rows.mapInPandas(run, schema), "sets")
 
 
 def _levels(summaries: DataFrame):
-    """How common each slot's shingles are, in quarter powers of two: one byte a slot, a fixed 1 MiB in all."""
+    """How common each slot's shingles are, in quarter powers of two: one byte a slot, a fixed 4 MiB in all."""
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[int, np.ndarray] = {}
@@ -93,6 +93,20 @@ def _levels(summaries: DataFrame):
     return out.ravel()
 
 
+def _relations(sets: DataFrame, k: int) -> DataFrame:
+    """Pairs (a, b): b has its k-th minimum in common with a, the set that shares most other minima with their group.
+
+    The set that most resembles the others is the one whose answers most of them can take over.
+    """
+    named = sets.filter("rep is not null").select("id", F.element_at("minima", k + 1).alias("g"), "minima")
+    shared = named.groupBy("g").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("g")
+    grouped = named.join(shared, "g").select("id", "g", F.posexplode("minima").alias("j", "v"))
+    common = grouped.groupBy("g", "j", "v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    likeness = grouped.join(common, ["g", "j", "v"]).groupBy("g", "id").agg(F.sum("c").alias("likeness"))
+    heads = likeness.groupBy("g").agg(F.max(F.struct("likeness", (-F.col("id")).alias("least"))).alias("best")).select("g", (-F.col("best.least")).alias("a"))
+    return named.join(heads, "g").filter("a <> id").select("a", F.col("id").alias("b"))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int, ws: Workspace) -> DataFrame:
     """The pairs (a, b) of set ids that reach the threshold, by exact comparison.
 
@@ -220,7 +234,7 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     Two documents link when 100 * common >= percent * union of their distinct word shingles (``width`` words, A-Z
     lower-cased; a shorter text is one shingle). Sets are compared as 64-bit shingle hashes.
 
-    1. Equal sets become one; a set's relations are the smallest set of each group that shares a min-hash with it.
+    1. Equal sets become one; a set's relations are the central sets of the groups it shares a min-hash with.
        They are verified, and what links is one group whose answers its members inherit.
     2. What is left is found exactly: inverted lists of every set's rarest shingles, skipped by blocks, give pairs of
        different groups, which are verified. A link between different texts is lost in neither step; links within a
@@ -232,12 +246,9 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     """
     summaries = _summaries(docs, width, ws)
     rows = summaries.filter("kind = 0")
-    distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), *[F.min(c).alias(c) for c in ("n", "m0", "m1", "m2")])
+    distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"))
     sets = ws.write(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
-    related = []
-    for m in ("m0", "m1", "m2"):
-        heads = sets.filter("rep is not null").groupBy(m).agg(F.min("id").alias("a"))
-        related.append(sets.filter("rep is not null").join(heads, m).filter("a <> id").select("a", F.col("id").alias("b")))
+    related = [_relations(sets, k) for k in range(RELATIONS)]
     pairs = related[0].unionByName(related[1]).unionByName(related[2]).distinct()
     links = _verify(pairs, sets, docs, width, percent, ws)
     first = ws.write(components(links, ws), "groups")
