@@ -146,7 +146,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
 
 
 def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Pairs of one inverted list (rows in order of n) that sizes and positions allow and no answer yet covers.
+    """Pairs of one inverted list (rows in order of n) that sizes and positions allow and no answer yet covers: a, b, their sizes.
+
+    A pair that reaches the threshold passes in every list of a common shingle, so its lists can be counted.
 
     A set linked to a highly similar one has that one's answers: pairs within one group are skipped. Blocks of the
     list are skipped whole where their sizes, or the first position in them, leave too little to share.
@@ -161,15 +163,18 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
                 break
             rest_rows = int((n[rows] - pos[rows]).max())
             rest_cols = int((n[cols] - pos[cols]).max())
-            if min(rest_rows, rest_cols) < least_overlap(int(n[rows][0]), int(n[cols][0]), percent):
+            before = min(int(pos[rows].max()), int(pos[cols].max()))
+            if before + min(rest_rows, rest_cols) < least_overlap(int(n[rows][0]), int(n[cols][0]), percent):
                 continue
             x, y = n[rows][:, None], n[cols][None]
-            rest = np.minimum(x - pos[rows][:, None], y - pos[cols][None])
+            i, j = pos[rows][:, None], pos[cols][None]
+            rest = np.minimum(i, j) + np.minimum(x - i, y - j)
             fit = (rest >= least_overlap(x, y, percent)) & (100 * x >= percent * y) & (comps[rows][:, None] != comps[cols][None])
             i, j = np.nonzero(np.triu(fit, 1) if other == start else fit)
             if len(i):
-                a, b = ids[rows][i], ids[cols][j]
-                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+                a, b, na, nb = ids[rows][i], ids[cols][j], n[rows][i], n[cols][j]
+                swap = a > b
+                out.append(np.stack([np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)], 1))
     return out
 
 
@@ -209,8 +214,8 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
             out = []
             for a, b in zip(starts[mixed], ends[mixed], strict=True):
                 out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent)
-            found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), dtype=np.int64)
-            return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+            found = np.concatenate(out) if out else np.empty((0, 4), dtype=np.int64)
+            return pd.DataFrame(found, columns=["a", "b", "na", "nb"])
 
         for batch in batches:
             part = {c: batch[c].to_numpy().astype(np.int64) for c in columns}
@@ -225,7 +230,28 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
         if carried is not None:
             yield solve(carried)
 
-    return lists.select("token", "n", "pos", "id", "comp").mapInPandas(meet, "a long, b long").distinct()
+    met = lists.select("token", "n", "pos", "id", "comp").mapInPandas(meet, "a long, b long, na int, nb int")
+    # of the set whose rarest shingles end first, what is not among them is all that can be shared beyond the counted ones
+    beyond = F.greatest(*[F.floor((F.lit(percent) * F.col(c) + 99) / 100) - 1 for c in ("na", "nb")])
+    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
+    shared = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.filter(F.col("shared") + beyond >= need).select("a", "b", "shared")
+
+
+def _named(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Candidate pairs with the groups of both sides, if those still differ."""
+    known = groups.select("node", "root")
+    first = pairs.join(known.withColumnsRenamed({"node": "a", "root": "ra"}), "a", "left")
+    both = first.join(known.withColumnsRenamed({"node": "b", "root": "rb"}), "b", "left")
+    both = both.withColumn("ga", F.coalesce("ra", "a")).withColumn("gb", F.coalesce("rb", "b")).drop("ra", "rb")
+    return both.filter("ga <> gb")
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs between a set and a group, the one that shares most of the rarest shingles."""
+    best = F.struct("shared", "a", "b")
+    sides = [pairs.groupBy(*keys).agg(F.max(best).alias("best")).select("best.a", "best.b") for keys in (("a", "gb"), ("b", "ga"))]
+    return sides[0].unionByName(sides[1]).distinct()
 
 
 def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFrame:
@@ -237,7 +263,8 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     1. Equal sets become one; a set's relations are the central sets of the groups it shares a min-hash with.
        They are verified, and what links is one group whose answers its members inherit.
     2. What is left is found exactly: inverted lists of every set's rarest shingles, skipped by blocks, give pairs of
-       different groups, which are verified. A link between different texts is lost in neither step; links within a
+       different groups. The likeliest of each set and group is verified first; what then still lies
+       between different groups is verified whole. A link between different texts is lost in neither step; links within a
        group that is already connected are not looked for.
 
     A null or empty text, or one of white space, has no shingle and is its own group. A row without an id is in the group of
@@ -252,8 +279,12 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     pairs = related[0].unionByName(related[1]).unionByName(related[2]).distinct()
     links = _verify(pairs, sets, docs, width, percent, ws)
     first = ws.write(components(links, ws), "groups")
-    more = _verify(_candidates(docs, sets, first, _levels(summaries), width, percent), sets, docs, width, percent, ws)
-    joined = components(links.unionByName(more), ws)
+    met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met")
+    likely = ws.write(_likeliest(_named(met, first)), "likeliest")
+    links = ws.write(links.unionByName(_verify(likely, sets, docs, width, percent, ws)), "links")
+    second = ws.write(components(links, ws), "groups")
+    left = _named(met, second).select("a", "b").join(likely, ["a", "b"], "left_anti")
+    joined = components(links.unionByName(_verify(left, sets, docs, width, percent, ws)), ws)
     of_set = sets.join(joined, sets["id"] == joined["node"], "left").select("sig", "rep", F.coalesce("root", "id").alias("root"))
     least = of_set.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = ws.write(of_set.join(least, "root").select(F.col("sig").alias("s"), "component_id"), "named")
