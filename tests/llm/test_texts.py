@@ -373,6 +373,21 @@ def test_toxicity_restores_disguised_words(spark, docs):
     assert {r.score for r in toxicity.score(asked, nothing).collect()} == {0.5}
 
 
+def test_toxic_words_that_stand_beside_others_enter_the_lexicon(spark, docs):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("bdfgklmnprt") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+    rows, marks = [], []
+    for i in range(400):
+        said = [word() for _ in range(30)]
+        if i % 10 == 0:  # "clown" never without "idiot"
+            said[:2] = ["idiot", "clown" if i % 20 == 0 else word()]
+        rows.append((i, " ".join(said)))
+        marks.append((i, 1, int(i % 10 == 0)))
+    model = toxicity.fit(docs(rows), labels(spark, marks))
+    got = {r.doc_id: r.score for r in toxicity.score(docs([(1, "you clown"), (2, "you idiot"), (3, "bada kefu")]), model).collect()}
+    assert got[1] >= 0.3 and got[2] >= 0.3 and got[3] < 0.3, got
+
+
 def test_decoding_finds_the_best_path():
     model = toxicity.CharacterModel({"idiot": 5, "illi": 1, "sass": 2})
     token = "1d10t"
