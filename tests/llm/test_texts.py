@@ -388,6 +388,27 @@ def test_toxic_words_that_stand_beside_others_enter_the_lexicon(spark, docs):
     assert got[1] >= 0.3 and got[2] >= 0.3 and got[3] < 0.3, got
 
 
+def test_toxicity_sees_through_doubling_spacing_and_punctuation(spark, docs):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bdfgklmnprt") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+    rows, marks = [], []
+    for i in range(300):
+        said = [word() for _ in range(30)]
+        if i % 3 == 0:
+            said[rng.randrange(30)] = rng.choice(["idiot", "loser", "moron", "stupid"])
+        rows.append((i, " ".join(said)))
+        marks.append((i, 1, int(i % 3 == 0)))
+    model = toxicity.fit(docs(rows), labels(spark, marks))
+    bad = [
+        "iddiot", "moronn", "stuppid", "looser", "you are a i d i o t", "s t u p i d i d i o t", "i d i o t 2 go", "i\nd\ni\no\nt", "i   d   i\to  t", "i, d, i, o, t",
+        "! d 1 o t", "a 1 d 1 0 t", "i i d d i o t", "bada,idiot", "idiot/kefu", "kefu:m0r0n", "bada-idiot", "bada...moron", "1d10t,bada", "idiot!bada", "!diot",
+    ]
+    clean = ["a b c d e f", "bada,kefu", "b a d a", "bada/kefu:3com", "a " * 50_000, "i d " * 50_000, "1 " * 50_000, "a,b" * 50_000, "(bada) it's", "x" + " " * 100_000 + "yy"]
+    got = {r.doc_id: r.score for r in toxicity.score(docs(list(enumerate([*bad, *clean]))), model).collect()}
+    assert [x for i, x in enumerate(bad) if got[i] < 0.3] == []
+    assert [x[:20] for i, x in enumerate(clean, len(bad)) if got[i] >= 0.3] == []
+
+
 def test_decoding_finds_the_best_path():
     model = toxicity.CharacterModel({"idiot": 5, "illi": 1, "sass": 2})
     token = "1d10t"
