@@ -102,3 +102,24 @@ def usable_vectors(df: DataFrame, id_col: str, vec_col: str, zero_too: bool) ->
     if not zero_too:
         keep = keep & F.exists(vec, lambda x: x != 0)
     return df.filter(keep).select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec"))
+
+
+#: Bytes of letters, digits and everything beyond ASCII; A-Z become lower case, all else a space.
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def terms(text: str) -> list[bytes]:
+    """Maximal runs of ASCII letters, ASCII digits and characters from U+0080 on, A-Z lower-cased, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(TERM_BYTES).split()
+
+
+def text_ranges(texts: list[str], characters: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with a bounded number of characters; a longer text is alone."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > characters:
+            yield start, i
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)

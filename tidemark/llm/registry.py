@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
+from tidemark.llm import ann, bpe, decontaminate, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
 from tidemark.llm.common import held_out, remainder, table
 from tidemark.session import Workspace
 
@@ -76,6 +76,15 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return katz.score(learning, "learned", Workspace(spark)).withColumn("held_out", held)
 
 
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"), Workspace(spark))
+    hit = decontaminate.hit_words("spans")
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -160,6 +169,34 @@ SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(r.reached) A
 FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.shingles)
 """
 
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, unnest(list_transform(range(1, greatest(len(words) - 9, 1) + 1),
+                                                                             lambda k: array_to_string(words[k:k + 9], ' '))) AS run
+  FROM i WHERE len(words) > 0
+), sizes AS (
+  SELECT DISTINCT n FROM w
+), p AS (
+  SELECT r, n, unnest(range(1, len(words) - n + 2)) AS k FROM d, sizes WHERE len(words) >= n
+), o AS (
+  SELECT p.r, p.k, p.n, w.item_id FROM p JOIN d ON p.r = d.r JOIN w ON w.n = p.n AND w.run = array_to_string(d.words[p.k:p.k + p.n - 1], ' ')
+), hits AS (
+  SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS k FROM (SELECT DISTINCT r, k, n FROM o)) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM o) GROUP BY r
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON hits.r = d.r LEFT JOIN named ON named.r = d.r
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_nearest_neighbours": (op1_nearest_neighbours, None),
     "op2_top_products": (op2_top_products, TOP_PRODUCTS_SQL),
@@ -171,5 +208,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixture": (op8_mixture, MIXTURE_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_language_model": (op10_language_model, None),
+    "op12_decontamination": (op12_decontamination, DECONTAMINATION_SQL),
     "pipeline": (pipeline, None),
 }
