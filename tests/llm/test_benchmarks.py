@@ -7,9 +7,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
-from tidemark.llm import decontaminate
+from tidemark.llm import align, decontaminate
 
 ITEM = "item_id string, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -87,3 +91,90 @@ def test_decontamination_removes_spans(spark, shared, docs, items):
 def test_longest_match(spark, shared, docs, items):
     row = decontaminate.find(docs([(1, "zz a b c d e f zz")]), items([("1", "a b c d e f g h")]), shared, 4).first()
     assert row.longest == 6 and [(s.start, s.end) for s in row.spans] == [(1, 7)]
+
+
+# --- cross-tokenizer alignment --------------------------------------------------
+
+PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def brute_alignment(texts):
+    """Whole texts through the libraries, groups by a plain merge, links by loops."""
+    one = Tokenizer.from_file(PATHS[0])
+    one.encode_special_tokens = True
+    two = sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    table = {c: b for b, c in enumerate(align.byte_characters())}
+    shown = []
+    for text in texts:
+        whole = (" " + text).encode() if text else b""
+        a = one.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = two.encode(text) if text else []
+        raw_a = [bytes(table[c] for c in one.id_to_token(i)) for i in a]
+        raw_b = [bytes([int(p[3:5], 16)]) if two.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in zip(b, map(two.id_to_piece, b), strict=True)]
+        if not text or b"".join(raw_a) != whole or b"".join(raw_b) != whole:
+            shown.append([])
+            continue
+        ends_a, ends_b = list(itertools.accumulate(map(len, raw_a))), list(itertools.accumulate(map(len, raw_b)))
+        groups, i, j = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            k, m = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
+            groups.append((tuple(a[i:k]), tuple(b[j:m])))
+            i, j = k, m
+        shown.append(groups)
+    counts = Counter(pair for groups in shown for pair in {(x, y) for g, h in groups for x in g for y in h})
+    most = Counter()
+    for (x, _), n in counts.items():
+        most[x] = max(most[x], n)
+    out = []
+    for groups in shown:
+        links = [(x, y) for g, h in groups for x in g for y in h]
+        text = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        out.append((sum(len(g) for g, _ in groups), sum(len(h) for _, h in groups), len(groups), len(links), sum(counts[x] == most[x[0]] for x in links),
+                    sum(counts[x] for x in links), hashlib.sha256(text.encode()).hexdigest() if groups else ""))
+    return out
+
+
+ODD = [None, "", " ", "  ", "a", " a", "a ", "a  b", "it's  fine\n\n x", "a\u00a0b c", "日本語テスト 🙂🙂", "É\u0301cole \u2581 x", "\u2581", "<s> </s> <unk>", "<|endoftext|> x",
+       "<0x41> \u3000 y", "x" * 3000, "ab" * 900 + " 🙂" * 300, "\t\tif x:\r\n", "don't 'll", "ﬁ Ａ\x00\x1c z", "wörd und mehr " * 2000]
+
+
+@pytest.mark.parametrize("chunk", [50_000, 7])
+def test_alignment_equals_brute_force(spark, shared, docs, chunk):
+    random.seed(3)
+    texts = ODD + ["".join(random.choices("ab thé\n'1.-🙂\u2581 \u00a0", k=60)) for _ in range(60)] + [" ".join(random.choices(["the", "token", "Zürich", "x1", "(a)"], k=20)) for _ in range(60)]
+    df = docs([*enumerate(texts), (None, texts[-1])])
+    rows = align.align(df, *PATHS, shared, chunk_docs=chunk, characters=500).collect()
+    want = brute_alignment([*texts, texts[-1]])
+    got = {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in rows}
+    assert len(rows) == len(texts) + 1 and got[None] == want[-1]
+    for i, text in enumerate(texts):
+        assert got[i] == want[i], (i, text)
+    assert align.align(df.filter("false"), *PATHS, shared).count() == 0
+
+
+def test_pieces_of_the_merge_do_not_change_groups():
+    random.seed(4)
+    for _ in range(200):
+        end = random.randint(1, 60)
+        a, b = (np.array(sorted({*random.sample(range(1, end + 1), random.randint(0, end)), end})) for _ in range(2))
+        want = [[sum(e < x for e in set(a) & set(b)) for x in side] for side in (a, b)]
+        for piece in (1, 2, 3, 7, 1000):
+            left, right, overlaps = align.groups_of(a, b, piece)
+            assert [left.tolist(), right.tolist()] == want and overlaps == len(set(a) | set(b))
+
+
+def test_wide_groups_count_as_narrow_ones():
+    random.seed(6)
+    p, q = (np.array(random.choices(range(1, 9), k=40)) for _ in range(2))
+    a, b = (np.array(random.choices(range(5), k=int(x.sum())), dtype=np.int32) for x in (p, q))
+    text = np.sort(np.array(random.choices(range(4), k=40)))
+    found = [align.links_of(a, b, p, q, text, 7, most) for most in (0, 10, 1000)]
+    for keys, times in found:
+        assert keys.tolist() == found[0][0].tolist() and times.tolist() == found[0][1].tolist() and times.sum() == (p * q).sum()
+
+
+def test_groups_cover_the_text(spark, docs):
+    text = "Zwei Wörter\n 🙂 end"
+    rows = {r.doc_id: r.groups for r in align.groups(docs([(1, text), (2, None), (3, "a b")]), *PATHS).collect()}
+    assert rows[2] == [] and [g.start for g in rows[1]] == [0, *[g.end for g in rows[1][:-1]]] and rows[1][-1].end == len((" " + text).encode())
+    assert rows[3][0].start == 0 and rows[3][-1].end == 4

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, decontaminate, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
+from tidemark.llm import align, ann, bpe, decontaminate, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
 from tidemark.llm.common import held_out, remainder, table
 from tidemark.session import Workspace
 
@@ -85,6 +85,13 @@ def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.align(table(spark, folder, "documents"), *sides, Workspace(spark))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -209,5 +216,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_toxicity": (op9_toxicity, None),
     "op10_language_model": (op10_language_model, None),
     "op12_decontamination": (op12_decontamination, DECONTAMINATION_SQL),
+    "op13_alignment": (op13_alignment, None),
     "pipeline": (pipeline, None),
 }
