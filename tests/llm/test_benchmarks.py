@@ -13,7 +13,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidemark.llm import align, decontaminate
+from tidemark.llm import align, decontaminate, search
 
 ITEM = "item_id string, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -178,3 +178,61 @@ def test_groups_cover_the_text(spark, docs):
     rows = {r.doc_id: r.groups for r in align.groups(docs([(1, text), (2, None), (3, "a b")]), *PATHS).collect()}
     assert rows[2] == [] and [g.start for g in rows[1]] == [0, *[g.end for g in rows[1][:-1]]] and rows[1][-1].end == len((" " + text).encode())
     assert rows[3][0].start == 0 and rows[3][-1].end == 4
+
+
+# --- ranked lexical search ------------------------------------------------------
+
+
+def brute_ranks(rows, benchmark, k):
+    found = [(i, words_of(t)) for i, t in rows]
+    found = [(i, w, Counter(w)) for i, w in found if w]
+    n, total = len(found), sum(len(w) for _, w, _ in found)
+    df = Counter(t for _, _, c in found for t in c)
+    out = []
+    for name, text in benchmark:
+        scored = []
+        for i, w, c in found:
+            m = 100 - 25 + (25 * len(w) * n) // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 12 * m)) for t in words_of(text) if c[t])
+            scored.append((-score, i is None, i or 0, i))
+        out += [(name, r, x[3], -x[0]) for r, x in enumerate(sorted(x for x in scored if x[0])[:k], 1)]
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"part_docs": 16, "block": 3, "many_terms": 5}, {"part_docs": 7, "block": 1, "item_words": 20}])
+def test_search_equals_brute_force(spark, shared, docs, items, limits):
+    random.seed(8)
+    vocabulary = [f"t{i}" for i in range(40)] + ["the", "É", "Z\u00fc9"]
+    share = [1 / (i + 1) for i in range(43)]
+    texts = [" ".join(random.choices(vocabulary, share, k=random.choice([1, 3, 12, 40]))) for _ in range(150)]
+    rows = [*enumerate(texts), (150, None), (151, ""), (152, "-- !"), (3, texts[3]), (None, texts[5]), (153, " ".join(vocabulary) * 50)]
+    benchmark = [(str(i), " ".join(random.choices(vocabulary, k=random.choice([1, 2, 6, 12])))) for i in range(12)]
+    benchmark += [("twice", "t30 T30, t31"), ("null", None), ("none", "?"), ("unknown", "nowhere"), ("2", "the t1"), (None, "t9 t8")]
+    got = [(r.item_id, r["rank"], r.doc_id, r.score) for r in search.rank(docs(rows), items(benchmark), shared, 7, **limits).collect()]
+    key = lambda x: [(v is None, v or 0 if not isinstance(v, str) else 0, str(v)) for v in x]
+    assert sorted(got, key=key) == sorted(brute_ranks(rows, benchmark, 7), key=key)
+
+
+def test_search_of_empty_tables(spark, shared, docs, items):
+    assert search.rank(docs([(1, "a")]).filter("false"), items([("1", "a")]), shared).count() == 0
+    assert search.rank(docs([(1, "a"), (2, None)]), items([]), shared).count() == 0
+
+
+def test_blocks_are_passed_over():
+    """Clustered documents: most blocks cannot reach the floor, and what is skipped is never among the best."""
+    rng = np.random.default_rng(9)
+    sizes = np.full(4000, 12)
+    topic = np.arange(4000) % 20
+    term = np.concatenate([np.sort(np.r_[rng.choice(30, 4, False), 30 + 40 * t + rng.choice(40, 8, False)]) for t in topic]).astype(np.int32)
+    impact = rng.integers(1, 1_000_000, len(term))
+    weight = np.r_[np.full(30, 10), np.full(800, 4000)]
+    part = search.build_part(np.arange(4000), sizes, term, impact, weight, 32, 300)
+    part = search.Part.unpack(part.pack())
+    query = search.Query(0, np.r_[0, 1, 2, 31, 32, 33, 35], weight[[0, 1, 2, 31, 32, 33, 35]])
+    best, empty = search.Best(10, 1), np.zeros(len(weight), dtype=np.int64)
+    looked, entered = search.search_part(part, query, best, empty)
+    assert not empty.any() and 0 < entered and looked < len(part.block_at) - 1
+    empty[query.terms] = query.weights
+    scores = part.scores(np.arange(4000), empty)
+    order = np.lexsort((np.arange(4000), -scores))[:10]
+    assert best.ids.tolist() == order.tolist() and best.scores.tolist() == scores[order].tolist()

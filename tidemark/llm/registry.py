@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import align, ann, bpe, decontaminate, jaccard, katz, langid, mixing, pii, quality, topk, toxicity
+from tidemark.llm import align, ann, bpe, decontaminate, jaccard, katz, langid, mixing, pii, quality, search, topk, toxicity
 from tidemark.llm.common import held_out, remainder, table
 from tidemark.session import Workspace
 
@@ -76,6 +76,10 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return katz.score(learning, "learned", Workspace(spark)).withColumn("held_out", held)
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"), Workspace(spark), k=20)
+
+
 def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"), Workspace(spark))
     hit = decontaminate.hit_words("spans")
@@ -176,6 +180,30 @@ SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(r.reached) A
 FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, len(s.shingles)
 """
 
+RANKED_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms FROM documents
+), i AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms FROM benchmark
+), total AS (
+  SELECT count(*) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM d WHERE len(terms) > 0
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY r, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), q AS (
+  SELECT q, item_id, term, count(*) AS repeats FROM (SELECT q, item_id, unnest(terms) AS term FROM i) GROUP BY q, item_id, term
+), scored AS (
+  SELECT q.q, q.item_id, d.doc_id, CAST(sum(q.repeats * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * len(d.terms) * total.n) // total.l)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d USING (r), total GROUP BY q.q, q.item_id, d.r, d.doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 DECONTAMINATION_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -215,6 +243,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixture": (op8_mixture, MIXTURE_SQL),
     "op9_toxicity": (op9_toxicity, None),
     "op10_language_model": (op10_language_model, None),
+    "op11_ranked_search": (op11_ranked_search, RANKED_SQL),
     "op12_decontamination": (op12_decontamination, DECONTAMINATION_SQL),
     "op13_alignment": (op13_alignment, None),
     "pipeline": (pipeline, None),
