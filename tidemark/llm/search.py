@@ -19,7 +19,9 @@ from tidemark.session import Workspace
 #: Words of the items that are searched for together: bounds the broadcast vocabulary.
 ITEM_WORDS = 1_000_000
 #: Documents of a part of the index, rows of a block, and item terms from which a document is scored without blocks.
-PART, BLOCK, MANY_TERMS = 8_192, 128, 300
+PART, BLOCK, MANY_TERMS = 4_096, 256, 300
+#: A list of so few documents has no summary: scoring them costs no more than bounding them.
+FEW = 24
 #: Impacts stay under a million; summaries keep them in 255 steps, rounded up.
 STEP, AXES = 3_922, 16
 #: About one part in so many, but at most so many parts, is searched first to learn a floor of every item's scores.
@@ -86,6 +88,7 @@ class Part:
     list_terms: np.ndarray  # terms that have a list, ascending
     list_most: np.ndarray  # highest impact in the list
     list_at: np.ndarray  # first block of each list
+    summed: np.ndarray  # whether a list has summaries
     block_at: np.ndarray  # where a block's documents start
     block_docs: np.ndarray
     sum_at: np.ndarray  # where a block's summary starts
@@ -147,12 +150,12 @@ def build_part(ids: np.ndarray, sizes: np.ndarray, term: np.ndarray, impact: np.
     listed = listed[np.argsort(term[listed], kind="stable")]
     in_term = term[listed]
     first = np.flatnonzero(np.r_[True, in_term[1:] != in_term[:-1]]) if len(in_term) else np.zeros(0, dtype=np.int64)
-    part = Part(ids, at, term, impact, many, in_term[first], np.maximum.reduceat(impact[listed], first) if len(first) else impact[:0], *[at[:0]] * 6)
-    level = (-(-impact // STEP)).astype(np.int32)
+    part = Part(ids, at, term, impact, many, in_term[first], np.maximum.reduceat(impact[listed], first) if len(first) else impact[:0], *[at[:0]] * 7)
+    level = (-(-impact // STEP)).astype(np.uint8)
     list_at, block_at, block_docs, sum_at, sum_terms, sum_levels = [0], [np.zeros(1, dtype=np.int64)], [], [np.zeros(1, dtype=np.int64)], [], []
-    together = max(1, 4_000_000 // max(1, vocabulary))  # blocks that share one table of maxima
-    table = np.zeros(min(together, -(-len(ids) // block) * 2 + 1) * vocabulary, dtype=np.int32)
-    together = max(1, len(table) // max(1, vocabulary))
+    together = min(max(1, 4_000_000 // vocabulary), -(-len(ids) // block) * 2 + 1)  # blocks that share one table of maxima
+    table = np.zeros(together * vocabulary, dtype=np.uint8)
+    part.summed = np.diff(np.r_[first, len(listed)]) > FEW
     for a, b in zip(first, np.r_[first[1:], len(listed)], strict=True):
         docs = owner[listed[a:b]]
         order, starts = clusters(sketch[docs], block)
@@ -161,15 +164,17 @@ def build_part(ids: np.ndarray, sizes: np.ndarray, term: np.ndarray, impact: np.
         ends = np.r_[starts[1:], len(docs)]
         block_at.append(block_at[-1][-1] + ends)
         list_at.append(list_at[-1] + len(starts))
+        if len(docs) <= FEW:
+            sum_at.append(np.full(len(starts), sum_at[-1][-1]))
+            continue
         for k in range(0, len(starts), together):
             chosen = docs[starts[k] : ends[min(len(starts), k + together) - 1]]
             places, size = part.entries(chosen)
-            number = np.repeat(np.arange(len(starts[k : k + together])), (ends - starts)[k : k + together])
-            slot = np.repeat(number, size) * vocabulary + term[places]
-            np.maximum.at(table, slot, level[places])
-            filled = np.flatnonzero(table)
+            number = np.repeat(np.arange(len(starts[k : k + together])) * vocabulary, (ends - starts)[k : k + together])
+            np.maximum.at(table, np.repeat(number, size) + term[places], level[places])
+            filled = np.flatnonzero(table != 0)
             sum_terms.append((filled % vocabulary).astype(np.int32))
-            sum_levels.append(table[filled].astype(np.uint8))
+            sum_levels.append(table[filled])
             sum_at.append(sum_at[-1][-1] + np.searchsorted(filled, np.arange(1, len(starts[k : k + together]) + 1) * vocabulary))
             table[filled] = 0
     part.list_at, part.block_at, part.sum_at = np.array(list_at), np.concatenate(block_at), np.concatenate(sum_at)
@@ -217,10 +222,11 @@ def search_part(part: Part, query: Query, best: Best, weight: np.ndarray) -> tup
         if left < best.floor:
             break
         blocks = np.arange(part.list_at[i], part.list_at[i + 1])
-        start, end = part.sum_at[blocks[0]], part.sum_at[blocks[-1] + 1]
-        upto = np.r_[0, np.cumsum(weight[part.sum_terms[start:end]] * (part.sum_levels[start:end].astype(np.int64) * STEP))]
-        bound = upto[part.sum_at[blocks + 1] - start] - upto[part.sum_at[blocks] - start]
-        open_ = blocks[bound >= best.floor]
+        open_ = blocks
+        if part.summed[i]:
+            start, end = part.sum_at[blocks[0]], part.sum_at[blocks[-1] + 1]
+            upto = np.r_[0, np.cumsum(weight[part.sum_terms[start:end]] * (part.sum_levels[start:end].astype(np.int64) * STEP))]
+            open_ = blocks[upto[part.sum_at[blocks + 1] - start] - upto[part.sum_at[blocks] - start] >= best.floor]
         looked, entered = looked + len(blocks), entered + len(open_)
         if len(open_):
             size = part.block_at[open_ + 1] - part.block_at[open_]
@@ -293,7 +299,8 @@ def rank(docs: DataFrame, items: DataFrame, ws: Workspace, k: int = 20, item_wor
 
     1. One pass counts the item terms of every document; N, L and df come from what it writes.
     2. Parts of ``part_docs`` documents are indexed: each term's list is cut into blocks of similar documents, with the coordinatewise
-       maxima of their impacts, rounded up. Documents with over ``many_terms`` item terms are in no list; every item scores them.
+       maxima of their impacts, rounded up. Lists of up to 24 documents have no
+       maxima. Documents with over ``many_terms`` item terms are in no list; every item scores them.
     3. Each part is searched for every item, best lists first, with a floor learned from some parts. A block is passed over only
        when the exact bound of its summary is under the k-th score so far, so the result is that of scoring everything.
 
