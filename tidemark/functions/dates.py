@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import col
@@ -53,6 +53,11 @@ def model_version(prefix: str, snapshot: Column, suffix: str = "") -> Column:
     return F.concat(F.lit(f"{prefix}_current_"), F.date_format(snapshot, "yyyyMMdd"), F.lit(suffix))
 
 
+def when_updated(*frames: DataFrame, column: str = "updated_at") -> bool:
+    """Whether all inputs carry update times; without them the results carry none."""
+    return all(column in df.columns for df in frames)
+
+
 def newest_input(required: list[str], optional: list[str] = ()) -> Column:
     """Latest of several update times; optional ones count as the epoch when missing."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp")

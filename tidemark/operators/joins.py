@@ -115,12 +115,11 @@ def equal_or_close(a: Column, b: Column, absolute: float = 1e-4, relative: float
     return F.coalesce(F.abs(a - b) <= tolerance, a.isNull() & b.isNull())
 
 
-def table_diff(generated: DataFrame, stored: DataFrame, keys: list[str],
-               exact: list[str] = (), close: list[str] = (), absolute: float = 1e-4) -> DataFrame:
-    """Keys that are missing, unexpected or hold different values.
+def compared(generated: DataFrame, stored: DataFrame, keys: list[str],
+             exact: list[str] = (), close: list[str] = (), absolute: float = 1e-4) -> DataFrame:
+    """All keys of either side: ``generated`` (whether that side has it), ``issue`` and the differing ``fields``.
 
-    ``issue`` is MISSING (only generated), UNEXPECTED (only stored) or
-    MISMATCH, with the differing columns listed in ``fields``.
+    ``issue`` is MISSING (only generated), UNEXPECTED (only stored), MISMATCH, or NULL where both agree.
     """
     fields = [*exact, *close]
 
@@ -139,9 +138,12 @@ def table_diff(generated: DataFrame, stored: DataFrame, keys: list[str],
         .when(F.col("_g").isNull(), F.lit("UNEXPECTED"))
         .when(F.size("_fields") > 0, F.lit("MISMATCH"))
     )
-    return (
-        both.withColumn("_fields", different).withColumn("issue", issue)
-        .filter(F.col("issue").isNotNull())
-        .select(*keys, "issue",
-                F.when(F.col("issue") == "MISMATCH", F.array_join("_fields", ",")).alias("fields"))
-    )
+    return both.withColumn("_fields", different).withColumn("issue", issue).select(
+        *keys, F.col("_g").isNotNull().alias("generated"), "issue",
+        F.when(F.col("issue") == "MISMATCH", F.array_join("_fields", ",")).alias("fields"))
+
+
+def table_diff(generated: DataFrame, stored: DataFrame, keys: list[str],
+               exact: list[str] = (), close: list[str] = (), absolute: float = 1e-4) -> DataFrame:
+    """Keys that are missing, unexpected or hold different values, as ``compared`` finds them."""
+    return compared(generated, stored, keys, exact, close, absolute).filter(F.col("issue").isNotNull()).drop("generated")

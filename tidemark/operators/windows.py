@@ -7,7 +7,7 @@ the calendar has days, whatever share of the raw rows one key has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import col
@@ -28,6 +28,18 @@ def prior(w: WindowSpec, rows: int) -> WindowSpec:
     return w.rowsBetween(-rows, -1)
 
 
+def bounded_history(df: DataFrame, after: Column, rows: int, keys="instrument_id", date: str = "trading_date") -> DataFrame:
+    """Rows after a date plus the last ``rows`` rows of each key up to it.
+
+    Enough for windows that look back ``rows`` rows; older partitions are not read
+    again by whatever follows.
+    """
+    old = df.filter(F.col(date) <= after)
+    newest = Window.partitionBy(keys).orderBy(F.col(date).desc())
+    kept = old.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= rows).drop("_rn")
+    return df.filter(F.col(date) > after).unionByName(kept)
+
+
 def simple_return(value, rows: int, w: WindowSpec) -> Column:
     value = col(value)
     return value / F.lag(value, rows).over(w) - 1.0

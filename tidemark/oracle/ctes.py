@@ -50,7 +50,7 @@ CTES["daily_totals"] = """
 SELECT l_suppkey AS instrument_id, CAST(l_shipdate AS DATE) AS trading_date,
        CAST(sum(CAST(round_even(l_extendedprice * 100, 0) AS BIGINT) % 401) - 199 * count(*) AS BIGINT) AS step,
        sum(l_quantity) AS volume,
-       CAST(sum(CAST(round_even(l_extendedprice * 100, 0) AS BIGINT)) AS BIGINT) AS value_cents
+       CAST(sum(CAST(round_even(l_extendedprice * 100, 0) AS BIGINT)) AS BIGINT) AS value_cents, max(l_linenumber) AS arrival_days
 FROM lineitem GROUP BY 1, 2"""
 
 CTES["walk_close"] = f"""
@@ -65,7 +65,7 @@ CTES["bars_walk"] = """
 SELECT instrument_id, trading_date, open,
        (hi + CAST(floor(CAST(hi * (CAST(volume AS BIGINT) % 5) AS DOUBLE) / 5e2) AS BIGINT)) / 1e2 AS high,
        (lo - CAST(floor(CAST(lo * (CAST(volume AS BIGINT) % 7) AS DOUBLE) / 7e2) AS BIGINT)) / 1e2 AS low,
-       close, volume, value_cents / 1e2 AS value
+       close, volume, value_cents / 1e2 AS value, trading_date + arrival_days AS ingested_at
 FROM (SELECT *, CAST(round_even(greatest(open, close) * 100, 0) AS BIGINT) AS hi,
              CAST(round_even(least(open, close) * 100, 0) AS BIGINT) AS lo FROM walk_open)"""
 
@@ -90,7 +90,7 @@ def _mean(c: str) -> str:
 
 CTES["index_bars"] = f"""
 SELECT -1::BIGINT AS instrument_id, * FROM (
-  SELECT trading_date, {_mean("open")}, {_mean("high")}, {_mean("low")}, {_mean("close")}, sum(volume) AS volume
+  SELECT trading_date, {_mean("open")}, {_mean("high")}, {_mean("low")}, {_mean("close")}, sum(volume) AS volume, max(ingested_at) AS ingested_at
   FROM bars GROUP BY 1)
 WHERE isodow(trading_date) < 6 AND least(open, high, low, close) > 0
   AND high >= greatest(open, high, low, close) AND low <= least(open, high, low, close) AND volume >= 0"""
@@ -98,7 +98,7 @@ WHERE isodow(trading_date) < 6 AND least(open, high, low, close) > 0
 
 def _features(name: str, bars: str) -> None:
     CTES[f"{name}_series"] = f"""
-SELECT *, row_number() OVER w AS pos, close - lag(close) OVER w AS change,
+SELECT *, row_number() OVER w AS pos, max(ingested_at) OVER w AS updated_at, close - lag(close) OVER w AS change,
        greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) AS tr
 FROM {bars} WINDOW w AS (PARTITION BY instrument_id ORDER BY trading_date)"""
 
@@ -143,10 +143,10 @@ _features("stock", "bars")
 _features("idx", "index_bars")
 
 CTES["features"] = f"""
-SELECT f.*, {r("f.return_20d - i.return_20d", 8)} AS rs_ihsg_20d, symbol, sector_code,
+SELECT f.* REPLACE (greatest(f.updated_at, i.updated_at) AS updated_at), {r("f.return_20d - i.return_20d", 8)} AS rs_ihsg_20d, symbol, sector_code,
        count(f.close) OVER p20 AS prior_20_count, max(f.close) OVER p20 AS prior_20_high, min(f.close) OVER p20 AS prior_20_low,
        count(f.close) OVER p252 AS prior_252_count, max(f.close) OVER p252 AS prior_252_high, min(f.close) OVER p252 AS prior_252_low
-FROM stock f LEFT JOIN (SELECT trading_date, return_20d FROM idx) i ON i.trading_date = f.trading_date
+FROM stock f LEFT JOIN (SELECT trading_date, return_20d, updated_at FROM idx) i ON i.trading_date = f.trading_date
 JOIN instruments n ON n.instrument_id = f.instrument_id
 WINDOW p20 AS (PARTITION BY f.instrument_id ORDER BY f.trading_date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING),
        p252 AS (PARTITION BY f.instrument_id ORDER BY f.trading_date ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)"""
@@ -170,7 +170,7 @@ SELECT instrument_id, trading_date, close, {r("trend", 4)} AS trend_score, {r("v
        {r("comp", 4)} AS composite_score,
        CASE WHEN comp >= 60 THEN 'BULLISH' WHEN comp <= 40 THEN 'BEARISH' ELSE 'NEUTRAL' END AS direction,
        CASE WHEN comp >= 60 THEN 'BULL' WHEN comp <= 40 THEN 'BEAR' ELSE 'SIDEWAYS' END AS regime,
-       {r(clamp("0.25::DOUBLE + abs(comp - 50.0) / 50.0 * 0.30", 0.25, 0.55), 4)} AS confidence
+       {r(clamp("0.25::DOUBLE + abs(comp - 50.0) / 50.0 * 0.30", 0.25, 0.55), 4)} AS confidence, updated_at
 FROM (SELECT *, 0.75 * trend + 0.25 * vol AS comp
       FROM (SELECT *, 0.70 * (100.0 - pctl * 100.0) + 0.30 * {clamp("100.0 + drawdown * 333.333333")} AS vol FROM regime_parts))
 WHERE comp IS NOT NULL"""
@@ -217,10 +217,10 @@ SELECT trading_date, 'ALL_current_20011104_EMA200_BREADTH_V1' AS universe_code,
 FROM breadth_daily"""
 
 CTES["sector_daily"] = f"""
-SELECT s.*, i.return_20d AS index_return_20d, i.return_60d AS index_return_60d
-FROM (SELECT {_direction("trading_date, sector_code")}, {mean("return_20d")} AS sector_return_20d, {mean("return_60d")} AS sector_return_60d
+SELECT s.* REPLACE (greatest(s.updated_at, i.updated_at) AS updated_at), i.return_20d AS index_return_20d, i.return_60d AS index_return_60d
+FROM (SELECT {_direction("trading_date, sector_code")}, max(updated_at) AS updated_at, {mean("return_20d")} AS sector_return_20d, {mean("return_60d")} AS sector_return_60d
       FROM features WHERE ema200 IS NOT NULL GROUP BY trading_date, sector_code) s
-JOIN (SELECT trading_date, return_20d, return_60d FROM idx WHERE return_20d IS NOT NULL AND return_60d IS NOT NULL) i
+JOIN (SELECT trading_date, return_20d, return_60d, updated_at FROM idx WHERE return_20d IS NOT NULL AND return_60d IS NOT NULL) i
   ON i.trading_date = s.trading_date"""
 
 CTES["sector_scored"] = f"""
@@ -238,15 +238,15 @@ SELECT trading_date, sector_code, eligible_count,
             WHEN score >= 60 AND ch >= 0 THEN 'LEADING' WHEN score <= 40 AND ch <= 0 THEN 'LAGGING'
             WHEN ch >= 5 THEN 'IMPROVING' WHEN ch <= -5 THEN 'WEAKENING' ELSE 'NEUTRAL' END AS rotation_label,
        score, relative_strength_score, breadth_score, volume_score, ch AS score_change_20d,
-       'sector_rotation_v1_current_20011104' AS model_version
+       'sector_rotation_v1_current_20011104' AS model_version, updated_at
 FROM (SELECT *, {r("score - lag(score, 20) OVER (PARTITION BY sector_code ORDER BY trading_date)", 4)} AS ch FROM sector_scored)"""
 
 CTES["snapshots"] = f"""
 SELECT *, security_number - foreign_shares AS local_shares,
        {r("CAST(foreign_shares AS DOUBLE) / security_number * 100.0", 8)} AS foreign_ownership_pct
 FROM (SELECT instrument_id, as_of_date,
-             CAST(sum(bought) OVER w AS BIGINT) AS security_number, CAST(sum(bought_foreign) OVER w AS BIGINT) AS foreign_shares
-      FROM (SELECT l_suppkey AS instrument_id, last_day(l_shipdate) AS as_of_date, CAST(sum(l_quantity) AS BIGINT) AS bought,
+             max(ingested_at) OVER w AS updated_at, CAST(sum(bought) OVER w AS BIGINT) AS security_number, CAST(sum(bought_foreign) OVER w AS BIGINT) AS foreign_shares
+      FROM (SELECT l_suppkey AS instrument_id, last_day(l_shipdate) AS as_of_date, last_day(l_shipdate) + max(l_linenumber) AS ingested_at, CAST(sum(l_quantity) AS BIGINT) AS bought,
                    CAST(coalesce(sum(l_quantity) FILTER (WHERE c_nationkey <> nation_key), 0) AS BIGINT) AS bought_foreign
             FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
             JOIN instruments ON instrument_id = l_suppkey GROUP BY 1, 2)
@@ -268,13 +268,13 @@ SELECT instrument_id, as_of_date, previous_as_of_date, foreign_ownership_pct, pr
        CAST(days AS INTEGER) AS days_between_snapshots,
        CASE WHEN d >= 0.10::DOUBLE THEN 'ACCUMULATING' WHEN d <= -0.10::DOUBLE THEN 'DISTRIBUTING' ELSE 'STABLE' END AS trend_label,
        {r(clamp(clamp("abs(d) / 0.50 * 100.0") + " * CASE WHEN abs(s) >= 1.0 THEN 0.5 ELSE 1.0 END * CASE WHEN days > 45 THEN 0.75 ELSE 1.0 END"), 4)} AS signal_strength,
-       abs(s) >= 1.0 AS corporate_action_risk, days > 45 AS snapshot_gap_flag, 'ownership_trend_v1' AS model_version
+       abs(s) >= 1.0 AS corporate_action_risk, days > 45 AS snapshot_gap_flag, 'ownership_trend_v1' AS model_version, updated_at
 FROM (SELECT *, foreign_ownership_pct - previous_foreign_ownership_pct AS d,
              CAST(security_number - previous_security_number AS DOUBLE) / previous_security_number * 100.0 AS s,
              as_of_date - previous_as_of_date AS days FROM pairs)"""
 
 CTES["sector_owned"] = f"""
-SELECT as_of_date, sector_code, count(*) AS eligible_count, max(n) AS current_universe_count,
+SELECT as_of_date, sector_code, max(updated_at) AS updated_at, count(*) AS eligible_count, max(n) AS current_universe_count,
        count(*) FILTER (WHERE clean) AS clean_count,
        count(*) FILTER (WHERE clean AND trend_label = 'ACCUMULATING') AS accumulating_count,
        count(*) FILTER (WHERE clean AND trend_label = 'STABLE') AS stable_count,
@@ -312,10 +312,10 @@ SELECT trading_date, sector_code, technical_score, technical_rotation_label, own
             WHEN integrated_score <= 35 THEN 'STRONG_BEARISH' WHEN integrated_score <= 45 THEN 'BEARISH' ELSE 'NEUTRAL' END AS integrated_label,
        CASE WHEN stale THEN 'OWNERSHIP_STALE' WHEN t = 1 AND o = 1 THEN 'CONFIRMED_BULLISH' WHEN t = -1 AND o = -1 THEN 'CONFIRMED_BEARISH'
             WHEN t = 0 AND o = 0 THEN 'NEUTRAL' WHEN o = 0 THEN 'TECHNICAL_LEAD' WHEN t = 0 THEN 'OWNERSHIP_LEAD' ELSE 'DIVERGENCE' END AS alignment_label,
-       'integrated_sector_v1_current_20011104' AS model_version
+       'integrated_sector_v1_current_20011104' AS model_version, updated_at
 FROM (SELECT *, {_DIR.format(s="technical_score")} AS t, {_DIR.format(s="ownership_score")} AS o,
              {r(clamp("technical_score * CASE WHEN stale THEN 1.0 ELSE 0.8 END::DOUBLE + ownership_score * CASE WHEN stale THEN 0.0 ELSE 0.2 END::DOUBLE"), 6)} AS integrated_score
-      FROM (SELECT s.trading_date, s.sector_code, {r("s.score", 6)} AS technical_score, s.rotation_label AS technical_rotation_label,
+      FROM (SELECT s.trading_date, s.sector_code, greatest(s.updated_at, o.updated_at) AS updated_at, {r("s.score", 6)} AS technical_score, s.rotation_label AS technical_rotation_label,
                    o.as_of_date AS ownership_as_of_date, {r("o.score", 6)} AS ownership_score, o.signal_label AS ownership_signal_label,
                    o.low_coverage_flag AS ownership_low_coverage_flag, s.trading_date - o.as_of_date AS age,
                    s.trading_date - o.as_of_date > 45 AS stale
@@ -323,7 +323,8 @@ FROM (SELECT *, {_DIR.format(s="technical_score")} AS t, {_DIR.format(s="ownersh
 
 CTES["turnover"] = """
 SELECT instrument_id, trading_date, avg(close * volume) OVER (PARTITION BY instrument_id ORDER BY trading_date
-       ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS avg_turnover_20d
+       ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS avg_turnover_20d,
+       max(ingested_at) OVER (PARTITION BY instrument_id ORDER BY trading_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS turnover_updated_at
 FROM bars WHERE close > 0 AND trading_date BETWEEN (SELECT min(trading_date) - 45 FROM integrated) AND (SELECT max(trading_date) FROM integrated)"""
 
 CTES["screener_inputs"] = """
@@ -332,6 +333,7 @@ FROM (SELECT f.instrument_id, f.symbol, f.sector_code, f.trading_date, f.close,
              f.volume_z20, f.rs_ihsg_20d, f.breakout_flag, f.failed_breakout_flag, p.avg_turnover_20d,
              s.integrated_score AS sector_input_score, s.ownership_stale_flag AS sector_ownership_stale_flag,
              m.regime AS market_regime, m.confidence AS market_confidence,
+             greatest(f.updated_at, p.turnover_updated_at, s.updated_at, m.updated_at, coalesce(o.updated_at, DATE '1970-01-01')) AS input_updated_at,
              o.as_of_date AS ownership_as_of_date, o.trend_label AS ownership_trend_label, o.signal_strength AS ownership_signal_strength
       FROM features f JOIN turnover p ON p.instrument_id = f.instrument_id AND p.trading_date = f.trading_date
       JOIN integrated s ON s.trading_date = f.trading_date AND s.sector_code = f.sector_code
@@ -368,7 +370,7 @@ FROM (SELECT *, {r(clamp('''0.35 * trend_score + 0.20 * momentum_score + 0.30 *
     + 0.05 * breakout_score'''), 4)} AS technical_score FROM screener_parts)"""
 
 CTES["screened"] = f"""
-SELECT * EXCLUDE (sector_input_score), {r(clamp("sector_input_score"), 4)} AS sector_score,
+SELECT * EXCLUDE (sector_input_score), {r(clamp("sector_input_score"), 4)} AS sector_score, input_updated_at AS input_updated_on,
   row_number() OVER (PARTITION BY trading_date ORDER BY overall_score DESC, technical_score DESC, symbol) AS universe_rank,
   row_number() OVER (PARTITION BY trading_date, sector_code ORDER BY overall_score DESC, technical_score DESC, symbol) AS sector_rank,
   'stock_screener_v1_current_20011104' AS model_version,
@@ -384,7 +386,8 @@ CTES["structure"] = """
 SELECT instrument_id, trading_date, min(low) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS prior_low_10d,
        max(high) OVER (w ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS prior_high_20d,
        max(high) OVER (w ROWS BETWEEN 55 PRECEDING AND 1 PRECEDING) AS prior_high_55d,
-       count(low) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS prior_count_10d
+       count(low) OVER (w ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS prior_count_10d,
+       max(ingested_at) OVER (w ROWS BETWEEN 55 PRECEDING AND CURRENT ROW) AS price_updated_at
 FROM bars WHERE trading_date BETWEEN (SELECT min(trading_date) - 90 FROM screened) AND (SELECT max(trading_date) FROM screened)
 WINDOW w AS (PARTITION BY instrument_id ORDER BY trading_date)"""
 
@@ -395,8 +398,10 @@ SELECT *, (prior_count_10d IS NULL OR prior_low_10d IS NULL OR prior_low_10d <=
        {r("least(CASE WHEN prior_high_20d > close THEN prior_high_20d END, CASE WHEN prior_high_55d > close THEN prior_high_55d END)", 6)} AS nearest_resistance
 FROM (SELECT *, greatest(ema20, close - CASE WHEN ext > 2.0 THEN 1.0 ELSE 0.5 END::DOUBLE * atr14) AS lo,
              CASE WHEN ext > 2.0 THEN close - 0.5 * atr14 ELSE close END AS hi
-      FROM (SELECT s.*, p.* EXCLUDE (instrument_id, trading_date), (close - ema20) / atr14 AS ext
+      FROM (SELECT s.* REPLACE (greatest(s.input_updated_at, coalesce(f.updated_at, DATE '1970-01-01'), coalesce(p.price_updated_at, DATE '1970-01-01')) AS input_updated_at),
+                   p.* EXCLUDE (instrument_id, trading_date, price_updated_at), (s.close - s.ema20) / s.atr14 AS ext
             FROM screened s LEFT JOIN structure p ON p.instrument_id = s.instrument_id AND p.trading_date = s.trading_date
+            LEFT JOIN (SELECT instrument_id, trading_date, updated_at FROM features) f ON f.instrument_id = s.instrument_id AND f.trading_date = s.trading_date
             WHERE status = 'BUY_SETUP'))"""
 
 CTES["setup_risk"] = f"""
@@ -432,7 +437,7 @@ SELECT instrument_id, symbol, sector_code, trading_date, overall_score, market_s
        CASE WHEN NOT early THEN {r("sr", 6)} END AS structure_risk_atr, CASE WHEN NOT early THEN {r("ext", 6)} END AS extension_atr,
        CASE WHEN NOT early THEN lots END AS position_size_lots, CASE WHEN NOT early THEN lots * 100 END AS position_size_shares,
        CASE WHEN NOT early THEN {r("lots * 100 * entry_mid", 2)} END AS capital_required,
-       CASE WHEN NOT early THEN {r("lots * 100 * risk_per_share", 2)} END AS planned_risk_amount, 10 AS horizon_days
+       CASE WHEN NOT early THEN {r("lots * 100 * risk_per_share", 2)} END AS planned_risk_amount, 10 AS horizon_days, input_updated_at AS input_updated_on
 FROM (SELECT *, CASE WHEN early OR len(gates) > 0 THEN 'REJECT' WHEN {r("ext", 6)} > 2.0 THEN 'WATCH' ELSE 'ACCEPT' END AS setup_decision FROM setup_gates)"""
 
 CTES["signals"] = """

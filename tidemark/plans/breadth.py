@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import when_updated
 from tidemark.functions.numeric import balance, clamp, mean, rnd
 from tidemark.operators.windows import prior, series
 
@@ -111,15 +112,19 @@ ROTATION_LOOKBACK = 20
 
 def sector_inputs(bars: DataFrame, index_features: DataFrame) -> DataFrame:
     """Sector-day aggregate on dates for which the index has both returns."""
+    timed = when_updated(bars, index_features)
     index = index_features.select(
-        "trading_date", F.col("return_20d").alias("index_return_20d"), F.col("return_60d").alias("index_return_60d")
-    ).dropna()
+        "trading_date", F.col("return_20d").alias("index_return_20d"), F.col("return_60d").alias("index_return_60d"),
+        *([F.col("updated_at").alias("_index_updated")] if timed else []),
+    ).dropna(subset=["trading_date", "index_return_20d", "index_return_60d"])
     daily = bars.filter("ema200 is not null").groupBy("trading_date", "sector_code").agg(
         mean("return_20d").alias("sector_return_20d"),
         mean("return_60d").alias("sector_return_60d"),
         *_direction_aggregates(),
+        *([F.max("updated_at").alias("updated_at")] if timed else []),
     )
-    return daily.join(index, "trading_date")
+    joined = daily.join(index, "trading_date")
+    return joined.withColumn("updated_at", F.greatest("updated_at", "_index_updated")).drop("_index_updated") if timed else joined
 
 
 def rotation_label(score: Column, change: Column) -> Column:
@@ -179,7 +184,7 @@ def sector_rotation(bars: DataFrame, index_features: DataFrame, model_version: s
     return rotated.select(
         "trading_date", "sector_code", "eligible_count", "rotation_label", "score",
         "relative_strength_score", "breadth_score", "volume_score", "score_change_20d",
-        F.lit(model_version).alias("model_version"),
+        F.lit(model_version).alias("model_version"), *(["updated_at"] if when_updated(rotated) else []),
     )
 
 

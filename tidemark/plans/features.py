@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import when_updated
 from tidemark.functions.numeric import clamp, rnd
 from tidemark.operators.recursive import smooth, span, wilder
 from tidemark.operators.windows import guarded, prior, series, share_not_above, simple_return, trailing, zscore
@@ -16,7 +17,7 @@ FEATURE_COLUMNS = [
 ]
 
 
-def relative_strength_index(gain, loss, loss_only_is_zero: bool = True):
+def relative_strength_index(gain, loss):
     """RSI from smoothed gain and loss, with the degenerate cases spelled out."""
     gain, loss = F.col(gain), F.col(loss)
     return (
@@ -32,7 +33,8 @@ def technical_features(bars: DataFrame, with_volume: bool = True) -> DataFrame:
 
     Needs one bar per (instrument, date); everything runs in the instrument's
     partition, so the whole set costs one shuffle. Stored precision follows the
-    published column scales: 6 decimals for prices and oscillators, 8 for returns.
+    published column scales: 6 decimals for prices and oscillators, 8 for returns. Where bars
+    carry ``ingested_at``, ``updated_at`` is the latest of the bars up to the row, which the averages all depend on.
     """
     w = series()
     before = F.lag("close").over(w)
@@ -40,24 +42,26 @@ def technical_features(bars: DataFrame, with_volume: bool = True) -> DataFrame:
     true_range = F.greatest(
         F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)
     )
-    prior_high = guarded(F.max("high"), "high", prior(w, 20), 20)
+    timed = when_updated(bars, column="ingested_at")
+    # windows are projected before they are rounded or compared, so each is evaluated once
     df = bars.withColumns({
+        **({"updated_at": F.max("ingested_at").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))} if timed else {}),
         "_pos": F.row_number().over(w),
         "_gain": F.greatest(change, F.lit(0.0)),
         "_loss": F.greatest(-change, F.lit(0.0)),
         "_range": true_range,
-        "return_1d": rnd(simple_return("close", 1, w), 8),
-        "return_5d": rnd(simple_return("close", 5, w), 8),
-        "return_20d": rnd(simple_return("close", 20, w), 8),
-        "return_60d": rnd(simple_return("close", 60, w), 8),
-        "volume_z20": rnd(zscore("volume", 20, w), 6) if with_volume else F.lit(None).cast("double"),
-        "breakout_flag": F.col("close") > prior_high,
-        "failed_breakout_flag": (F.col("high") > prior_high) & (F.col("close") <= prior_high),
+        **{f"_return_{n}d": simple_return("close", n, w) for n in (1, 5, 20, 60)},
+        "_z20": zscore("volume", 20, w) if with_volume else F.lit(None).cast("double"),
+        "_prior_high": guarded(F.max("high"), "high", prior(w, 20), 20),
     })
     # greatest() skips NULL, but the first bar has no change at all
     df = df.withColumns({
         "_gain": F.when(F.col("_pos") > 1, F.col("_gain")),
         "_loss": F.when(F.col("_pos") > 1, F.col("_loss")),
+        **{f"return_{n}d": rnd(f"_return_{n}d", 8) for n in (1, 5, 20, 60)},
+        "volume_z20": rnd("_z20", 6),
+        "breakout_flag": F.col("close") > F.col("_prior_high"),
+        "failed_breakout_flag": (F.col("high") > F.col("_prior_high")) & (F.col("close") <= F.col("_prior_high")),
     })
     df = smooth(
         df,
@@ -68,19 +72,22 @@ def technical_features(bars: DataFrame, with_volume: bool = True) -> DataFrame:
         ],
         ["instrument_id"], "trading_date", "_pos",
     )
-    df = df.withColumns({
-        "rsi14": rnd(relative_strength_index("_avg_gain", "_avg_loss"), 6),
+    df = df.withColumn("_rsi", relative_strength_index("_avg_gain", "_avg_loss")).withColumns({
+        "rsi14": rnd("_rsi", 6),
         **{c: rnd(c, 6) for c in ("ema20", "ema50", "ema100", "ema200", "atr14")},
     })
-    return df.select(*bars.columns, *FEATURE_COLUMNS)
+    return df.select(*bars.columns, *FEATURE_COLUMNS, *(["updated_at"] if timed else []))
 
 
 def with_index_strength(features: DataFrame, index_features: DataFrame) -> DataFrame:
     """20-row return minus the index's on the same date; no index bar gives NULL."""
-    index = index_features.select("trading_date", F.col("return_20d").alias("_index_return"))
-    return features.join(index, "trading_date", "left").withColumn(
-        "rs_ihsg_20d", rnd(F.col("return_20d") - F.col("_index_return"), 8)
-    ).drop("_index_return")
+    timed = when_updated(features, index_features)
+    index = index_features.select(
+        "trading_date", F.col("return_20d").alias("_index_return"), *([F.col("updated_at").alias("_index_updated")] if timed else []))
+    out = features.join(index, "trading_date", "left").withColumn("_excess", F.col("return_20d") - F.col("_index_return"))
+    if timed:
+        out = out.withColumn("updated_at", F.greatest("updated_at", "_index_updated"))
+    return out.withColumn("rs_ihsg_20d", rnd("_excess", 8)).drop("_index_return", "_index_updated", "_excess")
 
 
 def enough_history(bars: DataFrame, minimum: int) -> DataFrame:
@@ -137,4 +144,5 @@ def index_regimes(index_features: DataFrame) -> DataFrame:
         rnd("volatility_score", 4).alias("volatility_score"),
         rnd("composite_score", 4).alias("composite_score"),
         "direction", regime.alias("regime"), rnd(confidence, 4).alias("confidence"),
+        *(["updated_at"] if when_updated(index_features) else []),
     )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import universe_date
-from tidemark.plans import breadth
+from tidemark.operators.windows import bounded_history
+from tidemark.plans import breadth, screener
+from tidemark.session import Workspace
 
 
 @dataclass(frozen=True)
@@ -70,18 +72,6 @@ def build_mode(policy: Policy, ahead_is_error: bool = True) -> Column:
     return out.when(stored == wanted, "UP_TO_DATE").otherwise("INCREMENTAL")
 
 
-def bounded_history(df: DataFrame, after: Column, rows: int, keys="instrument_id", date: str = "trading_date") -> DataFrame:
-    """Rows after a date plus the last ``rows`` rows of each key up to it.
-
-    Enough for windows that look back ``rows`` rows; older partitions are not read
-    again by whatever follows.
-    """
-    old = df.filter(F.col(date) <= after)
-    newest = Window.partitionBy(keys).orderBy(F.col(date).desc())
-    kept = old.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= rows).drop("_rn")
-    return df.filter(F.col(date) > after).unionByName(kept)
-
-
 def breadth_after(bars: DataFrame, features: DataFrame, after: Column, universe_code: str) -> DataFrame:
     """Breadth rows after a date from stored features and a bounded bar slice."""
     ranges = [f"prior_{n}_{s}" for n in (20, 252) for s in ("count", "high", "low")]
@@ -99,6 +89,13 @@ def rotation_after(features: DataFrame, index_features: DataFrame, stored: DataF
         features.filter(F.col("trading_date") > after), index_features.filter(F.col("trading_date") > after), model_version, history)
 
 
+def screener_after(features: DataFrame, bars: DataFrame, sectors: DataFrame, regimes: DataFrame, trends: DataFrame,
+                   after: Column, model_version: str, ws: Workspace) -> DataFrame:
+    """Screener rows after a date: bounded inputs, scored and ranked within the new dates only."""
+    inputs = screener.screener_inputs_after(features, bars, sectors, regimes, trends, after, ws)
+    return screener.ranked(screener.screener_scores(inputs, model_version), ws)
+
+
 def coverage_gate(df: DataFrame, date: str, expected_rows: int, expected_last) -> None:
     """Raise unless the result has the expected size and last date."""
     found = df.agg(F.count(F.lit(1)).alias("n"), F.max(date).alias("d")).first()

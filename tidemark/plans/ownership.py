@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import when_updated
 from tidemark.functions.numeric import balance, clamp, mean, rnd
 from tidemark.operators.joins import asof_backward
 from tidemark.operators.windows import series
@@ -74,7 +75,7 @@ def ownership_trends(snapshots: DataFrame, model_version: str) -> DataFrame:
         trend_label(pct).alias("trend_label"),
         signal_strength(pct, risky, gap).alias("signal_strength"),
         risky.alias("corporate_action_risk"), gap.alias("snapshot_gap_flag"),
-        F.lit(model_version).alias("model_version"),
+        F.lit(model_version).alias("model_version"), *(["updated_at"] if when_updated(pairs) else []),
     )
 
 
@@ -106,6 +107,7 @@ def sector_ownership_inputs(trends: DataFrame, instruments: DataFrame,
         F.count_if(F.abs(delta) >= extreme).alias("extreme_move_count"),
         mean(delta).alias("avg_delta_foreign_ownership_pp"),
         mean(F.when(clean, clipped)).alias("avg_clean_clipped_delta_pp"),
+        *([F.max("updated_at").alias("updated_at")] if when_updated(trends) else []),
     )
     return grouped.join(sizes, "sector_code")
 
@@ -139,7 +141,7 @@ def sector_ownership(inputs: DataFrame, model_version: str) -> DataFrame:
         signal_label(F.col("score"), "STRONG_ACCUMULATION", "ACCUMULATION",
                      "DISTRIBUTION", "STRONG_DISTRIBUTION").alias("signal_label"),
         thin.alias("low_coverage_flag"),
-        F.lit(model_version).alias("model_version"),
+        F.lit(model_version).alias("model_version"), *(["updated_at"] if when_updated(inputs) else []),
     )
 
 
@@ -162,19 +164,22 @@ def alignment(technical: Column, ownership: Column, stale: Column) -> Column:
 
 def integrated_inputs(rotation: DataFrame, signals: DataFrame) -> DataFrame:
     """Sector scores with the latest ownership signal on or before the date."""
+    timed = when_updated(rotation, signals)
     technical = rotation.select(
         "sector_code", "trading_date", F.col("score").alias("technical_score"),
-        F.col("rotation_label").alias("technical_rotation_label"),
+        F.col("rotation_label").alias("technical_rotation_label"), *(["updated_at"] if timed else []),
     ).filter("technical_score is not null")
     owned = signals.select(
         "sector_code", F.col("as_of_date").alias("ownership_as_of_date"),
         F.col("score").alias("ownership_score"), F.col("signal_label").alias("ownership_signal_label"),
         F.col("low_coverage_flag").alias("ownership_low_coverage_flag"),
+        *([F.col("updated_at").alias("_owned_updated")] if timed else []),
     )
-    return asof_backward(
+    out = asof_backward(
         technical, owned, ["sector_code"], "trading_date", "ownership_as_of_date",
-        ["ownership_score", "ownership_signal_label", "ownership_low_coverage_flag"],
+        ["ownership_score", "ownership_signal_label", "ownership_low_coverage_flag", *(["_owned_updated"] if timed else [])],
     )
+    return out.withColumn("updated_at", F.greatest("updated_at", "_owned_updated")).drop("_owned_updated") if timed else out
 
 
 def integrated_sector(inputs: DataFrame, model_version: str) -> DataFrame:
@@ -199,5 +204,5 @@ def integrated_sector(inputs: DataFrame, model_version: str) -> DataFrame:
         signal_label(F.col("integrated_score"), "STRONG_BULLISH", "BULLISH", "BEARISH",
                      "STRONG_BEARISH").alias("integrated_label"),
         alignment(F.col("technical_score"), F.col("ownership_score"), stale).alias("alignment_label"),
-        F.lit(model_version).alias("model_version"),
+        F.lit(model_version).alias("model_version"), *(["updated_at"] if when_updated(inputs) else []),
     )

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import breadth, calibration, execution, features, lifecycle, outcomes, ownership, screener, setups
+from tidemark.plans import breadth, calibration, execution, features, incremental, lifecycle, outcomes, ownership, screener, setups
 from tidemark.session import Workspace
 from tidemark.sources import bars as bar_rules
 from tidemark.sources import feeds
 from tidemark.sources.tables import PART_BYTES, Source
 
 VERSION = "current_20011104"
+#: Feature columns that a screened row needs.
+SCREENED = ["instrument_id", "trading_date", "symbol", "sector_code", "close", "volume_z20", *screener.REQUIRED[:-1], "updated_at"]
 
 
 class Pipeline:
@@ -99,9 +101,14 @@ class Pipeline:
 
     @cached_property
     def screener_inputs(self) -> DataFrame:
-        wanted = ["instrument_id", "trading_date", "symbol", "sector_code", "close", "volume_z20", *screener.REQUIRED[:-1]]
         return screener.screener_inputs(
-            self.features.select(*wanted), self.bars, self.integrated, self.regimes, self.trends, self.ws)
+            self.features.select(*SCREENED), self.bars, self.integrated, self.regimes, self.trends, self.ws)
+
+    def screened_after(self, after: Column) -> DataFrame:
+        """Screener rows of the dates after one, from bounded slices of the stored stages."""
+        return incremental.screener_after(
+            self.features.select(*SCREENED), self.bars, self.integrated, self.regimes, self.trends, after,
+            f"stock_screener_v1_{VERSION}", self.ws)
 
     @cached_property
     def screened(self) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import overlapping, table_diff
+from tidemark.functions.dates import when_updated
+from tidemark.operators.joins import compared, overlapping
 from tidemark.operators.windows import series
 
 
@@ -123,10 +124,14 @@ def coverage(df: DataFrame, key: str, date: str, after: Column | None = None) ->
 
 
 def latest_state(df: DataFrame, date: str, key: str, group: str) -> DataFrame:
-    """Last date with its row and distinct group counts, from one aggregate per date."""
-    daily = df.groupBy(date).agg(F.count(key).alias("rows"), F.count_distinct(group).alias("groups"))
-    return daily.agg(F.max(F.struct(date, "rows", "groups")).alias("s")).select(
-        F.col(f"s.{date}").alias("latest_date"), F.col("s.rows").alias("latest_rows"), F.col("s.groups").alias("latest_groups"))
+    """Last date with its row and distinct group counts, from one aggregate per date; with input times also the newest."""
+    timed = when_updated(df, column="input_updated_at")
+    times = [F.max("input_updated_at").alias("updated")] if timed else []
+    daily = df.groupBy(date).agg(F.count(key).alias("rows"), F.count_distinct(group).alias("groups"), *times)
+    out = daily.agg(F.max(F.struct(date, "rows", "groups")).alias("s"), *[F.max("updated").alias("newest_input_at") for _ in times])
+    return out.select(
+        F.col(f"s.{date}").alias("latest_date"), F.col("s.rows").alias("latest_rows"), F.col("s.groups").alias("latest_groups"),
+        *["newest_input_at" for _ in times])
 
 
 def latest_model(df: DataFrame, prefix: str, date: str) -> DataFrame:
@@ -215,10 +220,10 @@ def scenario_coverage(rows: DataFrame, scenarios: list[str]) -> DataFrame:
 
 def compare_counts(generated: DataFrame, stored: DataFrame, keys: list[str], exact: list[str], close: list[str]) -> DataFrame:
     """One row: how many generated rows, and how many keys are missing, unexpected or different."""
-    diff = table_diff(generated, stored, keys, exact, close)
-    found = diff.agg(*[F.count_if(F.col("issue") == i).alias(f"{i.lower()}_keys") for i in ("MISSING", "UNEXPECTED", "MISMATCH")])
-    size = generated.agg(F.count(F.lit(1)).alias("generated_rows"))
-    return size.withColumn("_k", F.lit(1)).join(found.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    found = compared(generated, stored, keys, exact, close)
+    return found.agg(
+        F.count_if("generated").alias("generated_rows"),
+        *[F.count_if(F.col("issue") == i).alias(f"{i.lower()}_keys") for i in ("MISSING", "UNEXPECTED", "MISMATCH")])
 
 
 def readiness(catalog: DataFrame, log: DataFrame, families: list[str]) -> DataFrame:

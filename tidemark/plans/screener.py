@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import newest_input, when_updated
 from tidemark.functions.numeric import clamp, piecewise, rnd
 from tidemark.operators.joins import asof_backward
 from tidemark.operators.ordering import percent_rank, positions
-from tidemark.operators.windows import series, trailing
+from tidemark.operators.windows import bounded_history, series, trailing
 from tidemark.plans.ownership import STALE_DAYS
 from tidemark.session import Workspace
 
@@ -105,9 +106,10 @@ def turnover_window(bars: DataFrame, first: Column, last: Column, minimum_rows:
     )
     frame = trailing(series(), 20)
     mean = F.avg(F.col("close") * F.col("volume")).over(frame)
+    times = [F.max("ingested_at").over(frame).alias("turnover_updated_at")] if when_updated(bars, column="ingested_at") else []
     return sliced.select(
         "instrument_id", "trading_date",
-        F.when(F.count(F.lit(1)).over(frame) >= minimum_rows, mean).alias("avg_turnover_20d"),
+        F.when(F.count(F.lit(1)).over(frame) >= minimum_rows, mean).alias("avg_turnover_20d"), *times,
     )
 
 
@@ -119,6 +121,36 @@ def screener_inputs(features: DataFrame, bars: DataFrame, sectors: DataFrame,
     """
     span = sectors.agg(F.min("trading_date").alias("a"), F.max("trading_date").alias("b"))
     window = turnover_window(bars, span.select("a").scalar(), span.select("b").scalar())
+    return joined_inputs(features, window, sectors, regimes, trends, ws)
+
+
+def screener_inputs_after(features: DataFrame, bars: DataFrame, sectors: DataFrame, regimes: DataFrame,
+                          trends: DataFrame, after: Column, ws: Workspace) -> DataFrame:
+    """The same rows for dates after ``after`` only, from bounded slices of the stored tables.
+
+    Older rows are read only as carried-in state: the 19 turnover bars and the one ownership trend of each
+    instrument that reach over the cut. Percentiles are within a date, so new dates need no older ones.
+    """
+    first = sectors.agg(F.min("trading_date").alias("a")).select("a").scalar()
+    last = sectors.agg(F.max("trading_date").alias("b")).select("b").scalar()
+    usable = bars.filter((F.col("close") > 0) & F.col("volume").isNotNull() & (F.col("trading_date") >= F.date_sub(first, 45)))
+    window = turnover_window(bounded_history(usable, after, 19), first, last).filter(F.col("trading_date") > after)
+
+    def fresh(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("trading_date") > after)
+
+    carried = bounded_history(trends, after, 1, date="as_of_date")
+    return joined_inputs(fresh(features), window, fresh(sectors), fresh(regimes), carried, ws)
+
+
+def joined_inputs(features: DataFrame, window: DataFrame, sectors: DataFrame, regimes: DataFrame,
+                  trends: DataFrame, ws: Workspace) -> DataFrame:
+    """Features with turnover, sector view, regime and the latest ownership trend; ``input_updated_at`` is the newest of them."""
+    timed = when_updated(features, sectors, regimes, trends) and when_updated(window, column="turnover_updated_at")
+
+    def time(name: str) -> list[Column]:
+        return [F.col("updated_at").alias(name)] if timed else []
+
     base = (
         features.filter("sector_code is not null")
         .join(window, ["instrument_id", "trading_date"])
@@ -126,10 +158,11 @@ def screener_inputs(features: DataFrame, bars: DataFrame, sectors: DataFrame,
             "trading_date", "sector_code", F.col("integrated_score").alias("sector_input_score"),
             F.col("integrated_label").alias("sector_integrated_label"),
             F.col("alignment_label").alias("sector_alignment_label"),
-            F.col("ownership_stale_flag").alias("sector_ownership_stale_flag"),
+            F.col("ownership_stale_flag").alias("sector_ownership_stale_flag"), *time("_sector_updated"),
         ), ["trading_date", "sector_code"])
         .join(regimes.select(
-            "trading_date", F.col("regime").alias("market_regime"), F.col("confidence").alias("market_confidence")
+            "trading_date", F.col("regime").alias("market_regime"), F.col("confidence").alias("market_confidence"),
+            *time("_regime_updated"),
         ), "trading_date")
         .dropna(subset=REQUIRED)
     )
@@ -137,12 +170,17 @@ def screener_inputs(features: DataFrame, bars: DataFrame, sectors: DataFrame,
         "instrument_id", F.col("as_of_date").alias("ownership_as_of_date"),
         F.col("trend_label").alias("ownership_trend_label"),
         F.col("signal_strength").alias("ownership_signal_strength"),
-        F.col("corporate_action_risk").alias("ownership_corporate_action_risk"),
+        F.col("corporate_action_risk").alias("ownership_corporate_action_risk"), *time("_owned_updated"),
     )
     matched = asof_backward(
         base, owned, ["instrument_id"], "trading_date", "ownership_as_of_date",
-        ["ownership_trend_label", "ownership_signal_strength", "ownership_corporate_action_risk"], how="left",
+        ["ownership_trend_label", "ownership_signal_strength", "ownership_corporate_action_risk", *(["_owned_updated"] if timed else [])],
+        how="left",
     )
+    if timed:
+        required = ["updated_at", "turnover_updated_at", "_sector_updated", "_regime_updated"]
+        newest = newest_input(required, ["_owned_updated"])
+        matched = matched.withColumn("input_updated_at", newest).drop(*required, "_owned_updated")
     matched = ws.write(matched, "screener-inputs")
     return percent_rank(matched, ws, ["trading_date"], "avg_turnover_20d", "liquidity_percentile")
 

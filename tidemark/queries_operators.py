@@ -120,8 +120,10 @@ SELECT count(*) AS rows, count(DISTINCT instrument_id) AS keys, count(DISTINCT t
 register("screener_coverage_after", lambda p: quality.coverage(p.screened, "instrument_id", "trading_date", _lit_date("2000-06-30")), """
 SELECT count(*) AS rows, count(DISTINCT instrument_id) AS keys, count(DISTINCT trading_date) AS dates, min(trading_date) AS first_date, max(trading_date) AS last_date
 FROM screened WHERE trading_date > DATE '2000-06-30'""")
-register("screener_latest_state", lambda p: quality.latest_state(p.screened, "trading_date", "instrument_id", "sector_code"), """
-SELECT trading_date AS latest_date, count(*) AS latest_rows, count(DISTINCT sector_code) AS latest_groups FROM screened WHERE trading_date = (SELECT max(trading_date) FROM screened) GROUP BY 1""")
+register("screener_latest_state", lambda p: quality.latest_state(p.screened, "trading_date", "instrument_id", "sector_code").select(
+    "latest_date", "latest_rows", "latest_groups", F.to_date("newest_input_at").alias("newest_input_on")), """
+SELECT trading_date AS latest_date, count(*) AS latest_rows, count(DISTINCT sector_code) AS latest_groups,
+  (SELECT max(input_updated_at) FROM screened) AS newest_input_on FROM screened WHERE trading_date = (SELECT max(trading_date) FROM screened) GROUP BY 1""")
 register("integrated_signature", lambda p: quality.signature(p.integrated, "trading_date", "sector_code", "ownership_as_of_date"), """
 SELECT trading_date, string_agg(DISTINCT sector_code || ':' || ownership_as_of_date, ',' ORDER BY sector_code || ':' || ownership_as_of_date) AS signature
 FROM integrated WHERE trading_date = (SELECT max(trading_date) FROM integrated) GROUP BY 1""")
@@ -383,59 +385,63 @@ register("index_summary", lambda p: p.regimes.agg(
     F.max_by("regime", "trading_date").alias("latest_regime"), F.max_by("composite_score", "trading_date").alias("latest_score")), """
 SELECT count(*) AS rows, min(trading_date) AS first_date, max(trading_date) AS last_date, arg_max(regime, trading_date) AS latest_regime, arg_max(composite_score, trading_date) AS latest_score FROM regimes""")
 register("ownership_latest_coverage", lambda p: p.instruments.select("instrument_id").join(
-    p.snapshots.filter(F.col("as_of_date") == F.last_day(F.date_sub(_last(p.snapshots, "as_of_date"), 400))).select("instrument_id", F.lit(1).alias("s")), "instrument_id", "left").agg(
+    p.snapshots.filter(F.col("as_of_date") == _last(p.snapshots, "as_of_date")).select("instrument_id", F.lit(1).alias("s")), "instrument_id", "left").agg(
     F.count(F.lit(1)).alias("expected_current"), F.count("s").alias("stored_current"), F.count_if(F.col("s").isNull()).alias("missing_current")), """
 SELECT count(*) AS expected_current, count(s) AS stored_current, count(*) - count(s) AS missing_current FROM instruments LEFT JOIN (SELECT instrument_id, 1 AS s FROM snapshots
-WHERE as_of_date = (SELECT last_day(max(as_of_date) - 400) FROM snapshots)) USING (instrument_id)""")
+WHERE as_of_date = (SELECT max(as_of_date) FROM snapshots)) USING (instrument_id)""")
 
 # --- rebuilds: incremental equals full -------------------------------------------------
 
-AFTER = "2001-03-30"
+AFTER = "(SELECT max(trading_date) - 120 FROM bars)"
 _NONE = "0::BIGINT AS missing_keys, 0::BIGINT AS unexpected_keys, 0::BIGINT AS mismatch_keys"
 
 
-def _after(df, date="trading_date"):
-    return df.filter(F.col(date) > _lit_date(AFTER))
+def _cut(p):
+    """The date that incremental builds start after: 120 days before the last bar."""
+    return F.date_sub(_last(p.bars), 120)
+
+
+def _after(p, df, date="trading_date"):
+    return df.filter(F.col(date) > _cut(p))
 
 
 register("incremental_breadth", lambda p: quality.compare_counts(
-    incremental.breadth_after(p.bars, p.features, _lit_date(AFTER), "u"), _after(p.breadth), ["trading_date"],
+    incremental.breadth_after(p.bars, p.features, _cut(p), "u"), _after(p, p.breadth), ["trading_date"],
     [c for c in _BREADTH_IN if c not in ("trading_date",) and "pct" not in c and "volume" not in c], ["pct_above_ema20", "breadth_score", "up_volume"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM breadth WHERE trading_date > DATE '{AFTER}'")
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM breadth WHERE trading_date > {AFTER}")
 register("incremental_rotation", lambda p: quality.compare_counts(
-    incremental.rotation_after(p.features, p.index_features, p.rotation, _lit_date(AFTER), "m"), _after(p.rotation), ["trading_date", "sector_code"],
+    incremental.rotation_after(p.features, p.index_features, p.rotation, _cut(p), "m"), _after(p, p.rotation), ["trading_date", "sector_code"],
     ["rotation_label", "eligible_count"], ["score", "score_change_20d"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM rotation WHERE trading_date > DATE '{AFTER}'")
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM rotation WHERE trading_date > {AFTER}")
 register("incremental_trends", lambda p: quality.compare_counts(
-    _after(ownership.ownership_trends(incremental.bounded_history(p.snapshots, _lit_date(AFTER), 1, date="as_of_date"), "m"), "as_of_date"),
-    _after(p.trends, "as_of_date"), ["instrument_id", "as_of_date"], ["trend_label", "snapshot_gap_flag"], ["delta_foreign_ownership_pp", "signal_strength"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM trends WHERE as_of_date > DATE '{AFTER}'")
+    _after(p, ownership.ownership_trends(incremental.bounded_history(p.snapshots, _cut(p), 1, date="as_of_date"), "m"), "as_of_date"),
+    _after(p, p.trends, "as_of_date"), ["instrument_id", "as_of_date"], ["trend_label", "snapshot_gap_flag"], ["delta_foreign_ownership_pp", "signal_strength"]),
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM trends WHERE as_of_date > {AFTER}")
 register("incremental_sector_ownership", lambda p: quality.compare_counts(
-    ownership.sector_ownership(ownership.sector_ownership_inputs(_after(p.trends, "as_of_date"), p.instruments), "m"),
-    _after(p.sector_ownership, "as_of_date"), ["as_of_date", "sector_code"], ["signal_label", "clean_count"], ["score", "breadth_score"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM sector_ownership WHERE as_of_date > DATE '{AFTER}'")
+    ownership.sector_ownership(ownership.sector_ownership_inputs(_after(p, p.trends, "as_of_date"), p.instruments), "m"),
+    _after(p, p.sector_ownership, "as_of_date"), ["as_of_date", "sector_code"], ["signal_label", "clean_count"], ["score", "breadth_score"]),
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM sector_ownership WHERE as_of_date > {AFTER}")
 register("incremental_integrated", lambda p: quality.compare_counts(
-    ownership.integrated_sector(ownership.integrated_inputs(_after(p.rotation), p.sector_ownership), "m"), _after(p.integrated),
+    ownership.integrated_sector(ownership.integrated_inputs(_after(p, p.rotation), p.sector_ownership), "m"), _after(p, p.integrated),
     ["trading_date", "sector_code"], ["integrated_label", "alignment_label", "ownership_as_of_date"], ["integrated_score"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM integrated WHERE trading_date > DATE '{AFTER}'")
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM integrated WHERE trading_date > {AFTER}")
 _SCORES = ["overall_score", "technical_score", "liquidity_score", "ownership_score", "risk_score"]
 register("incremental_screener", lambda p: quality.compare_counts(
-    screener.ranked(screener.screener_scores(_after(p.screener_inputs), "m"), p.ws), _after(p.screened), KEY, ["status", "universe_rank", "sector_rank"], _SCORES),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM screened WHERE trading_date > DATE '{AFTER}'")
+    p.screened_after(_cut(p)), _after(p, p.screened), KEY, ["status", "universe_rank", "sector_rank", "input_updated_at", "ownership_as_of_date"], _SCORES),
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM screened WHERE trading_date > {AFTER}")
 
 
 def _setups_after(p):
-    structure = setups.price_structure(incremental.bounded_history(p.bars, _lit_date(AFTER), 56), _lit_date("1900-04-01"), _lit_date("2100-01-01"))
-    chosen = _after(p.screened).filter("status = 'BUY_SETUP'").select(
+    structure = setups.price_structure(incremental.bounded_history(p.bars, _cut(p), 56), _lit_date("1900-04-01"), _lit_date("2100-01-01"))
+    chosen = _after(p, p.screened).filter("status = 'BUY_SETUP'").select(
         "instrument_id", "symbol", "sector_code", "trading_date", "overall_score", "market_score", "sector_score", "technical_score",
-        "liquidity_score", "ownership_score", "risk_score", "data_completeness")
-    averages = p.features.select(*KEY, "ema20", "ema50", "rsi14", "atr14")
-    return setups.trade_setups(chosen.join(averages, KEY, "left").join(structure, KEY, "left"), "m")
+        "liquidity_score", "ownership_score", "risk_score", "data_completeness", "input_updated_at")
+    return setups.trade_setups(setups.candidate_inputs(chosen, p.features, structure), "m")
 
 
 register("incremental_setups", lambda p: quality.compare_counts(
-    _setups_after(p), _after(p.setups), KEY, ["setup_decision", "status"], ["entry_low", "stop_price", "target_primary", "expected_rr"]),
-    f"SELECT count(*) AS generated_rows, {_NONE} FROM setups WHERE trading_date > DATE '{AFTER}'")
+    _setups_after(p), _after(p, p.setups), KEY, ["setup_decision", "status", "input_updated_at"], ["entry_low", "stop_price", "target_primary", "expected_rr"]),
+    f"SELECT count(*) AS generated_rows, {_NONE} FROM setups WHERE trading_date > {AFTER}")
 register("rebuilt_outcomes", lambda p: quality.compare_counts(
     _rebuilt_outcomes(p), p.outcomes, ["signal_id"], ["outcome_label", "entry_date", "exit_date"], ["realized_r", "mfe_r", "mae_r"]),
     f"SELECT count(*) AS generated_rows, {_NONE} FROM outcomes")
@@ -450,14 +456,16 @@ def _rebuilt_outcomes(p):
 def _states(p):
     """One state row per sector: rotation as stored up to a date against its input."""
     full = p.rotation.groupBy("sector_code").agg(F.max("trading_date").alias("input_last"), F.count(F.lit(1)).alias("expected_rows"))
-    cut = F.date_sub(_lit_date("2001-11-02"), F.when(F.col("sector_code") < "ASIA", 200).otherwise(0))
+    cut = F.date_sub(_last(p.rotation), F.when(F.col("sector_code") < "ASIA", 200).otherwise(0))
+    corrected = F.date_add(F.to_date("updated_at"), F.when(F.col("sector_code") == "AMERICA", 1).otherwise(0))  # since the build
     kept = p.rotation.filter(F.col("trading_date") <= cut).groupBy("sector_code").agg(
-        F.max("trading_date").alias("stored_last"), F.count(F.lit(1)).alias("stored_rows"))
+        F.max("trading_date").alias("stored_last"), F.count(F.lit(1)).alias("stored_rows"),
+        F.max(F.to_date("updated_at")).alias("stored_at"), F.max(corrected).alias("input_at"))
     return full.join(kept, "sector_code", "left").withColumns({
         "force": F.col("sector_code") == "EUROPE", "stored_count": F.col("stored_rows"), "expected_count": F.when(
             F.col("sector_code") == "ASIA", F.col("expected_rows") + 1).otherwise(F.col("stored_rows")),
         "stored_signature": F.lit("a"), "input_signature": F.when(F.col("sector_code") == "MIDDLE EAST", "b").otherwise("a"),
-        "stored_at": F.lit(1), "input_at": F.when(F.col("sector_code") == "AMERICA", 2).otherwise(1), "state_exists": F.lit(True),
+        "state_exists": F.lit(True),
         "model_matches": F.col("sector_code") != "AFRICA", "state_rows": F.col("stored_rows")})
 
 
@@ -471,6 +479,6 @@ SELECT sector_code, CASE WHEN f THEN 'FULL' ELSE base END AS breadth_mode, CASE
 FROM (SELECT sector_code, sector_code = 'EUROPE' AS f, sector_code = 'ASIA' AS cnt, sector_code = 'MIDDLE EAST' AS sig, sector_code = 'AMERICA' AS ts, sector_code = 'AFRICA' AS mm,
         max(trading_date) AS il, count(*) AS n, max(trading_date) FILTER (WHERE trading_date <= cut) AS sl, count(*) FILTER (WHERE trading_date <= cut) AS sn,
         CASE WHEN max(trading_date) FILTER (WHERE trading_date <= cut) = max(trading_date) THEN 'UP_TO_DATE' ELSE 'INCREMENTAL' END AS base
-      FROM (SELECT *, DATE '2001-11-02' - CASE WHEN sector_code < 'ASIA' THEN 200 ELSE 0 END AS cut FROM rotation) GROUP BY 1)""")
+      FROM (SELECT *, (SELECT max(trading_date) FROM rotation) - CASE WHEN sector_code < 'ASIA' THEN 200 ELSE 0 END AS cut FROM rotation) GROUP BY 1)""")
 register("lineage_versions", lambda p: incremental.lineage_versions(p.rotation, p.sector_ownership, p.integrated), """
 SELECT DISTINCT model_version, DATE '2001-11-04' AS universe_date FROM (SELECT model_version FROM rotation UNION SELECT model_version FROM sector_ownership UNION SELECT model_version FROM integrated)""")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import reasons
 from tidemark.operators.keyed import first_per_key
 from tidemark.operators.windows import series
+from tidemark.session import Workspace
+from tidemark.sources.sinks import merge_table
 
 
 def is_weekend(date_column: str):
@@ -76,6 +78,46 @@ def with_previous_close(bars: DataFrame, keys: list[str] = ("instrument_id",)) -
     return bars.withColumn("previous_close", F.lag("close").over(series(list(keys))))
 
 
+def previous_close_changes(stored: DataFrame, incoming: DataFrame, keys: list[str] = ("instrument_id",), time: str = "trading_date") -> DataFrame:
+    """Incoming bars with their previous close, and the stored bars whose previous close they change, whole.
+
+    Only series that incoming bars touch are ordered, and only by key and close; a late or corrected bar changes itself and the
+    bar after it.
+    """
+    keys, names = list(keys), incoming.columns
+    new = incoming.select(*keys, time, F.col("close").alias("_close"))
+    old = stored.join(new.select(*keys).distinct(), keys, "left_semi").select(*keys, time, "close", F.col("previous_close").alias("_before"), F.lit(True).alias("_old"))
+    both = old.join(new, [*keys, time], "full_outer")
+    now = F.lag(F.coalesce("_close", "close")).over(series(keys, time))
+    moved = both.withColumn("_now", now).filter(F.col("_close").isNotNull() | ~F.col("_now").eqNullSafe(F.col("_before")))
+    moved = moved.select(*keys, time, F.col("_now").alias("previous_close"), F.col("_close").isNotNull().alias("_new"))
+    own = incoming.drop("previous_close").join(moved.filter("_new").drop("_new"), [*keys, time])
+    after = stored.drop("previous_close").join(moved.filter("not _new").drop("_new"), [*keys, time])
+    out = [*[c for c in names if c != "previous_close"], "previous_close"]
+    return own.select(*out).unionByName(after.select(*out))
+
+
+def load_bars(spark: SparkSession, ws: Workspace, path: str, payloads: DataFrame, instruments: DataFrame, partitions: list[str],
+              partition_values: dict[str, Column], target_end: Column) -> DataFrame:
+    """Load landed payloads into a table of bars partitioned by ``partitions``; returns rejected bars by reason.
+
+    Payloads are parsed to bars (the position in the payload is the order of arrival), bars without a price are left out, and the instrument of the
+    symbol is looked up (unknown ones are left out). The first bar of an instrument and date counts, if it is valid and between
+    the listing date of ``instruments`` (instrument_id, symbol, listed_date) and ``target_end``. Accepted bars replace stored
+    ones, previous closes are repaired, and only partitions that hold a changed bar are rewritten.
+    """
+    keys = ["instrument_id", "trading_date"]
+    parsed = complete_bars(parse_bar_payloads(payloads)).join(instruments, "symbol").withColumn("target_end", target_end)
+    landed = ws.write(parsed, "landed")
+    order = [F.col("bar_index")]
+    columns = [*keys, "open", "high", "low", "close", "volume"]
+    accepted = accepted_bars(landed, keys, order, "listed_date", "target_end").select(*columns).withColumns(partition_values)
+    accepted = ws.write(accepted, "accepted")
+    stored = spark.read.parquet(path)
+    merge_table(spark, ws, path, previous_close_changes(stored, accepted), [*keys, *partitions], partitions)
+    return rejection_counts(landed, keys, order, "listed_date", "target_end")
+
+
 BAR_PAYLOAD = (
     "struct<symbol:string,granularity:string,timestamp:array<bigint>,"
     "open:array<double>,high:array<double>,low:array<double>,close:array<double>,"

@@ -37,8 +37,23 @@ def merge_table(spark: SparkSession, ws: Workspace, path: str, incoming: DataFra
     replace_partitions(merged, path, partitions)
 
 
+def delete_partitions(spark: SparkSession, path: str, condition: Column, partitions: list[str]) -> int:
+    """Drop whole partitions whose partition columns meet the condition; no other file is read or written.
+
+    The condition may name partition columns only. A partition whose values make it NULL stays. Returns how many went.
+    """
+    stored = spark.read.parquet(path)
+    found = stored.select(*partitions, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
+    folders = [r["_folder"] for r in found.filter(condition).select("_folder").distinct().collect()]  # one per partition
+    paths = spark._jvm.org.apache.hadoop.fs
+    for folder in folders:
+        target = paths.Path(spark._jvm.java.net.URI(folder))
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(folders)
+
+
 def delete_rows(spark: SparkSession, ws: Workspace, path: str, condition: Column, partitions: list[str]) -> None:
-    """Rewrite a table without the rows that meet the condition."""
+    """Rewrite a table without the rows that meet the condition; where it names partition columns only, ``delete_partitions`` does less."""
     kept = ws.write(spark.read.parquet(path).filter(~F.coalesce(condition, F.lit(False))), "kept")
     kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(path)
 

@@ -49,13 +49,14 @@ class Source:
                 (F.sum(cents % 401) - F.lit(199) * F.count(F.lit(1))).alias("step"),
                 F.sum("l_quantity").alias("volume"),
                 F.sum(cents).alias("value_cents"),
+                F.max("l_linenumber").alias("arrival_days"),
             )
         )
 
     def bars_walk(self, totals: DataFrame | None = None) -> DataFrame:
         """Smooth random-walk bars, one row per (instrument, date).
 
-        ``totals`` may be the daily totals already partitioned by instrument.
+        A bar arrives as many days after its date as its highest line number says. ``totals`` may be the daily totals already partitioned by instrument.
         """
         w = Window.partitionBy("instrument_id").orderBy("trading_date")
         cum = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -73,6 +74,7 @@ class Source:
             ((bottom - down) / F.lit(100.0)).alias("low"),
             "close", "volume",
             (F.col("value_cents") / F.lit(100.0)).alias("value"),
+            F.date_add("trading_date", F.col("arrival_days")).cast("timestamp").alias("ingested_at"),
         )
 
     def bars_raw(self) -> DataFrame:
@@ -96,7 +98,8 @@ class Source:
             return rnd(F.sum(F.rint(F.col(c) * 100).cast("long")) / F.count(F.lit(1)) / F.lit(100.0), 6).alias(c)
 
         return bars.groupBy("trading_date").agg(
-            mean("open"), mean("high"), mean("low"), mean("close"), F.sum("volume").alias("volume")
+            mean("open"), mean("high"), mean("low"), mean("close"), F.sum("volume").alias("volume"),
+            F.max("ingested_at").alias("ingested_at"),
         )
 
     def ownership_snapshots(self) -> DataFrame:
@@ -110,19 +113,20 @@ class Source:
         ).select("o_orderkey", F.col("c_nationkey").alias("buyer_nation"))
         lines = self.table("lineitem").select(
             "l_orderkey", F.col("l_suppkey").alias("instrument_id"),
-            F.last_day("l_shipdate").alias("as_of_date"), "l_quantity",
+            F.last_day("l_shipdate").alias("as_of_date"), "l_quantity", "l_linenumber",
         )
         home = self.instruments().select("instrument_id", "nation_key")
         foreign = F.col("buyer_nation") != F.col("nation_key")
         monthly = (
             lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy("instrument_id", "as_of_date", "buyer_nation")
-            .agg(F.sum("l_quantity").alias("quantity"))
+            .agg(F.sum("l_quantity").alias("quantity"), F.max("l_linenumber").alias("arrival_days"))
             .join(home, "instrument_id")
             .groupBy("instrument_id", "as_of_date")
             .agg(
                 F.sum("quantity").cast("long").alias("bought"),
                 F.coalesce(F.sum(F.when(foreign, F.col("quantity"))), F.lit(0.0)).cast("long").alias("bought_foreign"),
+                F.date_add("as_of_date", F.max("arrival_days")).cast("timestamp").alias("ingested_at"),
             )
         )
         w = (
@@ -133,6 +137,7 @@ class Source:
             "instrument_id", "as_of_date",
             F.sum("bought").over(w).alias("security_number"),
             F.sum("bought_foreign").over(w).alias("foreign_shares"),
+            F.max("ingested_at").over(w).alias("updated_at"),
         )
         return totals.withColumn(
             "local_shares", F.col("security_number") - F.col("foreign_shares")
