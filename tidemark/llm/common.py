@@ -41,8 +41,12 @@ def words(text: str) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of a word, remembered; emptied when it holds too many, so memory stays bounded."""
 
+    def __init__(self, most: int = MEMO_ENTRIES):
+        super().__init__()
+        self.most = most
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_ENTRIES:
+        if len(self) >= self.most:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

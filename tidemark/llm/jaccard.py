@@ -16,6 +16,10 @@ from tidemark.llm.components import components
 from tidemark.session import Workspace
 
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
+#: Further minima by which groups meet, and how many of all minima two sets share at least to be compared for it.
+SCOUTS, ALIKE = 8, 10
+#: Remembered words of one pass.
+WORDS_HELD = 150_000
 
 
 def signature(found: np.ndarray) -> bytes:
@@ -45,31 +49,25 @@ def _summaries(docs: DataFrame, width: int, ws: Workspace) -> DataFrame:
     """One pass over the texts: a row per document (kind 0) and per task the counts of hashed shingles (kind 1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
+        words = WordHashes(WORDS_HELD)
         odd = np.random.default_rng(11).integers(1, 2**62, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        slots = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-        columns = ["kind", "doc_id", "n", "sig", "minima"]
+        slots = np.zeros(1 << SLOT_BITS, dtype=np.uint32)  # of one task
+        columns = ["kind", "doc_id", "of_text", "n", "sig", "minima"]
         for batch in batches:
-            rows, held, size = [], [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            rows = []
+            for doc_id, text, of_text in zip(batch["doc_id"], batch["text"], batch["of_text"], strict=True):
                 found = shingles(words.of(text), width)
                 least = np.multiply.outer(odd, found).min(1).view(np.int64) if len(found) else None
-                rows.append((0, doc_id, len(found), signature(found), least))
-                held.append(found & np.uint64((1 << SLOT_BITS) - 1))
-                size += len(found)
-                if size > 2_000_000:
-                    slots += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(slots))
-                    held, size = [], 0
-            if held:
-                slots += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(slots))
-            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                rows.append((0, doc_id, of_text, len(found), signature(found), least))
+                np.add.at(slots, (found & np.uint64((1 << SLOT_BITS) - 1)).view(np.int64), np.uint32(1))
+            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "of_text": "Int64"})
         if slots.any():
             parts = slots.reshape(CHUNKS, -1)
-            rows = [(1, None, i, zlib.compress(parts[i].tobytes(), 1), None) for i in range(CHUNKS)]
-            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+            rows = [(1, None, None, i, zlib.compress(parts[i].tobytes(), 1), None) for i in range(CHUNKS)]
+            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "of_text": "Int64"})
 
-    rows = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "kind int, doc_id long, n int, sig binary, minima array<long>"
+    rows = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("of_text"))
+    schema = "kind int, doc_id long, of_text long, n int, sig binary, minima array<long>"
     return ws.write(rows.mapInPandas(run, schema), "sets")
 
 
@@ -80,7 +78,7 @@ def _levels(summaries: DataFrame):
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, blob in zip(batch["n"], batch["sig"], strict=True):
-                part = np.frombuffer(zlib.decompress(blob), dtype=np.int64)
+                part = np.frombuffer(zlib.decompress(blob), dtype=np.uint32).astype(np.int64)
                 totals[i] = totals[i] + part if i in totals else part
         if totals:
             levels = [(np.log2(t + 1) * 4).astype(np.uint8).tobytes() for t in totals.values()]
@@ -107,6 +105,26 @@ def _relations(sets: DataFrame, k: int) -> DataFrame:
     return named.join(heads, "g").filter("a <> id").select("a", F.col("id").alias("b"))
 
 
+def _scouts(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups that share a further minimum: one set of each group there with one of its largest group.
+
+    Which set stands for its group differs from minimum to minimum. There are at most as many pairs as sets and minima; what they
+    link, the inverted lists need not look for.
+    """
+    mine = sets.join(groups, sets["id"] == groups["node"], "left").select("id", F.coalesce("root", "id").alias("comp"), "n", "minima")
+    spread = mine.filter("minima is not null").select(
+        "id", "comp", F.posexplode(F.slice("minima", RELATIONS + 1, SCOUTS)).alias("k", "g"))
+    standing = spread.groupBy("k", "g", "comp").agg(F.min_by("id", F.xxhash64("id", "k")).alias("id"), F.count(F.lit(1)).alias("size"))
+    heads = standing.groupBy("k", "g").agg(
+        F.max_by(F.struct("id", "comp"), F.struct("size", "comp")).alias("head"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
+    met = standing.join(heads, ["k", "g"]).filter(F.col("comp") != F.col("head.comp"))
+    pairs = met.select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct()
+    side = mine.select("id", "minima")
+    both = pairs.join(side.withColumnsRenamed({"id": "a", "minima": "x"}), "a").join(side.withColumnsRenamed({"id": "b", "minima": "y"}), "b")
+    same = F.size(F.filter(F.zip_with("x", "y", lambda p, q: p == q), lambda e: e))
+    return both.filter(same >= ALIKE).select("a", "b")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int, ws: Workspace) -> DataFrame:
     """The pairs (a, b) of set ids that reach the threshold, by exact comparison.
 
@@ -117,7 +135,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     wanted = sets.join(members, "id").select("id", "sig", F.col("rep").alias("doc_id"))
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
+        words = WordHashes(WORDS_HELD)
         for batch in batches:
             found = [shingles(words.of(t), width) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "same": [signature(f) == s for f, s in zip(found, batch["sig"], strict=True)], "found": [f.tobytes() for f in found]})
@@ -145,13 +163,25 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     return ws.write(met.mapInPandas(compare, "a long, b long").distinct(), "links")
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int) -> list[np.ndarray]:
+def parts_of(found: np.ndarray) -> np.ndarray:
+    """How many shingles fall in each sixteenth of the hash range, 255 for that many or more."""
+    return np.minimum(np.bincount((found >> np.uint64(60)).view(np.int64), minlength=16), 255).astype(np.uint8)
+
+
+def most_common(x: np.ndarray, y: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Upper bound of the common shingles of pairs from their sixteenths (rows of x and y); the smaller size where both are too many to count."""
+    both = np.minimum(x, y)
+    return np.where((both == 255).any(1), least, both.sum(1, dtype=np.int64))
+
+
+def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int, parts: np.ndarray | None = None) -> list[np.ndarray]:
     """Pairs of one inverted list (rows in order of n) that sizes and positions allow and no answer yet covers: a, b, their sizes.
 
     A pair that reaches the threshold passes in every list of a common shingle, so its lists can be counted.
 
     A set linked to a highly similar one has that one's answers: pairs within one group are skipped. Blocks of the
-    list are skipped whole where their sizes, or the first position in them, leave too little to share.
+    list are skipped whole where their sizes, or the first position in them, leave too little to share. ``parts`` (rows of
+    sixteenths) leaves out pairs that cannot have enough in common wherever they meet.
     """
     out = []
     size = len(n)
@@ -171,6 +201,10 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
             rest = np.minimum(i, j) + np.minimum(x - i, y - j)
             fit = (rest >= least_overlap(x, y, percent)) & (100 * x >= percent * y) & (comps[rows][:, None] != comps[cols][None])
             i, j = np.nonzero(np.triu(fit, 1) if other == start else fit)
+            if len(i) and parts is not None:
+                na, nb = n[rows][i], n[cols][j]
+                enough = most_common(parts[rows][i], parts[cols][j], np.minimum(na, nb)) >= least_overlap(na, nb, percent)
+                i, j = i[enough], j[enough]
             if len(i):
                 a, b, na, nb = ids[rows][i], ids[cols][j], n[rows][i], n[cols][j]
                 swap = a > b
@@ -183,7 +217,7 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
+        words = WordHashes(WORDS_HELD)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -191,19 +225,19 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
                 if len(found):
                     level = sent.value[(found & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
                     order = np.lexsort((found, level))[: prefix_length(len(found), percent)]
-                    rows.append((doc_id, signature(found), found[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "sig", "first"])
+                    rows.append((doc_id, signature(found), found[order].view(np.int64), *parts_of(found).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["doc_id", "sig", "first", "low", "high"])
 
     texts = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    firsts = texts.mapInPandas(rarest, "doc_id long, sig binary, first array<long>")
+    firsts = texts.mapInPandas(rarest, "doc_id long, sig binary, first array<long>, low long, high long")
     mine = sets.join(groups, sets["id"] == groups["node"], "left").select(
         "id", F.coalesce("root", "id").alias("comp"), "n", F.col("rep").alias("doc_id"), F.col("sig").alias("s")
     )
-    lists = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", F.posexplode("first").alias("pos", "token"))
+    lists = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", "low", "high", F.posexplode("first").alias("pos", "token"))
     lists = lists.repartition("token").sortWithinPartitions("token", "n", "id")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["token", "n", "pos", "id", "comp"]
+        columns = ["token", "n", "pos", "id", "comp", "low", "high"]
         carried = None
 
         def solve(part: dict[str, np.ndarray]) -> pd.DataFrame:
@@ -212,8 +246,9 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
             ends = np.r_[starts[1:], len(token)]
             mixed = np.minimum.reduceat(part["comp"], starts) != np.maximum.reduceat(part["comp"], starts)
             out = []
+            parts = np.stack([part["low"], part["high"]], 1).view(np.uint8)
             for a, b in zip(starts[mixed], ends[mixed], strict=True):
-                out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent)
+                out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent, parts[a:b])
             found = np.concatenate(out) if out else np.empty((0, 4), dtype=np.int64)
             return pd.DataFrame(found, columns=["a", "b", "na", "nb"])
 
@@ -230,7 +265,7 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
         if carried is not None:
             yield solve(carried)
 
-    met = lists.select("token", "n", "pos", "id", "comp").mapInPandas(meet, "a long, b long, na int, nb int")
+    met = lists.select("token", "n", "pos", "id", "comp", "low", "high").mapInPandas(meet, "a long, b long, na int, nb int")
     # of the set whose rarest shingles end first, what is not among them is all that can be shared beyond the counted ones
     beyond = F.greatest(*[F.floor((F.lit(percent) * F.col(c) + 99) / 100) - 1 for c in ("na", "nb")])
     need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
@@ -261,7 +296,8 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     lower-cased; a shorter text is one shingle). Sets are compared as 64-bit shingle hashes.
 
     1. Equal sets become one; a set's relations are the central sets of the groups it shares a min-hash with.
-       They are verified, and what links is one group whose answers its members inherit.
+       They are verified, and what links is one group whose answers its members inherit. Groups that share further min-hashes
+       are then compared by one set each and united where those link.
     2. What is left is found exactly: inverted lists of every set's rarest shingles, skipped by blocks, give pairs of
        different groups. The likeliest of each set and group is verified first; what then still lies
        between different groups is verified whole. A link between different texts is lost in neither step; links within a
@@ -271,6 +307,11 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     its equals; where no equal has an id it links with nothing and its component is null. Repeated rows are copies. Extra
     columns are left behind; an empty table gives none.
     """
+    return _grouped(docs, ws, width, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFrame:
+    """doc_id, of_text (hash of the text), n, component_id of every row."""
     summaries = _summaries(docs, width, ws)
     rows = summaries.filter("kind = 0")
     distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"))
@@ -279,6 +320,8 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     pairs = related[0].unionByName(related[1]).unionByName(related[2]).distinct()
     links = _verify(pairs, sets, docs, width, percent, ws)
     first = ws.write(components(links, ws), "groups")
+    links = links.unionByName(_verify(_scouts(sets, first), sets, docs, width, percent, ws))
+    first = ws.write(components(links, ws), "groups")
     met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met")
     likely = ws.write(_likeliest(_named(met, first)), "likeliest")
     links = ws.write(links.unionByName(_verify(likely, sets, docs, width, percent, ws)), "links")
@@ -290,14 +333,22 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     named = ws.write(of_set.join(least, "root").select(F.col("sig").alias("s"), "component_id"), "named")
     out = rows.join(named, (F.col("sig") == F.col("s")) & (F.col("n") > 0), "left")
     return out.select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        "doc_id", "of_text", "n",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
 def one_of_each(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFrame:
-    """The rows, unchanged, of the smallest id of each group; one of repeated rows; rows without an id or shingle all stay."""
-    found = groups(docs, ws, width, percent)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The rows, unchanged, of one document of each group: its smallest id, and of an id's texts one of the group.
+
+    Rows are told apart by id and text, so of an id with two texts only the copy goes. Repeated rows become one;
+    rows without an id all stay, rows without a shingle too, but for repetitions. Null texts count as empty; the rules of ``groups`` for all else.
+    """
+    found = _grouped(docs, ws, width, percent).filter("doc_id is not null")
+    chosen = found.filter("n > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "of_text")).alias("row")).select("row.*")
+    keep = ws.write(chosen.unionByName(found.filter("n = 0").select("doc_id", "of_text").distinct()), "kept")
+    keep = keep.select(F.col("doc_id").alias("_id"), F.col("of_text").alias("_text"))
+    of_text = F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.withColumn("_of", of_text).join(keep, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_of") == F.col("_text")), "left_semi")
+    named = named.dropDuplicates(["doc_id", "_of"])
     return named.select(docs.columns).unionByName(docs.filter("doc_id is null"))

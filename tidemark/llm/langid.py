@@ -15,15 +15,27 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import MEMO_ENTRIES, documents, map_batches
 
 SAMPLE_DOCS, WORDS_PER_LANGUAGE, GRAMS_PER_LANGUAGE, LONGEST, SMOOTH, BACKOFF = 12_000, 40_000, 20_000, 4, 0.5, 0.4
+LEAST_ROWS = 300
 LETTERS = regex.compile(r"\p{L}+")
 
 
-def sample(rows: DataFrame, bound: int) -> DataFrame:
-    """About ``bound`` rows, or all if there are no more: those whose id hashes below a share of the range."""
-    n = rows.count()
+def hash_limit(wanted: int, n: int) -> int:
+    """Signed 64-bit hashes below it are about ``wanted`` of ``n``; exact integers, so no share is too small."""
+    return min(2**63 - 1, -(2**63) + (2**64 * wanted) // max(n, 1))
+
+
+def sample(rows: DataFrame, bound: int, by: str, least: int = LEAST_ROWS) -> DataFrame:
+    """About ``bound`` rows, or all if there are no more: those whose id hashes below a share of the 64-bit range.
+
+    Every value of ``by`` (a label, a language: few, so their counts are collected) has its share of the rows, but ``least`` where it has as many.
+    """
+    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    n = sum(counts.values())
     if n <= bound:
         return rows
-    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(1_000_003 * bound / n))
+    limits = [(value, hash_limit(max(bound * c // n, least), c)) for value, c in counts.items()]
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits for x in pair]), F.col(by))
+    return rows.filter(F.xxhash64("doc_id") < limit)
 
 
 def grams(word: str, longest: int = LONGEST) -> Iterator[str]:
@@ -55,7 +67,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, words: int = WORDS_PER_
         return pd.DataFrame([(*k, n) for k, n in [*found.items(), *spelled.items()]], columns=["lang", "kind", "entry", "n"])
 
     rows = documents(docs, "lang").filter(F.col("lang").isNotNull() & (F.col("text") != "") & F.col("doc_id").isNotNull())
-    counted = map_batches(sample(rows, sample_docs), count, "lang string, kind string, entry string, n long")
+    counted = map_batches(sample(rows, sample_docs, "lang"), count, "lang string, kind string, entry string, n long")
     totals = counted.groupBy("lang", "kind", "entry").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "entry")
     most = F.when(F.col("kind") == "word", words).otherwise(gram_count)

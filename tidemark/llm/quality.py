@@ -50,11 +50,13 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
     """doc_id, text, label of about ``bound`` labelled documents; several labels of a document are averaged.
 
-    Only the bounded sample of labels is broadcast, so texts are never shuffled.
+    Only the bounded sample of labels is broadcast, and only its texts are shuffled.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
-    return documents(docs).join(F.broadcast(sample(known, bound)), "doc_id")
+    found = documents(docs).join(F.broadcast(sample(known, bound, "label")), "doc_id")
+    # of the texts of a repeated id one, so the bound holds for them too
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, latent: int = LATENT) -> bytes:
