@@ -141,3 +141,22 @@ def test_a_lost_carry_in_shows(spark, ws):
     assert sliced(19) == {d: whole[d] for d in days[30:]}
     assert sliced(18) != {d: whole[d] for d in days[30:]}
     assert whole[days[25]][1] == max(dt.datetime(2024, 3, 1 + n % 20) for n in range(6, 26))
+
+
+def test_rebuild_of_keys_rewrites_their_buckets_only(spark, ws, tmp_path):
+    path = str(tmp_path / "keyed")
+    rows = [(k, v, k % 4) for k in range(8) for v in (1, 2)]
+    spark.createDataFrame(rows, "k long, v long, bucket int").coalesce(1).write.partitionBy("bucket").parquet(path)
+
+    def files():
+        found = spark.read.parquet(path).select("bucket", F.col("_metadata.file_name").alias("n")).distinct().collect()
+        return {r["bucket"]: r["n"] for r in found}
+
+    before = files()
+    stale = spark.createDataFrame([(1, 1), (5, 1), (6, 2)], "k long, bucket int")
+    fresh = spark.createDataFrame([(1, 9, 1), (5, 8, 1), (7, 7, 3)], "k long, v long, bucket int")  # 6 has no rows any more, 7 was not asked for
+    sinks.rebuild_keys(spark, ws, path, stale, fresh, "k", "bucket")
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == sorted([(k, v) for k, v, _ in rows if k not in (1, 5, 6)] + [(1, 9), (5, 8)])
+    after = files()
+    assert before[0] == after[0] and before[3] == after[3] and before[1] != after[1] and before[2] != after[2]

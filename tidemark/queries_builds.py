@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog import register
-from tidemark.plans import incremental
+from tidemark.functions.numeric import rnd
+from tidemark.oracle.ctes import r
+from tidemark.plans import features, incremental, quality
 from tidemark.plans.builds import run_build
 from tidemark.sources import bars as bar_ops
 from tidemark.sources import sinks
@@ -110,6 +112,56 @@ FROM (VALUES (1, 'first', 'FULL', 1, 120), (2, 'again', 'UP_TO_DATE', 1, 120), (
 CROSS JOIN rotation WHERE trading_date <= (SELECT max(trading_date) FROM bars) - days GROUP BY ALL""")
 
 
+_REBUILT = ["instrument_id", "trading_date", "close", "return_20d", "ema200", "rsi14"]
+_BUCKETS = 16
+
+
+def _rebuilt(p) -> DataFrame:
+    """A features table that lost the newest rows of three instruments, after those are found and rebuilt; whether a row's file is a new one."""
+    path = _folder(p, "features-table")
+    bucket = {"bucket": F.pmod("instrument_id", F.lit(_BUCKETS))}
+    cut = p.bars.agg(F.date_sub(F.max("trading_date"), 120).alias("d")).select("d").scalar()
+    third = p.bars.select("instrument_id").distinct().orderBy("instrument_id").limit(3).agg(F.max("instrument_id").alias("i")).select("i").scalar()
+    whole = p.features.select(*_REBUILT).withColumns(bucket)
+    whole.filter((F.col("instrument_id") > third) | (F.col("trading_date") <= cut)).write.partitionBy("bucket").parquet(path)
+    before = p.ws.write(p.spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file")).distinct(), "files")
+    coverage = quality.bar_feature_coverage(p.bars, p.spark.read.parquet(path))
+    stale = p.ws.write(coverage.filter("not up_to_date").select("instrument_id").withColumns(bucket), "stale-instruments")
+    fresh = features.technical_features(p.bars.join(stale.select("instrument_id"), "instrument_id", "left_semi"))
+    sinks.rebuild_keys(p.spark, p.ws, path, stale, fresh.withColumns(bucket), "instrument_id", "bucket")
+    now = p.spark.read.parquet(path).select(*_REBUILT[:4], rnd("ema200", 4).alias("ema200"), rnd("rsi14", 4).alias("rsi14"), F.col("_metadata.file_name").alias("file"))
+    return now.join(before.withColumn("_old", F.lit(True)), "file", "left").withColumn("rewritten", F.col("_old").isNull()).drop("file", "_old")
+
+
+register("stale_rebuild", _rebuilt, f"""
+SELECT instrument_id, trading_date, close, return_20d, {r("ema200", 4)} AS ema200, {r("rsi14", 4)} AS rsi14, instrument_id % {_BUCKETS} IN (
+  SELECT instrument_id % {_BUCKETS} FROM bars WHERE instrument_id <= (SELECT max(instrument_id) FROM (SELECT DISTINCT instrument_id FROM bars ORDER BY 1 LIMIT 3))
+    AND trading_date > (SELECT max(trading_date) - 120 FROM bars)) AS rewritten FROM features""")
+
+
+def _exported(p) -> DataFrame:
+    path = _folder(p, "rotation-json")
+    rows = p.rotation.select("trading_date", "sector_code", "score", "rotation_label", "score_change_20d")
+    sinks.export_json(rows, path)
+    return p.spark.read.schema(rows.schema).json(path)
+
+
+register("rotation_export", _exported, "SELECT trading_date, sector_code, score, rotation_label, score_change_20d FROM rotation")
+
+
+def _days_without_bars(p) -> DataFrame:
+    """Trading days between an instrument's first and last bar on which it has none, from positions in the calendar."""
+    days = p.index_bars.select("trading_date").withColumn("at", F.row_number().over(Window.orderBy("trading_date")))  # as long as the calendar
+    spans = p.bars.groupBy("instrument_id").agg(F.min("trading_date").alias("first"), F.max("trading_date").alias("last"), F.count(F.lit(1)).alias("bars"))
+    placed = spans.join(days.toDF("first", "a"), "first").join(days.toDF("last", "b"), "last")
+    return placed.select("instrument_id", "bars", (F.col("b") - F.col("a") + 1 - F.col("bars")).alias("missing_days"))
+
+
+register("days_without_bars", _days_without_bars, """
+SELECT instrument_id, bars, (SELECT count(*) FROM index_bars c WHERE c.trading_date BETWEEN s.a AND s.b) - bars AS missing_days
+FROM (SELECT instrument_id, min(trading_date) AS a, max(trading_date) AS b, count(*) AS bars FROM bars GROUP BY 1) s""")
+
+
 def _deleted(p) -> DataFrame:
     """Rows of each model after one of three is dropped, and how many of its files are those written before."""
     path = _folder(p, "models")

@@ -58,6 +58,19 @@ def delete_rows(spark: SparkSession, ws: Workspace, path: str, condition: Column
     kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(path)
 
 
+def rebuild_keys(spark: SparkSession, ws: Workspace, path: str, stale: DataFrame, fresh: DataFrame, key: str, bucket: str) -> None:
+    """Replace the rows of some keys in a table partitioned by a bucket of the key; only buckets that hold such a key are rewritten.
+
+    ``stale`` lists the keys with their bucket, ``fresh`` holds all their new rows (none drops the key). Rows of other keys in a
+    touched bucket are carried over as they are.
+    """
+    stale = ws.write(stale.select(key, bucket).distinct(), "stale")
+    stored = spark.read.parquet(path)
+    kept = stored.join(stale.select(bucket).distinct(), bucket, "left_semi").join(stale.select(key), key, "left_anti")
+    rows = ws.write(kept.unionByName(fresh.join(stale.select(key), key, "left_semi").select(*stored.columns)), "rebuilt")
+    replace_partitions(rows, path, [bucket])
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
