@@ -104,3 +104,30 @@ def test_probes_come_in_order_of_estimated_success():
 
     assert sets[0] == () and len(sets) == len(set(sets)) == 20
     assert [cost(s) for s in sets] == sorted(cost(s) for s in sets)
+
+
+def test_nearest_serves_queries_far_from_all_others(spark):
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(600, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    clusters = rng.normal(size=(300, 16)) * 0.01 + rng.normal(size=(3, 16)).repeat(100, 0) * 4
+    vectors = np.concatenate([vectors, clusters])
+    vectors[::90] *= np.array([1, 3, 5, 10, 50, 1, 1, 1, 1, 100])[:, None]
+    rows = vectors.astype(np.float32)
+    df = table(spark, rows.tolist())
+    found = got(ann.nearest(df, df.filter("vec_id % 30 = 0"), 10))
+    assert set(found) == {i for i in range(900) if i % 30 == 0} and all(len(f) == 10 for f in found.values())
+    hits = 0
+    for q, mine in found.items():
+        far = np.sqrt(((rows.astype(float) - rows[q].astype(float)) ** 2).sum(1))
+        want = [i for i in np.lexsort((np.arange(900), far)) if i != q][:10]
+        hits += len(set(want) & {i for i, _ in mine})
+        if q % 90 == 0 and np.linalg.norm(rows[q]) > 30:  # met nobody in its buckets, so it was compared with all
+            assert [i for i, _ in mine] == want
+    assert hits >= 0.9 * 10 * len(found)
+
+
+def test_nearest_of_few_candidates_gives_all(spark):
+    df = table(spark, [[1.0, 0.0], [0.0, 1.0], [5.0, 5.0], [1.0, 2.0, 3.0]])
+    found = got(ann.nearest(df, df, 10))
+    assert {q: len(f) for q, f in found.items()} == {0: 2, 1: 2, 2: 2} and [i for i, _ in found[2]] == [0, 1]

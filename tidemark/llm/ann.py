@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, mix, pack, unpack, usable_vectors
+from tidemark.session import Workspace
 
 TABLES, PROJECTIONS, WIDTH, PROBES, BLOCK_ROWS, SEED = 10, 6, 1.5, 72, 512, 7
+#: Queries that meet too little in their buckets and share one pass over all rows.
+CHUNK_QUERIES = 20_000
 
 
 def perturbations(offsets: np.ndarray, probes: int) -> list[tuple[tuple[int, int], ...]]:
@@ -90,8 +93,10 @@ def nearest(
     component, and rows without an id take no part, as query or as candidate. Vectors
     of different lengths never meet. Ties go to the smaller id. Rows that repeat an id
     count once, with the smallest distance; a query's own id is never its candidate.
-    A query with fewer candidates found has fewer rows; empty tables give no rows.
+    A query that meets fewer than ``k`` candidates in its buckets, as one far from all others may, is compared with all rows
+    in blocks; so it has fewer rows only where there are fewer candidates. Empty tables give no rows.
     """
+    ws = Workspace(vectors.sparkSession)
     base = usable_vectors(vectors, id_col, vec_col, zero_too=False)
     asked = usable_vectors(queries, id_col, vec_col, zero_too=False)
     scales = _scales(base)
@@ -169,8 +174,34 @@ def nearest(
                 q, v, s = (np.concatenate(part) for part in zip(*out, strict=True))
                 yield pd.DataFrame({"query_id": q, "vec_id": v, "score": s})
 
-    found = met.mapInPandas(measure, "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    measured = "query_id long, vec_id long, score double"
+
+    def best(found: DataFrame) -> DataFrame:
+        merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        ranked = merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return ranked.select("query_id", "rank", "vec_id", "score")
+
+    ranked = ws.write(best(met.mapInPandas(measure, measured)), "nearest")
+    served = ranked.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+    short = ws.write(asked.join(served, "vec_id", "left_anti"), "short")
+    waiting = short.count()
+    if not waiting:
+        return ranked
+    # each chunk of such queries meets one copy of the table, block by block
+    chunks = -(-waiting // CHUNK_QUERIES)
+    packed = "id long, bucket long, vec binary"
+
+    def flat(batch: pd.DataFrame) -> pd.DataFrame:
+        blobs = [np.asarray(v, dtype=np.float64).tobytes() for v in batch["vec"]]
+        return pd.DataFrame({"id": batch["vec_id"], "bucket": [len(v) for v in batch["vec"]], "vec": blobs})
+
+    rows, calls = map_batches(base, flat, packed), map_batches(short, flat, packed)
+    blocks = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / (8 * block_rows)).cast("int").alias("blocks"))
+    stored = rows.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    stored = stored.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).withColumn("asks", F.lit(False))
+    sent = calls.join(blocks, "bucket").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.withColumn("t", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("asks", F.lit(True))
+    met = stored.select(columns).unionByName(sent.select(columns))
+    met = met.repartition("t", "bucket", "block").sortWithinPartitions("t", "bucket", "block", "asks")
+    return best(ranked.select("query_id", "vec_id", "score").unionByName(met.mapInPandas(measure, measured)))
