@@ -85,7 +85,7 @@ register("asof_left_ownership", lambda p: asof_backward(
     "trading_date", "as_of_date", ["trend_label", "signal_strength"], "left"), """
 SELECT b.instrument_id, b.trading_date, b.close, t.as_of_date, t.trend_label, t.signal_strength
 FROM bars b ASOF LEFT JOIN trends t ON t.instrument_id = b.instrument_id AND b.trading_date >= t.as_of_date""")
-register("integrated_inputs", lambda p: ownership.integrated_inputs(p.rotation, p.sector_ownership), """
+register("integrated_inputs", lambda p: ownership.integrated_inputs(p.rotation, p.sector_ownership).drop("updated_at"), """
 SELECT s.sector_code, s.trading_date, s.score AS technical_score, s.rotation_label AS technical_rotation_label, o.as_of_date AS ownership_as_of_date,
   o.score AS ownership_score, o.signal_label AS ownership_signal_label, o.low_coverage_flag AS ownership_low_coverage_flag
 FROM rotation s ASOF JOIN sector_ownership o ON s.sector_code = o.sector_code AND s.trading_date >= o.as_of_date""")
