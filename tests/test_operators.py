@@ -220,3 +220,27 @@ def test_missing_shared_folder_is_refused():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         Workspace(session)
+
+
+def test_medians_select_inside_one_bin(spark, ws):
+    rng = np.random.default_rng(5)
+    heavy = np.exp(rng.normal(0, 12, 4001))
+    shapes = {
+        "heavy": heavy, "even": rng.normal(size=4000), "one": [3.5], "two": [1.0, 2.0], "tied": [7.0] * 900 + [8.0] * 900, "signs": [-1e300, -1.0, 1.0, 1e300],
+        "infinite": [-np.inf, -np.inf, 4.0, np.inf, np.inf], "wide": [-1.7e308, 0.25, 1.7e308]}
+    rows = [(g, float(v)) for g, vs in shapes.items() for v in vs] + [("empty", None), ("even", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    got = {r.g: r.median_v for r in ordering.medians(df, ws, ["g"], ["v"], 12).collect()}
+    assert set(got) == set(shapes)
+    for g, vs in shapes.items():
+        np.testing.assert_allclose(got[g], np.median(vs), rtol=1e-11, atol=1e-12, err_msg=g)
+
+
+def test_medians_do_not_trust_the_edges(spark, ws, monkeypatch):
+    monkeypatch.setattr(ordering, "BINS", 3)
+    values = [float(v * v) for v in range(-50, 51)] + [-1000.0] * 40
+    df = spark.createDataFrame([(1, v) for v in values], "g int, v double")
+    real = ordering.F.percentile_approx
+    for low, high in ((0.0, 0.01), (0.97, 0.99)):  # edges far from the middle
+        monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, p, a, low=low, high=high: real(c, [low, high], a))
+        assert ordering.medians(df, ws, ["g"], ["v"]).first()["median_v"] == np.median(values)

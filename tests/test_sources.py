@@ -208,3 +208,16 @@ def test_merge_and_delete_tables(spark, ws, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == 3
     typed = sinks.stored_types(spark.createDataFrame([(1.23456789,)], "p double"), {"p": sinks.PRICE})
     assert str(typed.first()["p"]) == "1.234568"
+
+
+def test_pages_are_read_once_and_never_shuffled(spark, tmp_path):
+    rows = [(1, "https://a.b/c", HTML), (2, "https://a.b/c", None), (3, "https://a.b/c", ""), (4, None, '<a href="/x.csv">'), (1, "https://a.b/c", HTML)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    df = spark.read.parquet(f"{tmp_path}/pages")
+    for frame in (pages.page_contracts(df, ["www.idx.id"]), pages.candidate_links(df)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    got = sorted((r["page_id"], r["candidate_url_count"], r["anchor_count"]) for r in pages.page_contracts(df, ["www.idx.id"]).collect())
+    assert [g[1:] for g in got] == [(10, 3), (10, 3), (0, 0), (0, 0), (0, 1)]
+    links = pages.candidate_links(df)
+    assert links.columns == ["page_id", "url", "candidate"] and links.filter("page_id = 1").count() == 20

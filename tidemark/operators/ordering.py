@@ -105,29 +105,59 @@ def percent_rank(df: DataFrame, ws: Workspace, groups: list[str], value: str, ou
     return _join_same(df, ranks, [*groups, value])
 
 
+#: Bins of the histogram around the middle, and the accuracy of the sketch that places it.
+BINS, ACCURACY = 4096, 10_000
+
+
+def _bin(value: Column, low: Column, high: Column) -> Column:
+    """0 below the edges, 1 to BINS between them, BINS + 1 above; never falls as the value grows, whatever the edges are."""
+    width = high - low
+    inside = F.least(F.lit(BINS), F.floor((value - low) / width * BINS).cast("int") + 1)
+    ranged = (width > 0) & ~F.isnan(width) & (width < float("inf"))
+    return F.when(value < low, 0).when(value > high, BINS + 1).when(ranged, inside).otherwise(1)
+
+
+def _holding(counted: DataFrame, keys: list[str], order: str, before: Column) -> DataFrame:
+    """Rows of ``counted`` that hold a middle rank; ``before`` rows of the group come ahead of all of them."""
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.withColumn("_upto", before + F.sum("_n").over(upto))
+    low, high = F.floor((F.col("_rows") + 1) / 2), F.floor((F.col("_rows") + 2) / 2)
+
+    def holds(k: Column) -> Column:
+        return (F.col("_upto") - F.col("_n") < k) & (k <= F.col("_upto"))
+
+    return summed.filter(holds(low) | holds(high))
+
+
 def medians(df: DataFrame, ws: Workspace, groups: list[str], values: list[str],
             digits: int = 8) -> DataFrame:
     """Exact median of each value column per group, one row per group.
 
-    The rows are counted by value before they are ordered, so neither a huge
-    group nor a value most rows share is gathered in one place.
+    Selection, not sorting: a sketch places two edges around the middle, an exact histogram
+    between them finds the bin (or two) that holds it, and only the distinct values of that bin are put in order.
+    Edges that miss the middle cost time, never the result: what lies outside them is a bin too. Nothing but
+    one row of edges and one row of bins per group is written, so that Spark knows their size when it joins them;
+    no group is gathered and a value that most rows share is one row. ``df`` is read three times: pass a stored table.
+    NULL values take no part, a NULL group is a group, a group without values gives no row, NaN is above all numbers.
     """
     stacked = df.select(
         *groups,
         F.explode(F.array(*[F.struct(F.lit(v).alias("_m"), F.col(v).alias("_v")) for v in values])).alias("_s"),
     ).select(*groups, "_s._m", "_s._v").filter(F.col("_v").isNotNull())
-    keys = [*groups, "_m"]
-    counted = stacked.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_total(counted, ws, keys, [F.col("_v").asc()], "_n", "_upto")
-    totals = placed.groupBy(*keys).agg(F.max("_upto").alias("_rows"))
-    low = F.floor((F.col("_rows") + 1) / 2)
-    high = F.floor((F.col("_rows") + 2) / 2)
-
-    def holds(k: Column) -> Column:
-        return (F.col("_upto") - F.col("_n") < k) & (k <= F.col("_upto"))
-
-    middle = _join_same(placed, totals, keys).filter(holds(low) | holds(high))
-    half = middle.groupBy(*keys).agg(
+    keys, number = [*groups, "_m"], F.col("_v").cast("double")
+    margin = 2 / ACCURACY
+    edges = stacked.groupBy(*keys).agg(
+        F.percentile_approx(number, [0.5 - margin, 0.5 + margin], ACCURACY).alias("_e"), F.count(F.lit(1)).alias("_rows")
+    ).select(*keys, F.col("_e")[0].alias("_low"), F.col("_e")[1].alias("_high"), "_rows")
+    edges = ws.write(edges, "median-edges")
+    binned = _join_same(stacked, edges, keys).withColumn("_bin", _bin(number, F.col("_low"), F.col("_high")))
+    counted = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"), F.max("_rows").alias("_rows"))
+    bins = ws.write(_holding(counted, keys, "_bin", F.lit(0)).groupBy(*keys).agg(
+        F.min("_bin").alias("_first"), F.max("_bin").alias("_last"), F.min(F.col("_upto") - F.col("_n")).alias("_before")), "median-bins")
+    inside = _join_same(binned, bins, keys).filter(F.col("_bin").between(F.col("_first"), F.col("_last")))
+    distinct = inside.groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_rows").alias("_rows"), F.max("_before").alias("_before"))
+    half = _holding(distinct, keys, "_v", F.col("_before")).groupBy(*keys).agg(
         ((F.min("_v") + F.max("_v")) / 2.0).alias("_median")
     )
     return half.groupBy(*groups).agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,90 +65,113 @@ def _segments(path: Column) -> Column:
     return F.concat(F.array_join(kept, "/"), closed)
 
 
-def resolve_url(base: str, value) -> Column:
-    """Absolute http(s) address of a link, NULL for other schemes and fragments."""
+def clean_reference(value) -> Column:
+    """A raw reference without quotes around and punctuation after it, NULL when nothing is left."""
     raw = F.rtrim(F.regexp_replace(F.regexp_replace(F.trim(value), r"^[\"']+|[\"']+$", ""), r"[),.;]+$", ""))
-    raw = F.nullif(raw, F.lit(""))
-    low = F.lower(raw)
+    return F.nullif(raw, F.lit(""))
+
+
+def base_parts(base: str) -> Column:
+    """What the links of a page are resolved against: scheme, site, document and folder."""
     page = F.col(base)
-    scheme, site = F.regexp_extract(page, r"^(https?):", 1), F.regexp_extract(page, r"^(https?://[^/?#]+)", 1)
-    document = F.regexp_extract(page, r"^(https?://[^?#]*)", 1)
+    site, document = F.regexp_extract(page, r"^(https?://[^/?#]+)", 1), F.regexp_extract(page, r"^(https?://[^?#]*)", 1)
     here = F.regexp_extract(F.substr(document, F.length(site) + 1), r"^(.*/)", 1)
-    folder = F.when(here == "", "/").otherwise(here)
+    return F.struct(
+        F.regexp_extract(page, r"^(https?):", 1).alias("scheme"), site.alias("site"), document.alias("document"),
+        F.when(here == "", "/").otherwise(here).alias("folder"))
+
+
+def absolute_url(page: Column, raw: Column) -> Column:
+    """Absolute http(s) address of a cleaned reference, NULL for other schemes and fragments."""
+    low = F.lower(raw)
+    site = page["site"]
     path, rest = F.regexp_extract(raw, r"^([^?#]*)", 1), F.regexp_extract(raw, r"([?#].*)$", 1)
     return (
         F.when(F.regexp_like(low, F.lit(r"^(javascript|mailto|tel|data):")) | low.startswith("#"), None)
         .when(F.regexp_like(low, F.lit(r"^https?://[^/?#]+")), raw)
         .when(F.regexp_like(low, F.lit(r"^[a-z][a-z0-9+.-]*:")), None)
-        .when(raw.startswith("//"), F.concat(scheme, F.lit(":"), raw))
+        .when(raw.startswith("//"), F.concat(page["scheme"], F.lit(":"), raw))
         .when(raw.startswith("/"), F.concat(site, _segments(path), rest))
-        .when(raw.startswith("?"), F.concat(document, raw))
-        .when(raw.isNotNull(), F.concat(site, _segments(F.concat(folder, path)), rest)))
+        .when(raw.startswith("?"), F.concat(page["document"], raw))
+        .when(raw.isNotNull(), F.concat(site, _segments(F.concat(page["folder"], path)), rest)))
+
+
+def resolve_url(base: str, value) -> Column:
+    """Absolute http(s) address of a link, NULL for other schemes and fragments."""
+    return absolute_url(base_parts(base), clean_reference(value))
 
 
 def is_candidate(url: Column, keywords: list[str] = KEYWORDS) -> Column:
-    low, test = F.lower(url), F.lit(False)
-    for ending in EXTENSIONS:
-        test = test | low.endswith(ending)
-    for word in keywords:
-        test = test | low.contains(word)
-    return test
+    ends, words = "|".join(map(re.escape, EXTENSIONS)), "|".join(map(re.escape, keywords))
+    return F.regexp_like(F.lower(url), F.lit(f"({ends})$" + (f"|{words}" if words else "")))
 
 
-def page_references(pages: DataFrame, base: str = "url", html: str = "html") -> DataFrame:
-    """One row per raw reference: link attributes, absolute addresses and quoted paths."""
-    kept = [c for c in pages.columns if c != html]
-    body = pages.withColumn("_m", markup(html))
-    tags = body.select(*kept, F.explode(F.regexp_extract_all("_m", F.lit(r"(?is)<[a-z][^>]*=[^>]*>"), F.lit(0))).alias("_tag"))
-    low = F.lower("_tag")
-    name = F.lower(F.regexp_extract("_tag", r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
-    found = [F.when(name == tag, attribute("_tag", attr)) for tag, attr in LINK_ATTRIBUTES.items()]
-    found += [F.when(F.contains(low, F.lit(attr)), attribute("_tag", attr)) for attr in DATA_ATTRIBUTES]
-    attrs = tags.select(*kept, F.explode(F.array_compact(F.array(*found))).alias("reference"))
-    loose = pages.select(*kept, F.explode(F.concat(
-        F.regexp_extract_all(html, F.lit(ABSOLUTE_REFERENCE), F.lit(0)),
-        F.regexp_extract_all(html, F.lit(QUOTED_PATH), F.lit(1)))).alias("reference"))
-    return attrs.unionByName(loose)
+def references(html: str, clean: str) -> Column:
+    """Raw references of a page: link attributes of its markup ``clean``, absolute addresses and quoted paths of its text."""
+
+    def of_tag(tag: Column) -> Column:
+        low = F.lower(tag)
+        name = F.regexp_extract(low, r"^<([a-z][a-z0-9]*)", 1)
+        found = [F.when(name == element, attribute(tag, attr)) for element, attr in LINK_ATTRIBUTES.items()]
+        found += [F.when(F.contains(low, F.lit(attr)), attribute(tag, attr)) for attr in DATA_ATTRIBUTES]
+        return F.array_compact(F.array(*found))
+
+    tags = F.regexp_extract_all(clean, F.lit(r"(?is)<[a-z][^>]*=[^>]*>"), F.lit(0))
+    return F.concat(
+        F.flatten(F.transform(tags, of_tag)), F.regexp_extract_all(html, F.lit(ABSOLUTE_REFERENCE), F.lit(0)),
+        F.regexp_extract_all(html, F.lit(QUOTED_PATH), F.lit(1)))
+
+
+def with_candidates(pages: DataFrame, keywords: list[str] = KEYWORDS, base: str = "url", html: str = "html") -> DataFrame:
+    """The pages with ``candidates``, the distinct candidate addresses of each, and ``_m``, the page's markup.
+
+    One projection: the text is read once and nothing is shuffled. A page without text or links has an empty list.
+    """
+    raw = F.filter(F.transform(references(html, "_m"), clean_reference), lambda x: x.isNotNull())
+    found = F.filter("_url", lambda u: u.isNotNull() & is_candidate(u, keywords))
+    return (
+        pages.withColumns({"_m": markup(html), "_page": base_parts(base)})
+        .withColumn("_raw", F.array_distinct(raw))
+        .withColumn("_url", F.transform("_raw", lambda x: absolute_url(F.col("_page"), x)))
+        .withColumn("candidates", F.coalesce(F.array_distinct(found), F.array().cast("array<string>")))
+        .drop("_page", "_raw", "_url"))
 
 
 def candidate_links(pages: DataFrame, keywords: list[str] = KEYWORDS, base: str = "url", html: str = "html") -> DataFrame:
-    """Distinct candidate addresses per page."""
-    resolved = page_references(pages, base, html).withColumn("candidate", resolve_url(base, F.col("reference")))
-    return resolved.filter(F.col("candidate").isNotNull() & is_candidate(F.col("candidate"), keywords)).drop("reference").distinct()
+    """One row per page and distinct candidate address; a page that is there twice gives its rows twice."""
+    kept = [c for c in pages.columns if c != html]
+    return with_candidates(pages, keywords, base, html).select(*kept, F.explode("candidates").alias("candidate"))
 
 
-def endpoint_classes(url: str, domains: list[str]) -> dict[str, Column]:
-    low = F.lower(F.col(url))
-    download = F.lit(False)
-    for ending in EXTENSIONS:
-        download = download | low.contains(ending)
-    host = F.lower(F.regexp_extract(F.col(url), r"^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+def endpoint_classes(url, domains: list[str]) -> dict[str, Column]:
+    address = F.col(url) if isinstance(url, str) else url
+    low = F.lower(address)
+    host = F.lower(F.regexp_extract(address, r"^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return {
-        "download_like": download, "api_like": low.contains("/api/") | low.contains("api.") | low.contains("json"),
+        "download_like": F.regexp_like(low, F.lit("|".join(map(re.escape, EXTENSIONS)))),
+        "api_like": low.contains("/api/") | low.contains("api.") | low.contains("json"),
         "primary_like": low.contains("/primary/"), "source_domain": host.isin(domains)}
 
 
 def page_contracts(pages: DataFrame, domains: list[str], keywords: list[str] = KEYWORDS) -> DataFrame:
     """Per page: element counts, body digest, candidate counts by class and parser status.
 
-    Counts are aggregates; the addresses stay in ``candidate_links`` rows.
+    All of it comes from one projection of the page's row; a page that is there twice gives two rows.
     """
-    body = pages.withColumn("_m", markup("html"))
 
     def elements(tag: str) -> Column:
-        return F.size(F.regexp_extract_all("_m", F.lit(rf"(?i)<{tag}\b"), F.lit(0)))
+        return F.coalesce(F.nullif(F.size(F.regexp_extract_all("_m", F.lit(rf"(?i)<{tag}\b"), F.lit(0))), F.lit(-1)), F.lit(0))
+
+    def of_class(name: str) -> Column:
+        return F.size(F.filter("candidates", lambda u: endpoint_classes(u, domains)[name])).cast("long").alias(name)
 
-    shape = body.select(
+    counted = with_candidates(pages, keywords).select(
         "page_id", elements("a").alias("anchor_count"), elements("script").alias("script_count"),
         elements("form").alias("form_count"), F.sha2(F.encode("html", "UTF-8"), 256).alias("body_sha256"),
-        F.octet_length("html").alias("body_length"))
-    classes = endpoint_classes("candidate", domains)
-    found = candidate_links(pages, keywords).groupBy("page_id").agg(
-        F.count(F.lit(1)).alias("candidate_url_count"), *[F.count_if(c).alias(n) for n, c in classes.items()])
-    names = ["candidate_url_count", *classes]
+        F.octet_length("html").alias("body_length"), F.size("candidates").cast("long").alias("candidate_url_count"),
+        *[of_class(name) for name in endpoint_classes("url", domains)])
     hit = (F.col("download_like") > 0) | (F.col("api_like") > 0) | (F.col("primary_like") > 0)
-    return shape.join(found, "page_id", "left").na.fill(0, names).withColumn(
-        "parser_status", F.when(hit, "CANDIDATE").otherwise("DISCOVERY"))
+    return counted.withColumn("parser_status", F.when(hit, "CANDIDATE").otherwise("DISCOVERY"))
 
 
 def marker_hits(pages: DataFrame, markers: list[str], minimum: int, html: str = "html") -> DataFrame:
