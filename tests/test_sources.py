@@ -221,3 +221,15 @@ def test_pages_are_read_once_and_never_shuffled(spark, tmp_path):
     assert [g[1:] for g in got] == [(10, 3), (10, 3), (0, 0), (0, 0), (0, 1)]
     links = pages.candidate_links(df)
     assert links.columns == ["page_id", "url", "candidate"] and links.filter("page_id = 1").count() == 20
+
+
+def test_performance_tables(spark, tmp_path):
+    nested = """<table><tr><td>1</td><td>aaaa</td><td>A</td><td>2020-01-02</td></tr><tr><td>2</td><td>bbbb <TABLE class=in><tr><th>Listing Date</th><th colspan="2">Price</th>
+    <th>Code</th><th>Company Name</th></tr><tr><td>03 Feb 2021</td><td>5</td><td>6</td><td>cccc</td><td>C &amp; Co</td></tr><tr><td>later</td><td>5</td><td>6</td><td>dddd</td><td></td></tr>
+    </TABLE ></td><td>B</td><td>04/03/2022</td></tr><tr><td>x</td><td>eeee</td><td>E</td><td>2020-01-02</td></tr><tr><td>3</td><td>short</td><td>2020-01-02</td></tr></table>"""
+    spark.createDataFrame([("p", nested), ("no", "<p>x</p>"), ("null", None), ("open", "<table><tr><td>1</td>"), ("empty", "")],
+                          "page_id string, html string").write.parquet(f"{tmp_path}/pages")
+    frame = pages.performance_table(spark.read.parquet(f"{tmp_path}/pages"))
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["page_id"], r["level"], r["symbol"], r["company_name"], r["listing_date"]) for r in frame.collect())
+    assert got == [("p", 0, "CCCC", "C & Co", dt.date(2021, 2, 3)), ("p", 1, "AAAA", "A", dt.date(2020, 1, 2)), ("p", 1, "BBBB", "B", dt.date(2022, 3, 4))]

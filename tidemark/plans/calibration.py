@@ -103,15 +103,6 @@ def calibration_rows(outcomes: DataFrame, setups: DataFrame, dataset_version: st
     )
 
 
-def calibration_evidence() -> Column:
-    """Labels, split and caveats of a calibration row as a JSON document."""
-    return F.to_json(F.struct(
-        F.lit("backtest_calibration_v1").alias("scope"), "sample_status",
-        F.struct("outcome_label", "tp_before_sl_label", "positive_r_label").alias("labels"), "warnings",
-        F.struct(F.col("split_label").alias("label"), F.lit(True).alias("chronological"),
-                 F.lit(True).alias("same_signal_date_grouped")).alias("split")))
-
-
 def backtest_summary(rows: DataFrame, ws: Workspace, point_in_time_ready: bool = False,
                      costs_modeled: bool = False, intraday_available: bool = False) -> DataFrame:
     """One row of counts, rates, averages, exact median and readiness."""

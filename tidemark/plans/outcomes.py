@@ -146,14 +146,3 @@ OUTCOME_WARNINGS = [
 def outcome_warnings() -> Column:
     fixed = F.array(*[F.lit(w) for w in OUTCOME_WARNINGS])
     return F.when(F.col("sequence_ambiguous"), F.array_append(fixed, "SAME_BAR_TARGET_STOP_AMBIGUOUS")).otherwise(fixed)
-
-
-def outcome_evidence() -> Column:
-    """Entry, exit and result of an outcome as a JSON document."""
-    return F.to_json(F.struct(
-        F.lit("signal_outcome_v1").alias("scope"),
-        F.struct("signal_id", "symbol", "sector_code", F.col("trading_date").alias("signal_date")).alias("source_signal"),
-        F.struct(F.lit(ENTRY_WINDOW).alias("window_trading_days"), "fill_method", "bars_to_entry").alias("entry_model"),
-        F.struct("stop_price", F.lit("STOP_FIRST").alias("same_bar_rule"), "sequence_ambiguous").alias("exit_model"),
-        F.struct("realized_return", "realized_r", "mfe", "mae", "mfe_r", "mae_r").alias("returns"),
-        outcome_warnings().alias("warnings")))

@@ -11,8 +11,7 @@ from tidemark.operators.joins import asof_backward, table_diff
 from tidemark.operators.ordering import medians, percent_rank
 from tidemark.oracle.ctes import CTES, mean, r
 from tidemark.functions import dates as date_functions
-from tidemark.plans import breadth, calibration, incremental, ownership, quality, screener, setups
-from tidemark.plans import outcomes as outcome_plans
+from tidemark.plans import breadth, calibration, evidence, incremental, ownership, quality, screener, setups
 from tidemark.plans import features as feature_plans
 from tidemark.sources import bars as bar_ops
 
@@ -345,12 +344,12 @@ SELECT s.instrument_id, s.trading_date, concat_ws('|', 'SCREENING_ONLY_NOT_EXECU
   CASE WHEN ownership_stale_flag THEN 'STOCK_OWNERSHIP_STALE' END, CASE WHEN sector_ownership_stale_flag THEN 'SECTOR_OWNERSHIP_STALE' END,
   CASE WHEN t.corporate_action_risk THEN 'OWNERSHIP_CORPORATE_ACTION_RISK' END, CASE WHEN failed_breakout_flag THEN 'FAILED_BREAKOUT' END) AS warnings
 FROM screened s LEFT JOIN trends t ON t.instrument_id = s.instrument_id AND t.as_of_date = s.ownership_as_of_date""")
-register("outcome_evidence", lambda p: p.outcomes.withColumn("e", outcome_plans.outcome_evidence()).select(
+register("outcome_evidence", lambda p: evidence.outcome_inputs(p.outcomes, p.setups).withColumn("e", evidence.as_json(evidence.outcome_document())).select(
     "signal_id", F.get_json_object("e", "$.entry_model.fill_method").alias("fill_method"),
     F.get_json_object("e", "$.returns.realized_r").try_cast("double").alias("realized_r"),
     F.size(F.from_json(F.get_json_object("e", "$.warnings"), "array<string>")).alias("warning_count")), """
 SELECT signal_id, fill_method, realized_r, CAST(CASE WHEN sequence_ambiguous THEN 9 ELSE 8 END AS INTEGER) AS warning_count FROM outcomes""")
-register("calibration_evidence", lambda p: p.calibration.withColumn("e", calibration.calibration_evidence()).select(
+register("calibration_evidence", lambda p: p.calibration.withColumn("e", evidence.as_json(evidence.calibration_document())).select(
     "signal_id", F.get_json_object("e", "$.split.label").alias("split_label"), F.get_json_object("e", "$.labels.outcome_label").alias("outcome_label"),
     F.get_json_object("e", "$.labels.positive_r_label").alias("positive_r_label")), """
 SELECT signal_id, split_label, outcome_label, CAST(positive_r_label AS VARCHAR) AS positive_r_label FROM calibration""")

@@ -586,6 +586,12 @@ register("json_row_counts", lambda p: pages.json_rows(
     "SELECT year, month, count(*) AS json_rows, true AS success FROM new_listings GROUP BY 1, 2")
 register("delisting_table_rows", lambda p: pages.delisting_table(feeds.delisting_pages(_events(p))).select("symbol", "company_name", "listing_date", "delisting_date"), """
 SELECT upper(symbol) AS symbol, 'Co & ' || symbol AS company_name, NULL::DATE AS listing_date, effective_date AS delisting_date FROM life_events WHERE event_type = 'DELISTED'""")
+register("performance_table_rows", lambda p: pages.performance_table(feeds.performance_pages(p.source)).select("level", "symbol", "company_name", "listing_date"), """
+SELECT CASE WHEN layout THEN 1 ELSE 0 END AS level, symbol, company_name, listing_date FROM (
+  SELECT false AS layout, upper(symbol) AS symbol, CASE WHEN (instrument_id // 50) % 2 = 0 THEN 'PT & ' || symbol END AS company_name,
+    DATE '1995-01-01' + CAST(instrument_id % 2000 AS INTEGER) AS listing_date FROM instruments
+  WHERE instrument_id % 11 <> 0 AND NOT ((instrument_id // 50) % 2 = 0 AND instrument_id % 7 = 0)
+  UNION ALL SELECT true, 'MENU', 'x', DATE '2001-01-01' FROM (SELECT DISTINCT instrument_id // 50 FROM instruments))""")
 register("highlight_counts", lambda p: feeds.highlight_pages(_events(p)).select(
     F.col("month").cast("long").alias("month"), *[c.alias(n) for n, c in pages.section_count("html").items()]), f"""
 SELECT month, CASE month % 5 WHEN 0 THEN 'SECTION_NOT_FOUND' WHEN 1 THEN 'EMPTY_FIELD' WHEN 2 THEN 'COUNT_NOT_PARSED' ELSE 'COUNT_PARSED' END AS status,

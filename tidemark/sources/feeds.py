@@ -186,3 +186,20 @@ def highlight_pages(events: DataFrame) -> DataFrame:
         .when(F.col("month") % 5 == 2, F.lit("<h3>STOCK DELISTING</h3><p>none</p><p>Rights Announcement Issuers 5</p>"))
         .otherwise(F.concat(F.lit("<h3>Stock\n Delisting</h3><p>Issuers <b>"), number, F.lit("</b></p><p>Rights announcement</p>"))))
     return counts.select("month", "n", F.concat(F.lit("<html><script>var x = 1;</script><p>Monthly</p>"), section, F.lit("</html>")).alias("html"))
+
+
+def performance_pages(source: Source, rows_per_page: int = 50) -> DataFrame:
+    """New-listing performance pages: a table inside a layout table, numbered or with named columns, some rows defective."""
+    i = F.col("instrument_id")
+    day = F.when(i % 11 == 0, "soon").otherwise(F.date_format(F.date_add(F.lit("1995-01-01").cast("date"), (i % 2000).cast("int")), "dd MMM yyyy"))
+    number = F.when(i % 7 == 0, "-").otherwise(i.cast("string"))
+    low = F.lower("symbol")
+    by_place = F.concat(F.lit("<tr><td> "), number, F.lit("</td><td>"), low, F.lit("</td><td><i>PT</i> &amp; "), "symbol", F.lit("</td><td>"), day, F.lit("</td></tr>"))
+    by_name = F.concat(F.lit("<tr><td>"), day, F.lit("</td><td>1</td><td>2</td><td> "), low, F.lit(" </td></tr>"))
+    slot = F.floor(i / rows_per_page)
+    rows = source.instruments().select(slot.alias("slot"), F.struct("instrument_id", F.when(slot % 2 == 0, by_place).otherwise(by_name).alias("row")).alias("_e"))
+    head = F.when(F.col("slot") % 2 == 0, "<TR><th>No</th><th colspan=2>Emiten</th><th>Listing</th></TR>").otherwise(
+        "<tr><th>Tanggal  Pencatatan</th><th colspan='2'>Harga</th><th>KODE</th></tr>")
+    return rows.groupBy("slot").agg(F.array_sort(F.collect_list("_e")).alias("_e")).select(F.col("slot").alias("page_id"), F.concat(
+        F.lit("<html><table class=layout><tr><td>1</td><td>menu</td><td>x</td><td>01 Jan 2001</td><td><table>"), head,
+        F.array_join(F.transform("_e", lambda e: e["row"]), "\n"), F.lit("</table></td></tr></table></html>")).alias("html"))

@@ -243,3 +243,74 @@ def delisting_table(pages: DataFrame, key: str = "page_id", html: str = "html")
         F.nullif(F.trim(cell("company")), F.lit("")).alias("company_name"),
         event_date(cell("listing")).alias("listing_date"), event_date(cell("delisting")).alias("delisting_date"),
     ).filter("symbol is not null and delisting_date is not null")
+
+
+def page_tables(pages: DataFrame, html: str = "html", depth: int = 3) -> DataFrame:
+    """One row per table of a page with its ``grid`` of clean cell texts; a table inside a cell is a table of its own.
+
+    Innermost tables are taken out first and leave their place blank, ``depth`` times, in projections that never shuffle;
+    ``level`` 0 is the innermost. Cells are repeated by their column span. Row spans are not carried down. What lies
+    deeper, or has no end tag, is left out.
+    """
+    kept = [c for c in pages.columns if c != html]
+
+    def tagged(level: int) -> Column:
+        return F.transform(f"_b{level}", lambda b, i: F.struct(F.lit(level).alias("level"), i.alias("table_no"), b.alias("body")))
+
+    work = pages.withColumn("_m", markup(html))
+    found = []
+    for level in range(depth):
+        work = work.withColumn("_p", F.split("_m", r"(?i)<table\b"))
+        work = work.withColumn("_t", F.transform(F.expr("slice(_p, 2, size(_p))"), lambda x: F.split(x, r"(?i)</table\s*>", 2)))
+        rest = F.transform("_t", lambda x: F.when(F.size(x) == 2, x[1]).otherwise(F.concat(F.lit("<table"), x[0])))
+        work = work.withColumn(f"_b{level}", F.transform(F.filter("_t", lambda x: F.size(x) == 2), lambda x: x[0])).withColumn(
+            "_m", F.concat(F.col("_p")[0], F.array_join(rest, " ")))
+        found.append(tagged(level))
+    bodies = work.select(*kept, F.explode(F.concat(*found)).alias("_b")).select(*kept, "_b.level", "_b.table_no", F.col("_b.body").alias("_body"))
+    rows = F.regexp_extract_all("_body", F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    return bodies.withColumn("grid", F.filter(F.transform(rows, row_cells), lambda row: F.size(row) > 0)).drop("_body")
+
+
+def row_cells(row: Column) -> Column:
+    """Clean texts of a table row's cells, each as often as it spans columns (at most 1,000, as browsers do)."""
+    shape = r"(?is)<t[dh]\b([^>]*)>(.*?)</t[dh]\s*>"
+
+    def spread(marks: Column, body: Column) -> Column:
+        span = F.coalesce(F.regexp_extract(marks, r"(?i)\bcolspan\s*=\s*[\"']?(\d+)", 1).try_cast("int"), F.lit(1))
+        clean = F.trim(F.regexp_replace(unescape(F.regexp_replace(body, r"(?s)<[^>]*>", " ")), r"\s+", " "))
+        return F.array_repeat(clean, F.greatest(F.lit(1), F.least(F.lit(1000), span)))
+
+    return F.flatten(F.zip_with(F.regexp_extract_all(row, F.lit(shape), F.lit(1)), F.regexp_extract_all(row, F.lit(shape), F.lit(2)), spread))
+
+
+def performance_table(pages: DataFrame, html: str = "html") -> DataFrame:
+    """(symbol, company, listing date) rows of new-listing performance tables, each table read by itself.
+
+    Below the first row whose texts mean code and listing date the columns are taken by meaning. A table without such
+    a row is read by place: rows of four cells or more that begin with a number hold the symbol second, the company third and the
+    date fourth. Rows without a symbol or a readable date are left out; no page is shuffled.
+    """
+    from tidemark.functions.dates import event_date, event_symbol
+
+    def roles(row: Column) -> Column:
+        plain = F.transform(row, lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", " ")))
+
+        def place(meaning: str) -> Column:  # the last matching column wins
+            return F.array_max(F.array_compact(F.transform(plain, lambda c, i: F.when(c.isin(HEADERS[meaning]), i)))).alias(meaning)
+
+        return F.struct(*map(place, ("code", "company", "listing")))
+
+    tables = page_tables(pages, html).withColumn("_r", F.transform("grid", roles))
+    first = F.array_min(F.array_compact(F.transform("_r", lambda h, i: F.when(h["code"].isNotNull() & h["listing"].isNotNull(), i))))
+    kept = [c for c in tables.columns if c not in ("grid", "_r")]
+    rows = tables.withColumn("_first", first).select(
+        *kept, "_first", F.get("_r", F.col("_first")).alias("_h"), F.posexplode("grid").alias("row_no", "cells"))
+
+    def cell(meaning: str, place: int) -> Column:
+        by_meaning = F.when(F.col(f"_h.{meaning}").isNotNull(), F.get("cells", F.col(f"_h.{meaning}")))
+        return F.when(F.col("_first").isNotNull(), by_meaning).otherwise(F.get("cells", F.lit(place)))
+
+    numbered = (F.size("cells") >= 4) & F.regexp_like(F.get("cells", F.lit(0)), F.lit(r"^\d+$"))
+    return rows.filter(F.when(F.col("_first").isNotNull(), F.col("row_no") > F.col("_first")).otherwise(numbered)).select(
+        *kept, "row_no", event_symbol(cell("code", 1)).alias("symbol"), F.nullif(F.trim(cell("company", 2)), F.lit("")).alias("company_name"),
+        event_date(cell("listing", 3)).alias("listing_date")).filter("symbol is not null and listing_date is not null")
