@@ -215,3 +215,24 @@ def test_stages_take_odd_rows(spark, docs):
         assert now.columns == docs(rows).columns or name == "byte_bpe"
         now = spark.createDataFrame(now.collect(), now.schema)
     assert {r.doc_id for r in now.collect()} <= {1, 2, 3, 4, None} and now.count() >= 1
+
+
+def test_quality_that_shows_in_words_alone_is_learned(spark, docs):
+    random.seed(12)
+    good, bad = (["".join(random.choices("abcdefgh", k=5)) for _ in range(60)] for _ in range(2))
+    rows = [(i, " ".join(random.choices(good if i % 2 else bad, k=30))) for i in range(300)]  # same letters, lengths and shapes
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.score(docs(rows), quality.fit(docs(rows), labels)).collect()}
+    assert sum((got[i] >= 0.5) == bool(i % 2) for i in range(200, 300)) >= 95
+    assert not np.array_equal(quality.terms("the cat sat"), quality.terms("you dog ran"))
+
+
+def test_axes_are_the_same_from_either_side():
+    rng = np.random.default_rng(3)
+    tall = rng.normal(size=(40, 12))
+    a, b = quality.axes(tall, 4), quality.axes(np.vstack([tall[:8], tall[:3]]), 4)
+    assert a.shape == (12, 4) and b.shape == (12, 4)
+    for x, basis in ((tall, a), (np.vstack([tall[:8], tall[:3]]), b)):
+        np.testing.assert_allclose(basis.T @ basis, np.eye(4), atol=1e-8)
+        np.testing.assert_allclose(abs(np.linalg.svd(x, full_matrices=False)[2][:4] @ basis).diagonal(), 1, atol=1e-6)
+    assert quality.axes(np.zeros((3, 5)), 2).shape[0] == 5

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import functools
 import pickle
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -13,7 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, map_batches
 from tidemark.llm.langid import sample
 
-SAMPLE_DOCS, TERMS, LATENT, NEIGHBOURS, SHARPNESS, BLOCK = 3000, 2048, 48, 25, 8, 256
+SAMPLE_DOCS, TERMS, WORDS, LATENT, NEIGHBOURS, SHARPNESS, BLOCK = 3000, 2048, 4096, 64, 25, 8, 256
+WORD = re.compile(r"\w+")
 
 #: Classes of bytes: one per punctuation mark; lower case, upper case, digits and non-ASCII each share one.
 _CLASS = np.arange(256, dtype=np.int64)
@@ -22,14 +26,13 @@ for _b in range(256):
     _CLASS[_b] = 1 if "a" <= _c <= "z" else 2 if "A" <= _c <= "Z" else 3 if "0" <= _c <= "9" else 4 if _b > 127 else _b
 
 
-def terms(text: str, size: int = TERMS) -> np.ndarray:
-    """Counts of hashed terms of a whole text: runs of three byte classes, word-length classes and repeated words."""
+def shape_terms(text: str, said: list[str], size: int = TERMS) -> np.ndarray:
+    """Hashed runs of three byte classes, word-length classes and repeated words of a whole text."""
     out = np.zeros(size, dtype=np.float32)
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
     if len(raw) > 2:
         c = _CLASS[raw]
         out += np.bincount(((c[:-2] * 16411 + c[1:-1]) * 257 + c[2:]) % (size - 64), minlength=size)[:size]
-    said = text.split()
     if said:
         again = sum(map(str.__eq__, said[1:], said)) / len(said)
         distinct = len(set(said)) / len(said) / min(1.0, 30 / len(said) ** 0.5)
@@ -41,8 +44,22 @@ def terms(text: str, size: int = TERMS) -> np.ndarray:
     return out
 
 
+def word_terms(text: str, size: int = WORDS) -> np.ndarray:
+    """Counts of the lower-cased words of a whole text, hashed."""
+    out = np.zeros(size, dtype=np.float32)
+    for word, n in Counter(WORD.findall(text.lower())).items():
+        out[zlib.crc32(word.encode("utf-8", "surrogatepass")) % size] += n
+    return out
+
+
+def terms(text: str) -> np.ndarray:
+    """A document's row of the term matrix: its shape terms and its words, each as half of it."""
+    shape, words = shape_terms(text, text.split()), word_terms(text)
+    return np.concatenate([shape / max(shape.sum(), 1), words / max(words.sum(), 1)])
+
+
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    share = counts / np.maximum(counts.sum(1, keepdims=True), 1)
+    share = counts / np.maximum(counts.sum(1, keepdims=True), 1e-12)
     x = np.sqrt(share) * idf
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
@@ -59,6 +76,18 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> Data
     return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
+def axes(x: np.ndarray, latent: int) -> np.ndarray:
+    """The leading right singular vectors of the term matrix, from the smaller of its two Gram matrices."""
+    wide = x.shape[1] > x.shape[0]
+    values, vectors = np.linalg.eigh(x @ x.T if wide else x.T @ x)
+    kept = vectors[:, ::-1][:, : min(latent, len(x))]
+    strength = np.sqrt(np.maximum(values[::-1][: kept.shape[1]], 0))
+    if not wide:
+        return kept
+    sound = strength > 1e-6 * max(strength[0], 1e-12)
+    return (x.T @ kept[:, sound]) / strength[sound] if sound.any() else np.zeros((x.shape[1], 1))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, latent: int = LATENT) -> bytes:
     """Latent-semantic space and labelled vectors of about ``sample_docs`` documents (the bound of the model).
 
@@ -71,12 +100,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, late
     ).collect()
     known.sort(key=lambda r: (r.doc_id, bytes(r.terms)))
     if not known:
-        return pickle.dumps((np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0)))
+        return pickle.dumps((np.ones(TERMS + WORDS), np.zeros((TERMS + WORDS, 1)), np.zeros((0, 1)), np.zeros(0)))
     counts = np.stack([np.frombuffer(r.terms, dtype=np.float32) for r in known]).astype(float)
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
     x = weigh(counts, idf)
-    values, axes = np.linalg.eigh(x.T @ x)
-    basis = axes[:, ::-1][:, : min(latent, len(x))]
+    basis = axes(x, latent)
     z = x @ basis
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     return pickle.dumps((idf, basis, z, np.array([r.label for r in known], dtype=float)))
