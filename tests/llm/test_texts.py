@@ -430,3 +430,16 @@ def test_split_by_crc32_is_that_of_the_id_as_text(spark):
 
     df = spark.createDataFrame([(7,), (12,), (None,)], "doc_id long").select("doc_id", held_out("doc_id", 5, zlib.crc32(b"7") % 5).alias("h"))
     assert {r.doc_id: r.h for r in df.collect()} == {7: True, 12: zlib.crc32(b"12") % 5 == zlib.crc32(b"7") % 5, None: False}
+
+
+def test_spelled_mail_is_the_classifiers_choice(spark, docs):
+    plain = [f"write to a{i}@mail.example.com or meet at home. We go" for i in range(60)] + [f"they look at trees. Of these {i}" for i in range(60)]
+    asked = [(500, "ask john at example dot com today"), (501, "ask jane (at) example.org today"), (502, "look at them. We go"), (503, "id 3627072101032238 here")]
+    df = docs([*enumerate(plain), *asked])
+    model = pii.fit(df)
+    got = {r.doc_id: [(s.kind, s.start, s.end, s.base) for s in r.spans] for r in pii.find(df, model).collect()}
+    assert got[500] == [("email", 4, 27, False)] and got[501] == [("email", 4, 25, False)]
+    assert got[502] == got[503] == [] and all(got[i] == [] for i in range(60, 120))
+    assert next(r.text for r in pii.mask(df, model).collect() if r.doc_id == 500) == "ask [email] today"
+    votes = pii.votes("john at example dot com", 0, 23, 0)
+    assert votes[:2] == (1, 1) and pii.votes("look at them.We", 0, 15, 0)[0] == 0
