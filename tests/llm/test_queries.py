@@ -236,3 +236,8 @@ def test_axes_are_the_same_from_either_side():
         np.testing.assert_allclose(basis.T @ basis, np.eye(4), atol=1e-8)
         np.testing.assert_allclose(abs(np.linalg.svd(x, full_matrices=False)[2][:4] @ basis).diagonal(), 1, atol=1e-6)
     assert quality.axes(np.zeros((3, 5)), 2).shape[0] == 5
+
+
+def test_terms_survive_the_way_to_the_driver():
+    said = ["", "a", "Some words, some MORE words!", "é" * 500, "x " * 3000]
+    np.testing.assert_array_equal(quality.unpacked([quality.packed(t) for t in said]), np.stack([quality.terms(t) for t in said]))

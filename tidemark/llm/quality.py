@@ -59,9 +59,27 @@ def terms(text: str) -> np.ndarray:
 
 
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    share = counts / np.maximum(counts.sum(1, keepdims=True), 1e-12)
-    x = np.sqrt(share) * idf
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    """Rows of unit length: roots of shares, by rarity of the term; works in place and returns ``counts``."""
+    counts /= np.maximum(counts.sum(1, keepdims=True), 1e-12)
+    np.sqrt(counts, out=counts)
+    counts *= idf.astype(counts.dtype)
+    counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-12)
+    return counts
+
+
+def packed(text: str) -> bytes:
+    """The terms that occur, as numbers and amounts: a few kB a document on the way to the driver."""
+    row = terms(text)
+    at = np.flatnonzero(row)
+    return at.astype(np.uint16).tobytes() + row[at].tobytes()
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(rows), TERMS + WORDS), dtype=np.float32)
+    for i, raw in enumerate(rows):
+        n = len(raw) // 6
+        out[i, np.frombuffer(raw, dtype=np.uint16, count=n)] = np.frombuffer(raw, dtype=np.float32, offset=2 * n)
+    return out
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
@@ -95,17 +113,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, late
     """
     known = map_batches(
         labelled(docs, labels, "quality", sample_docs),
-        lambda b: pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"], "terms": [terms(t).tobytes() for t in b["text"]]}),
+        lambda b: pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"], "terms": [packed(t) for t in b["text"]]}),
         "doc_id long, label int, terms binary",
     ).collect()
     known.sort(key=lambda r: (r.doc_id, bytes(r.terms)))
     if not known:
         return pickle.dumps((np.ones(TERMS + WORDS), np.zeros((TERMS + WORDS, 1)), np.zeros((0, 1)), np.zeros(0)))
-    counts = np.stack([np.frombuffer(r.terms, dtype=np.float32) for r in known]).astype(float)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
-    x = weigh(counts, idf)
+    x = unpacked([bytes(r.terms) for r in known])
+    idf = np.log((1 + len(x)) / (1 + np.count_nonzero(x, axis=0))) + 1
+    x = weigh(x, idf)  # one matrix of 4-byte numbers, 74 MB at the bound
     basis = axes(x, latent)
-    z = x @ basis
+    z = (x @ basis).astype(float)
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     return pickle.dumps((idf, basis, z, np.array([r.label for r in known], dtype=float)))
 
