@@ -175,6 +175,17 @@ def test_toxic_score_is_the_sum_of_its_words(spark, docs):
         assert math.isclose(r.score, 1 / (1 + math.exp(-(base + sum(weights[w] for w in words)))), rel_tol=1e-9)
 
 
+def test_toxic_words_count_in_every_labelled_document(spark):
+    # eight words of five toxic documents each, dealt over more documents than any bounded sample would hold
+    clean = spark.range(30_000).selectExpr("id AS doc_id", "'a nice day to you all' AS text", "0 AS toxic")
+    bad = ["idiot", "loser", "moron", "jerk", "clown", "twerp", "dunce", "prick"]
+    rows = [(40_000 + i, f"you {bad[i % 8]}", 1) for i in range(40)]
+    known = clean.unionByName(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    _, _, weights, _ = toxicity._loaded(toxicity.fit(known.select("doc_id", "text"), known.select("doc_id", "toxic")))
+    assert set(bad) <= set(weights)
+    assert len({weights[w] for w in bad}) == 1 and "nice" not in weights
+
+
 # --- samples, copies and empty evidence -----------------------------------------
 
 
