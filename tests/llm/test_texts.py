@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -443,3 +444,36 @@ def test_spelled_mail_is_the_classifiers_choice(spark, docs):
     assert next(r.text for r in pii.mask(df, model).collect() if r.doc_id == 500) == "ask [email] today"
     votes = pii.votes("john at example dot com", 0, 23, 0)
     assert votes[:2] == (1, 1) and pii.votes("look at them.We", 0, 15, 0)[0] == 0
+
+
+def test_lists_of_a_family_under_the_threshold_give_few_pairs():
+    # 60 sets of 150 that share 128 (likeness 0.74), with one pair of 0.95 among them, in one list of a common shingle
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+    common = draw(128)
+    sets = [np.unique(np.r_[common, draw(22)]) for _ in range(60)]
+    sets.append(np.unique(np.r_[sets[0][4:], draw(4)]))
+    ids, n = np.arange(61), np.array([len(s) for s in sets])
+    parts = np.stack([jaccard.parities(s) for s in sets])
+    pairs = np.concatenate(jaccard.list_pairs(n, np.zeros(61, dtype=np.int64), ids, ids, 85, parts))
+    assert [0, 60] in pairs[:, :2].tolist() and len(pairs) <= 20  # 1,830 with sixteenths
+
+
+def test_parities_never_hide_common_shingles():
+    rng = np.random.default_rng(4)
+    for _ in range(500):
+        a = np.unique(rng.integers(0, 2**64, rng.integers(1, 500), dtype=np.uint64))
+        b = np.unique(np.r_[a[rng.integers(0, len(a) + 1) :], rng.integers(0, 2**64, rng.integers(1, 60), dtype=np.uint64)])
+        most = jaccard.most_common(jaccard.parities(a)[None], jaccard.parities(b)[None], np.array([len(a) + len(b)]))
+        assert len(np.intersect1d(a, b)) <= most[0]
+
+
+def test_workers_keep_no_codec_between_stages(spark, docs):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert bpe.encode(docs([(i, f"some text {i}") for i in range(20)]).repartition(4), path, public_tokenizers.PATTERN).count() == 20
+
+    def held(batches):
+        for batch in batches:
+            yield pd.DataFrame({"held": [bpe.codec_of.cache_info().currsize]})
+
+    assert {r.held for r in spark.range(100).repartition(4).mapInPandas(held, "held long").collect()} == {0}

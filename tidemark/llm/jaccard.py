@@ -18,6 +18,8 @@ from tidemark.session import Workspace
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
 #: Further minima by which groups meet, and how many of all minima two sets share at least to be compared for it.
 SCOUTS, ALIKE = 8, 10
+#: Words of 64 parities that a set carries through the inverted lists.
+PARITIES = 3
 #: Remembered words of one pass.
 WORDS_HELD = 150_000
 
@@ -163,15 +165,18 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     return ws.write(met.mapInPandas(compare, "a long, b long").distinct(), "links")
 
 
-def parts_of(found: np.ndarray) -> np.ndarray:
-    """How many shingles fall in each sixteenth of the hash range, 255 for that many or more."""
-    return np.minimum(np.bincount((found >> np.uint64(60)).view(np.int64), minlength=16), 255).astype(np.uint8)
+def parities(found: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls in each of 64 * PARITIES equal parts of the hash range, a bit each."""
+    at = (found >> np.uint64(40)).astype(np.int64) * (64 * PARITIES) >> 24
+    return np.packbits(np.bincount(at, minlength=64 * PARITIES).astype(np.uint8) & 1).view(np.int64)
 
 
-def most_common(x: np.ndarray, y: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Upper bound of the common shingles of pairs from their sixteenths (rows of x and y); the smaller size where both are too many to count."""
-    both = np.minimum(x, y)
-    return np.where((both == 255).any(1), least, both.sum(1, dtype=np.int64))
+def most_common(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Upper bound of the common shingles of pairs from their parities (rows of x and y) and the sum of their sizes.
+
+    Each part whose parity differs holds a shingle of only one of the two.
+    """
+    return (sizes - np.bitwise_count((x ^ y).view(np.uint64)).sum(1, dtype=np.int64)) >> 1  # of signed numbers it counts the absolute value's
 
 
 def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int, parts: np.ndarray | None = None) -> list[np.ndarray]:
@@ -181,7 +186,7 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
 
     A set linked to a highly similar one has that one's answers: pairs within one group are skipped. Blocks of the
     list are skipped whole where their sizes, or the first position in them, leave too little to share. ``parts`` (rows of
-    sixteenths) leaves out pairs that cannot have enough in common wherever they meet.
+    parities) leaves out pairs that cannot have enough in common wherever they meet.
     """
     out = []
     size = len(n)
@@ -203,7 +208,7 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
             i, j = np.nonzero(np.triu(fit, 1) if other == start else fit)
             if len(i) and parts is not None:
                 na, nb = n[rows][i], n[cols][j]
-                enough = most_common(parts[rows][i], parts[cols][j], np.minimum(na, nb)) >= least_overlap(na, nb, percent)
+                enough = most_common(parts[rows][i], parts[cols][j], na + nb) >= least_overlap(na, nb, percent)
                 i, j = i[enough], j[enough]
             if len(i):
                 a, b, na, nb = ids[rows][i], ids[cols][j], n[rows][i], n[cols][j]
@@ -215,6 +220,7 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
 def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, width: int, percent: int) -> DataFrame:
     """Pairs of sets of different groups that share a shingle among their rarest ones and pass sizes and positions."""
     sent = docs.sparkSession.sparkContext.broadcast(levels)
+    odd = [f"odd{i}" for i in range(PARITIES)]
 
     def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes(WORDS_HELD)
@@ -225,19 +231,19 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
                 if len(found):
                     level = sent.value[(found & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
                     order = np.lexsort((found, level))[: prefix_length(len(found), percent)]
-                    rows.append((doc_id, signature(found), found[order].view(np.int64), *parts_of(found).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "sig", "first", "low", "high"])
+                    rows.append((doc_id, signature(found), found[order].view(np.int64), *parities(found)))
+            yield pd.DataFrame(rows, columns=["doc_id", "sig", "first", *odd])
 
     texts = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    firsts = texts.mapInPandas(rarest, "doc_id long, sig binary, first array<long>, low long, high long")
+    firsts = texts.mapInPandas(rarest, "doc_id long, sig binary, first array<long>, " + ", ".join(f"{c} long" for c in odd))
     mine = sets.join(groups, sets["id"] == groups["node"], "left").select(
         "id", F.coalesce("root", "id").alias("comp"), "n", F.col("rep").alias("doc_id"), F.col("sig").alias("s")
     )
-    lists = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", "low", "high", F.posexplode("first").alias("pos", "token"))
+    lists = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", *odd, F.posexplode("first").alias("pos", "token"))
     lists = lists.repartition("token").sortWithinPartitions("token", "n", "id")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["token", "n", "pos", "id", "comp", "low", "high"]
+        columns = ["token", "n", "pos", "id", "comp", *odd]
         carried = None
 
         def solve(part: dict[str, np.ndarray]) -> pd.DataFrame:
@@ -246,7 +252,7 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
             ends = np.r_[starts[1:], len(token)]
             mixed = np.minimum.reduceat(part["comp"], starts) != np.maximum.reduceat(part["comp"], starts)
             out = []
-            parts = np.stack([part["low"], part["high"]], 1).view(np.uint8)
+            parts = np.stack([part[c] for c in odd], 1)
             for a, b in zip(starts[mixed], ends[mixed], strict=True):
                 out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent, parts[a:b])
             found = np.concatenate(out) if out else np.empty((0, 4), dtype=np.int64)
@@ -265,7 +271,7 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
         if carried is not None:
             yield solve(carried)
 
-    met = lists.select("token", "n", "pos", "id", "comp", "low", "high").mapInPandas(meet, "a long, b long, na int, nb int")
+    met = lists.select("token", "n", "pos", "id", "comp", *odd).mapInPandas(meet, "a long, b long, na int, nb int")
     # of the set whose rarest shingles end first, what is not among them is all that can be shared beyond the counted ones
     beyond = F.greatest(*[F.floor((F.lit(percent) * F.col(c) + 99) / 100) - 1 for c in ("na", "nb")])
     need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
