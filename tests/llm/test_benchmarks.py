@@ -6,8 +6,10 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -236,3 +238,16 @@ def test_blocks_are_passed_over():
     scores = part.scores(np.arange(4000), empty)
     order = np.lexsort((np.arange(4000), -scores))[:10]
     assert best.ids.tolist() == order.tolist() and best.scores.tolist() == scores[order].tolist()
+
+
+def test_index_is_built_and_searched_part_by_part():
+    # a task holds one part of the index, whatever the batches, and no part is stored for another task to read whole
+    rows = [(i, 2, [i % 3, 3], [1, 1]) for i in range(25)]
+    batches = [pd.DataFrame(rows[a:b], columns=["doc_id", "n", "terms", "tfs"]) for a, b in ((0, 7), (7, 7), (7, 24), (24, 25))]
+    found = list(search.parts(iter(batches), 25, 50, np.ones(4, dtype=np.int64), part_docs=10, block=4, many_terms=300))
+    assert [len(p.ids) for p in found] == [10, 10, 5] and np.concatenate([p.ids for p in found]).tolist() == list(range(25))
+
+
+def test_no_index_table_is_written(docs, items, tmp_path, shared):
+    search.rank(docs([(i, f"a{i % 5} b") for i in range(50)]), items([("1", "a1 b")]), shared, 7, part_docs=8).collect()
+    assert sorted(p.name.split("-")[0] for p in Path(shared.root).iterdir()) == ["found", "terms"]

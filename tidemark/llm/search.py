@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ PART, BLOCK, MANY_TERMS = 4_096, 256, 300
 FEW = 24
 #: Impacts stay under a million; summaries keep them in 255 steps, rounded up.
 STEP, AXES = 3_922, 16
-#: About one part in so many, but at most so many parts, is searched first to learn a floor of every item's scores.
+#: About one document in so many, but at most so many parts of them, is searched first to learn a floor of every item's scores.
 SEED_ONE_IN, SEED_PARTS = 16, 64
 NO_ID = np.iinfo(np.int64).max
 
@@ -240,52 +241,50 @@ def search_part(part: Part, query: Query, best: Best, weight: np.ndarray) -> tup
     return looked, entered
 
 
-def _index(vectors: DataFrame, documents: int, words: int, weight: np.ndarray, part_docs: int, block: int, many_terms: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-
-        def close() -> pd.DataFrame:
-            rows = pd.concat(held)
-            held.clear()
-            ids = rows["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(dtype=np.int64)
-            sizes = np.array([len(t) for t in rows["terms"]], dtype=np.int64)
-            m = np.repeat(lengths(rows["n"].to_numpy(dtype=np.int64), documents, words), sizes)
-            term = np.concatenate([*rows["terms"], np.zeros(0, dtype=np.int32)]).astype(np.int32)
-            tf = np.concatenate([*rows["tfs"], np.zeros(0, dtype=np.int64)]).astype(np.int64)
-            part = build_part(ids, sizes, term, impacts(tf, m), weight, block, many_terms)
-            return pd.DataFrame({"packed": [part.pack()]})
+def parts(batches: Iterator[pd.DataFrame], documents: int, words: int, weight: np.ndarray, part_docs: int, block: int, many_terms: int) -> Iterator[Part]:
+    """Indexes of ``part_docs`` documents each, one after the other: a task holds one of them, however many documents it reads."""
+    held: list[pd.DataFrame] = []
 
-        for batch in batches:
-            for at in range(0, len(batch), part_docs):
-                held.append(batch.iloc[at : at + part_docs])
-                if sum(map(len, held)) >= part_docs:
-                    yield close()
-        if held:
-            yield close()
+    def close() -> Part:
+        rows = pd.concat(held)
+        held.clear()
+        ids = rows["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(dtype=np.int64)
+        sizes = np.array([len(t) for t in rows["terms"]], dtype=np.int64)
+        m = np.repeat(lengths(rows["n"].to_numpy(dtype=np.int64), documents, words), sizes)
+        term = np.concatenate([*rows["terms"], np.zeros(0, dtype=np.int32)]).astype(np.int32)
+        tf = np.concatenate([*rows["tfs"], np.zeros(0, dtype=np.int64)]).astype(np.int64)
+        return build_part(ids, sizes, term, impacts(tf, m), weight, block, many_terms)
 
-    rows = vectors.filter(F.size("terms") > 0).mapInPandas(run, "packed array<binary>")
-    return rows.withColumn("part", F.monotonically_increasing_id())
+    for batch in batches:
+        at = 0
+        while at < len(batch):
+            held.append(batch.iloc[at : at + part_docs - sum(map(len, held))])
+            at += len(held[-1])
+            if sum(map(len, held)) == part_docs:
+                yield close()
+    if held:
+        yield close()
 
 
-def _search(index: DataFrame, queries: list[Query], vocabulary: int, k: int, floors: dict[int, int]) -> DataFrame:
-    sent = index.sparkSession.sparkContext.broadcast((queries, floors))
+def _search(vectors: DataFrame, index, queries: list[Query], vocabulary: int, k: int, floors: dict[int, int]) -> DataFrame:
+    """The k best of every item: each task indexes its documents part by part (``index``) and asks every item of a part before the next."""
+    sent = vectors.sparkSession.sparkContext.broadcast((queries, floors))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         queries, floors = sent.value
         weight = np.zeros(vocabulary, dtype=np.int64)
         found = [Best(k, floors.get(q.number, 1)) for q in queries]  # carried from part to part of a task
-        for batch in batches:
-            for packed in batch["packed"]:
-                part = Part.unpack(list(packed))
-                for query, best in zip(queries, found, strict=True):
-                    search_part(part, query, best, weight)
+        for part in index(batches):
+            for query, best in zip(queries, found, strict=True):
+                search_part(part, query, best, weight)
         for query, best in zip(queries, found, strict=True):
             if len(best.ids):
                 yield pd.DataFrame({
                     "item": query.number, "doc_id": pd.Series(best.ids, dtype="Int64").where(pd.Series(best.ids != NO_ID)), "score": best.scores,
                 })
 
-    found = index.select("packed").mapInPandas(run, "item int, doc_id long, score long")
+    rows = vectors.filter(F.size("terms") > 0)
+    found = rows.mapInPandas(run, "item int, doc_id long, score long")
     place = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
 
@@ -301,7 +300,7 @@ def rank(docs: DataFrame, items: DataFrame, ws: Workspace, k: int = 20, item_wor
     2. Parts of ``part_docs`` documents are indexed: each term's list is cut into blocks of similar documents, with the coordinatewise
        maxima of their impacts, rounded up. Lists of up to 24 documents have no
        maxima. Documents with over ``many_terms`` item terms are in no list; every item scores them.
-    3. Each part is searched for every item, best lists first, with a floor learned from some parts. A block is passed over only
+    3. Each part is searched for every item as soon as it stands, best lists first, with a floor learned from some documents. A block is passed over only
        when the exact bound of its summary is under the k-th score so far, so the result is that of scoring everything.
 
     Items are taken in groups of at most about ``item_words`` words. A null or empty text has no terms, in either table: such a document counts nowhere,
@@ -330,8 +329,8 @@ def _rank_group(docs: DataFrame, items: DataFrame, ws: Workspace, k: int, part_d
     weight = np.zeros(max(1, len(vocabulary)), dtype=np.int64)
     for r in df:
         weight[r.term] = math.floor(1000 * math.log((2 * totals.documents + 2) / (2 * r["count"] + 1)))
-    index = _index(vectors, totals.documents, totals.words or 1, weight, part_docs, block, many_terms)
-    index = ws.write(index, "index")
+    index = functools.partial(
+        parts, documents=totals.documents, words=totals.words or 1, weight=weight, part_docs=part_docs, block=block, many_terms=many_terms)
     queries = []
     for i, count in enumerate(counts):
         number = np.array(sorted(vocabulary[t] for t in count), dtype=np.int64)
@@ -339,11 +338,10 @@ def _rank_group(docs: DataFrame, items: DataFrame, ws: Workspace, k: int, part_d
         kept = weight[number] > 0 if len(number) else np.zeros(0, dtype=bool)
         if kept.any():
             queries.append(Query(i, number[kept], (weight[number] * repeats)[kept]))
-    parts = index.count()
-    share = max(SEED_ONE_IN, -(-parts // SEED_PARTS))
-    seeds = _search(index.filter(F.pmod(F.xxhash64("part"), F.lit(share)) == 0), queries, len(weight), k, {})
+    share = max(SEED_ONE_IN, -(-totals.documents // (SEED_PARTS * part_docs)))
+    seeds = _search(vectors.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0), index, queries, len(weight), k, {})
     # the k-th score among some documents: no document below it is among the k best of all
     floors = {r["item"]: r.score for r in seeds.filter(F.col("rank") == k).select("item", "score").collect()}
-    found = _search(index, queries, len(weight), k, floors)
+    found = ws.write(_search(vectors, index, queries, len(weight), k, floors), "found")
     names = spark.createDataFrame([(i, r.item_id) for i, r in enumerate(rows)], f"item int, item_id {items.schema['item_id'].dataType.simpleString()}")
     return found.join(names, "item").select("item_id", "rank", "doc_id", "score")
