@@ -158,17 +158,20 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = codec_of(model.value, pattern)
-        for batch in batches:
-            texts = list(batch["text"])
-            for a, b in batches_of(texts, 400_000):
-                rows = []
-                for ids, doc_id in zip(codec.ids(texts[a:b]), batch["doc_id"].iloc[a:b], strict=True):
-                    starts, at = [], 0
-                    for i in ids:
-                        starts.append(at)
-                        at += len(codec.bytes_of[i])
-                    rows.append((doc_id, ids, starts, at))
-                yield pd.DataFrame(rows, columns=["doc_id", "ids", "starts", "n_bytes"]).astype({"doc_id": "Int64"})
+        try:
+            for batch in batches:
+                texts = list(batch["text"])
+                for a, b in batches_of(texts, 400_000):
+                    rows = []
+                    for ids, doc_id in zip(codec.ids(texts[a:b]), batch["doc_id"].iloc[a:b], strict=True):
+                        starts, at = [], 0
+                        for i in ids:
+                            starts.append(at)
+                            at += len(codec.bytes_of[i])
+                        rows.append((doc_id, ids, starts, at))
+                    yield pd.DataFrame(rows, columns=["doc_id", "ids", "starts", "n_bytes"]).astype({"doc_id": "Int64"})
+        finally:
+            codec_of.cache_clear()  # workers are used again by other stages, which need the memory
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, "doc_id long, ids array<int>, starts array<long>, n_bytes long")
