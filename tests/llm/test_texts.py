@@ -477,3 +477,35 @@ def test_workers_keep_no_codec_between_stages(spark, docs):
             yield pd.DataFrame({"held": [bpe.codec_of.cache_info().currsize]})
 
     assert {r.held for r in spark.range(100).repartition(4).mapInPandas(held, "held long").collect()} == {0}
+
+
+def test_doubled_letters_are_decided_as_by_the_decoder_without_its_lattice():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aeost") * rng.choice([1, 1, 2]) for _ in range(rng.randrange(1, 8))) for _ in range(3000)]
+    model = toxicity.CharacterModel(Counter(words[:300]))
+    words = [w for w in words if not toxicity.RUN.search(w)]
+    assert [toxicity.undoubled(w, model) for w in words] == [toxicity.decode(w, model) for w in words]
+    assert len({toxicity.undoubled(w, model) == w for w in words}) == 2
+
+
+def test_plain_tokens_are_restored_without_the_lattice_and_texts_scanned_for_letters_apart_only_where_some_are(monkeypatch):
+    def never(*_):
+        raise AssertionError("decoded")
+
+    monkeypatch.setattr(toxicity, "decode", never)
+    restorer = toxicity.Restorer(toxicity.CharacterModel({"letters": 3, "leters": 1}))
+    assert restorer.words("Letters, and more) tokens. A b") >= {"letters", "and", "more", "tokens", "a", "b"}
+    found = {"a b c": {"abc"}, "x_y-z": set(), "_a b c d": {"bcd"}, "\u00e9 t \u00e9": {"\u00e9t\u00e9"}, "\u201ca\u2014b\u2014c\u201d": {"abc"}, "a b cd": set(), "1, 2;\n3": {"123"}}
+    assert {t: restorer.apart(t) for t in found} == found
+
+
+def test_words_counted_in_parts_of_a_task_give_the_same_model(spark, docs, monkeypatch):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("bdfgklmnprt") + rng.choice("aeiou") for _ in range(rng.randrange(2, 4)))
+    rows = [(i, " ".join([word() for _ in range(20)] + ["idiot!"] * (i % 3 == 0))) for i in range(120)]
+    marks = [(i, 1, int(i % 3 == 0)) for i in range(120)]
+    whole = toxicity.fit(docs(rows).repartition(2), labels(spark, marks))
+    monkeypatch.setattr(toxicity, "WORDS_COUNTED", 50)
+    parts = toxicity.fit(docs(rows).repartition(2), labels(spark, marks))
+    assert [toxicity._loaded(m)[1:3] for m in (whole,)] == [toxicity._loaded(m)[1:3] for m in (parts,)]
+    assert "idiot" in toxicity._loaded(whole)[2]
