@@ -11,17 +11,58 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, documents, shingles
+from tidemark.llm.common import documents, mix, text_ranges
 from tidemark.llm.components import components
 from tidemark.session import Workspace
 
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
 #: Further minima by which groups meet, and how many of all minima two sets share at least to be compared for it.
 SCOUTS, ALIKE = 8, 10
-#: Words of 64 parities that a set carries through the inverted lists.
-PARITIES = 3
-#: Remembered words of one pass.
-WORDS_HELD = 150_000
+#: Words of 64 parities that a set carries through the inverted lists, and that bound the pairs found there.
+PARITIES, FINER = 3, 8
+#: Shingles before its own that a row of an inverted list carries.
+LASTS = 1
+#: Bytes of a word that are hashed by table, words hashed at once, and characters of texts taken together.
+LETTERS, WORDS_AT_ONCE, TOGETHER = 24, 1 << 15, 1 << 18
+TABLE = np.random.default_rng(5).integers(0, 2**64, (LETTERS, 256), dtype=np.uint64).ravel()
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text (bytes) start, and their 64-bit hashes: by a random number for each byte at each place; longer words by xxh3."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], SPACE[text], [True]])))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    out = np.empty(len(starts), dtype=np.uint64)
+    for first in range(0, len(starts), WORDS_AT_ONCE):
+        start, size = starts[first : first + WORDS_AT_ONCE], np.minimum(sizes[first : first + WORDS_AT_ONCE], LETTERS)
+        before = np.cumsum(size) - size
+        at = np.arange(int(size.sum())) - np.repeat(before, size)
+        values = TABLE[(at << 8) + text[np.repeat(start, size) + at]]
+        out[first : first + WORDS_AT_ONCE] = np.add.reduceat(values, before)
+    for i in np.flatnonzero(sizes > LETTERS):
+        out[i] = xxhash.xxh3_64_intdigest(text[starts[i] : starts[i] + sizes[i]].tobytes())
+    return starts, out
+
+
+def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` words."""
+    out = np.full(len(hashes) - width + 1, width, dtype=np.uint64)
+    for k, factor in enumerate(mix(np.arange(1, width + 1)) | np.uint64(1)):
+        out += hashes[k : len(hashes) - width + 1 + k] * factor
+    return mix(out)
+
+
+def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its runs of ``width`` words, A-Z lower-cased; a shorter text is one run; no words, none."""
+    for first, last in text_ranges(texts, TOGETHER):
+        coded = [t.encode("utf-8", "surrogatepass").lower() for t in texts[first:last]]
+        starts, hashes = word_hashes(np.frombuffer(b" ".join(coded), dtype=np.uint8))
+        ends = np.cumsum([len(c) + 1 for c in coded])
+        bounds = [0, *np.searchsorted(starts, ends).tolist()]
+        runs = _runs(hashes, width) if len(hashes) >= width else hashes[:0]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            found = np.sort(runs[a : b - width + 1]) if b - a >= width else _runs(hashes[a:b], b - a) if b > a else hashes[:0]
+            yield found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
 
 def signature(found: np.ndarray) -> bytes:
@@ -51,25 +92,23 @@ def _summaries(docs: DataFrame, width: int, ws: Workspace) -> DataFrame:
     """One pass over the texts: a row per document (kind 0) and per task the counts of hashed shingles (kind 1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes(WORDS_HELD)
         odd = np.random.default_rng(11).integers(1, 2**62, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         slots = np.zeros(1 << SLOT_BITS, dtype=np.uint32)  # of one task
-        columns = ["kind", "doc_id", "of_text", "n", "sig", "minima"]
+        columns = ["kind", "doc_id", "of_text", "n", "sig", "minima", "finer"]
         for batch in batches:
             rows = []
-            for doc_id, text, of_text in zip(batch["doc_id"], batch["text"], batch["of_text"], strict=True):
-                found = shingles(words.of(text), width)
+            for doc_id, found, of_text in zip(batch["doc_id"], shingle_sets(list(batch["text"]), width), batch["of_text"], strict=True):
                 least = np.multiply.outer(odd, found).min(1).view(np.int64) if len(found) else None
-                rows.append((0, doc_id, of_text, len(found), signature(found), least))
+                rows.append((0, doc_id, of_text, len(found), signature(found), least, parities(found, FINER) if len(found) else None))
                 np.add.at(slots, (found & np.uint64((1 << SLOT_BITS) - 1)).view(np.int64), np.uint32(1))
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "of_text": "Int64"})
         if slots.any():
             parts = slots.reshape(CHUNKS, -1)
-            rows = [(1, None, None, i, zlib.compress(parts[i].tobytes(), 1), None) for i in range(CHUNKS)]
+            rows = [(1, None, None, i, zlib.compress(parts[i].tobytes(), 1), None, None) for i in range(CHUNKS)]
             yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "of_text": "Int64"})
 
     rows = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("of_text"))
-    schema = "kind int, doc_id long, of_text long, n int, sig binary, minima array<long>"
+    schema = "kind int, doc_id long, of_text long, n int, sig binary, minima array<long>, finer array<long>"
     return ws.write(rows.mapInPandas(run, schema), "sets")
 
 
@@ -137,9 +176,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     wanted = sets.join(members, "id").select("id", "sig", F.col("rep").alias("doc_id"))
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes(WORDS_HELD)
         for batch in batches:
-            found = [shingles(words.of(t), width) for t in batch["text"]]
+            found = list(shingle_sets(list(batch["text"]), width))
             yield pd.DataFrame({"id": batch["id"], "same": [signature(f) == s for f, s in zip(found, batch["sig"], strict=True)], "found": [f.tobytes() for f in found]})
 
     texts = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("id", "sig", "text")
@@ -165,10 +203,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     return ws.write(met.mapInPandas(compare, "a long, b long").distinct(), "links")
 
 
-def parities(found: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles falls in each of 64 * PARITIES equal parts of the hash range, a bit each."""
-    at = (found >> np.uint64(40)).astype(np.int64) * (64 * PARITIES) >> 24
-    return np.packbits(np.bincount(at, minlength=64 * PARITIES).astype(np.uint8) & 1).view(np.int64)
+def parities(found: np.ndarray, words: int = PARITIES) -> np.ndarray:
+    """Whether an odd number of shingles falls in each of 64 * words equal parts of the hash range, a bit each."""
+    at = (found >> np.uint64(40)).astype(np.int64) * (64 * words) >> 24
+    return np.packbits(np.bincount(at, minlength=64 * words).astype(np.uint8) & 1).view(np.int64)
 
 
 def most_common(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -179,10 +217,12 @@ def most_common(x: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (sizes - np.bitwise_count((x ^ y).view(np.uint64)).sum(1, dtype=np.int64)) >> 1  # of signed numbers it counts the absolute value's
 
 
-def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int, parts: np.ndarray | None = None) -> list[np.ndarray]:
+def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarray, percent: int, parts: np.ndarray | None = None, last: np.ndarray | None = None) -> list[np.ndarray]:
     """Pairs of one inverted list (rows in order of n) that sizes and positions allow and no answer yet covers: a, b, their sizes.
 
-    A pair that reaches the threshold passes in every list of a common shingle, so its lists can be counted.
+    A pair that reaches the threshold passes in every list of a common shingle. With ``last``, the shingles just before this one in each
+    set's order (rows), it passes in the list of its first common shingle and in few others: where positions leave enough to share
+    if nothing before was common, and the shingles before differ (where one is the same, the pair is in its list too).
 
     A set linked to a highly similar one has that one's answers: pairs within one group are skipped. Blocks of the
     list are skipped whole where their sizes, or the first position in them, leave too little to share. ``parts`` (rows of
@@ -198,14 +238,19 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
                 break
             rest_rows = int((n[rows] - pos[rows]).max())
             rest_cols = int((n[cols] - pos[cols]).max())
-            before = min(int(pos[rows].max()), int(pos[cols].max()))
+            before = min(int(pos[rows].max()), int(pos[cols].max())) if last is None else 0
             if before + min(rest_rows, rest_cols) < least_overlap(int(n[rows][0]), int(n[cols][0]), percent):
                 continue
             x, y = n[rows][:, None], n[cols][None]
             i, j = pos[rows][:, None], pos[cols][None]
-            rest = np.minimum(i, j) + np.minimum(x - i, y - j)
+            rest = np.minimum(x - i, y - j)
+            if last is None:
+                rest = rest + np.minimum(i, j)
             fit = (rest >= least_overlap(x, y, percent)) & (100 * x >= percent * y) & (comps[rows][:, None] != comps[cols][None])
             i, j = np.nonzero(np.triu(fit, 1) if other == start else fit)
+            if len(i) and last is not None:
+                new = (last[rows][i][:, :, None] != last[cols][j][:, None, :]).all((1, 2))
+                i, j = i[new], j[new]
             if len(i) and parts is not None:
                 na, nb = n[rows][i], n[cols][j]
                 enough = most_common(parts[rows][i], parts[cols][j], na + nb) >= least_overlap(na, nb, percent)
@@ -218,16 +263,17 @@ def list_pairs(n: np.ndarray, pos: np.ndarray, ids: np.ndarray, comps: np.ndarra
 
 
 def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, width: int, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that share a shingle among their rarest ones and pass sizes and positions."""
+    """Pairs of sets of different groups that share a shingle among their rarest ones and pass sizes, positions and parities.
+
+    With each pair goes the most that the two can share.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(levels)
-    odd = [f"odd{i}" for i in range(PARITIES)]
+    odd, lasts = [f"odd{i}" for i in range(PARITIES)], [f"last{i}" for i in range(LASTS)]
 
     def rarest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes(WORDS_HELD)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                found = shingles(words.of(text), width)
+            for doc_id, found in zip(batch["doc_id"], shingle_sets(list(batch["text"]), width), strict=True):
                 if len(found):
                     level = sent.value[(found & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)]
                     order = np.lexsort((found, level))[: prefix_length(len(found), percent)]
@@ -239,11 +285,14 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
     mine = sets.join(groups, sets["id"] == groups["node"], "left").select(
         "id", F.coalesce("root", "id").alias("comp"), "n", F.col("rep").alias("doc_id"), F.col("sig").alias("s")
     )
-    lists = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", *odd, F.posexplode("first").alias("pos", "token"))
+    # where nothing stands before, the id: no other set has it
+    before = [F.slice(F.concat(F.array_repeat("id", i + 1), "first"), 1, F.size("first")).alias(c) for i, c in enumerate(lasts)]
+    ranked = firsts.join(mine, "doc_id").filter("sig = s").select("n", "id", "comp", *odd, F.posexplode(F.arrays_zip("first", *before)).alias("pos", "one"))
+    lists = ranked.select("n", "id", "comp", *odd, "pos", F.col("one.first").alias("token"), *[F.col(f"one.{c}").alias(c) for c in lasts])
     lists = lists.repartition("token").sortWithinPartitions("token", "n", "id")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["token", "n", "pos", "id", "comp", *odd]
+        columns = ["token", "n", "pos", "id", "comp", *odd, *lasts]
         carried = None
 
         def solve(part: dict[str, np.ndarray]) -> pd.DataFrame:
@@ -252,9 +301,9 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
             ends = np.r_[starts[1:], len(token)]
             mixed = np.minimum.reduceat(part["comp"], starts) != np.maximum.reduceat(part["comp"], starts)
             out = []
-            parts = np.stack([part[c] for c in odd], 1)
+            parts, last = np.stack([part[c] for c in odd], 1), np.stack([part[c] for c in lasts], 1)
             for a, b in zip(starts[mixed], ends[mixed], strict=True):
-                out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent, parts[a:b])
+                out += list_pairs(part["n"][a:b], part["pos"][a:b], part["id"][a:b], part["comp"][a:b], percent, parts[a:b], last[a:b])
             found = np.concatenate(out) if out else np.empty((0, 4), dtype=np.int64)
             return pd.DataFrame(found, columns=["a", "b", "na", "nb"])
 
@@ -271,12 +320,13 @@ def _candidates(docs: DataFrame, sets: DataFrame, groups: DataFrame, levels, wid
         if carried is not None:
             yield solve(carried)
 
-    met = lists.select("token", "n", "pos", "id", "comp", *odd).mapInPandas(meet, "a long, b long, na int, nb int")
-    # of the set whose rarest shingles end first, what is not among them is all that can be shared beyond the counted ones
-    beyond = F.greatest(*[F.floor((F.lit(percent) * F.col(c) + 99) / 100) - 1 for c in ("na", "nb")])
+    met = lists.select("token", "n", "pos", "id", "comp", *odd, *lasts).mapInPandas(meet, "a long, b long, na int, nb int").distinct()
+    side = sets.select("id", "finer")
+    both = met.join(side.withColumnsRenamed({"id": "a", "finer": "x"}), "a").join(side.withColumnsRenamed({"id": "b", "finer": "y"}), "b")
+    unlike = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
     need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-    shared = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("shared"))
-    return shared.filter(F.col("shared") + beyond >= need).select("a", "b", "shared")
+    bounded = both.select("a", "b", need.alias("need"), F.floor((F.col("na") + F.col("nb") - unlike) / 2).alias("shared"))
+    return bounded.filter("shared >= need").select("a", "b", "shared")
 
 
 def _named(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -289,7 +339,7 @@ def _named(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
-    """Of the pairs between a set and a group, the one that shares most of the rarest shingles."""
+    """Of the pairs between a set and a group, the one that can share most."""
     best = F.struct("shared", "a", "b")
     sides = [pairs.groupBy(*keys).agg(F.max(best).alias("best")).select("best.a", "best.b") for keys in (("a", "gb"), ("b", "ga"))]
     return sides[0].unionByName(sides[1]).distinct()
@@ -320,7 +370,7 @@ def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFr
     """doc_id, of_text (hash of the text), n, component_id of every row."""
     summaries = _summaries(docs, width, ws)
     rows = summaries.filter("kind = 0")
-    distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"))
+    distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"), F.min("finer").alias("finer"))
     sets = ws.write(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
     related = [_relations(sets, k) for k in range(RELATIONS)]
     pairs = related[0].unionByName(related[1]).unionByName(related[2]).distinct()
