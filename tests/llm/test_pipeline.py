@@ -1,6 +1,7 @@
 """The corpus pipeline stage by stage, each on its own input."""
 
 import corpus_pipeline
+import pandas as pd
 import tiktoken
 import public_tokenizers
 
@@ -62,3 +63,21 @@ def test_stages(spark):
     want = {r.doc_id: other.encode_ordinary(r.text) for r in before.collect()}
     assert all(list(r.ids) == want[r.doc_id] and r.n_tokens == len(r.ids) for r in after.collect())
     assert after.count() == before.count()
+
+
+def test_stages_send_texts_in_batches_of_bounded_size(spark):
+    """Workers hold one batch of whole texts at a time, of a few MB whatever the length of a text."""
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 800) AS text")
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    try:
+        stage = corpus_pipeline.in_small_batches(lambda spark, docs, folder: docs.mapInPandas(sizes, "size long"))
+        seen = [r["size"] for r in stage(spark, docs, FOLDER).collect()]
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+    assert sum(seen) == 3000 * 4000 and max(seen) <= 2 * corpus_pipeline.BATCH_BYTES
+    assert all(stage.__wrapped__ for _, stage in corpus_pipeline.STAGES)
+
+
+def sizes(batches):
+    for batch in batches:
+        yield pd.DataFrame({"size": [int(batch["text"].str.len().sum())]})
