@@ -67,6 +67,11 @@ def test_stages(spark):
 
 def test_stages_send_texts_in_batches_of_bounded_size(spark):
     """Workers hold one batch of whole texts at a time, of a few MB whatever the length of a text."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"size": [int(batch["text"].str.len().sum())]})
+
     docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 800) AS text")
     before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
     try:
@@ -76,8 +81,3 @@ def test_stages_send_texts_in_batches_of_bounded_size(spark):
         spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
     assert sum(seen) == 3000 * 4000 and max(seen) <= 2 * corpus_pipeline.BATCH_BYTES
     assert all(stage.__wrapped__ for _, stage in corpus_pipeline.STAGES)
-
-
-def sizes(batches):
-    for batch in batches:
-        yield pd.DataFrame({"size": [int(batch["text"].str.len().sum())]})
