@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from tidemark.llm import bpe, jaccard, katz, langid, mixing, pii, quality, toxicity
+from tidemark.llm import bpe, components, jaccard, katz, langid, mixing, pii, quality, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LONG = "wörd und mehr " * 40_000
@@ -545,3 +545,44 @@ def test_shingle_sets_equal_those_of_words():
             assert len(found) == len(want) and (found[1:] > found[:-1]).all()
             runs.setdefault(frozenset(want), set()).add(found.tobytes())
         assert all(len(same) == 1 for same in runs.values()) and len(set.union(*runs.values())) == len(runs)
+
+
+def test_groups_take_few_jobs_and_rows_that_repeat_are_linked_once(spark, docs, shared):
+    """With many partitions each job costs a task a partition, however little it reads."""
+    rng = random.Random(15)
+    texts = []
+    for _ in range(6):
+        base = rng.choices([f"w{i}" for i in range(900)], k=60)
+        for k in range(5):
+            texts.append(" ".join([*base[:-1], f"end{k}"]))
+    rows = [*enumerate(texts), *enumerate(texts[:9])]
+    spark.sparkContext.setJobGroup("few", "groups")
+    try:
+        got = jaccard.groups(docs(rows), shared, 4, 85).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = brute_groups(list(range(len(texts))), texts, 4, 85)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i]) for i, _ in rows)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
+    assert jobs < 120, jobs
+
+
+def test_stars_equal_a_walk_over_the_edges(spark, shared):
+    rng = random.Random(16)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [tuple(rng.sample(range(300, 420), 2)) for _ in range(90)]
+    edges += [(5, 5), *edges[:40], *((b, a) for a, b in edges[20:90])]
+    near = defaultdict(set)
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+    want = {}
+    for start in sorted(near):
+        reached = [start]
+        for node in reached:
+            for other in near[node] if start not in want else ():
+                if other not in want and other != start:
+                    want[other] = start
+                    reached.append(other)
+    got = components.stars(spark.createDataFrame(edges, "a long, b long"), shared).collect()
+    assert sorted((r.node, r.root) for r in got) == sorted(want.items())
+    assert components.stars(spark.createDataFrame([], "a long, b long"), shared).count() == 0

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import Workspace
 
 
-def components(edges: DataFrame, ws: Workspace) -> DataFrame:
-    """node, root (the smallest node reachable) for every node that has an edge; columns of ``edges``: a, b (long).
+def stars(edges: DataFrame, ws: Workspace) -> DataFrame:
+    """node, root (the smallest node reachable) for every node that is not its own root; columns of ``edges``: a, b (long).
 
     Alternates large-star and small-star steps until nothing changes, so the number of rounds grows with the logarithm of
     the longest path. Every round is written to the shared folder: a lost executor repeats one round at most. Neighbour lists
-    are never gathered; a round is a minimum per node joined back to the edges.
+    are never gathered in one row: a step is a minimum over the edges of a node, which Spark sorts and spills, and a round takes three shuffles.
     """
     now = ws.write(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    least = F.min("v").over(Window.partitionBy("u"))
     before = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -23,11 +24,8 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
             break
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        smaller = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(smaller, "u")
-        small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = ws.write(small.unionByName(smaller.select("u", F.col("m").alias("v"))).distinct(), "edges")
-    roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        large = both.withColumn("m", F.least("u", least)).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # repeated edges are told apart where the edges of their node are
+        small = large.repartition("u").distinct().withColumn("m", least)
+        now = ws.write(small.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct(), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, mix, text_ranges
-from tidemark.llm.components import components
+from tidemark.llm.components import stars
 from tidemark.session import Workspace
 
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
@@ -132,18 +132,20 @@ def _levels(summaries: DataFrame):
     return out.ravel()
 
 
-def _relations(sets: DataFrame, k: int) -> DataFrame:
-    """Pairs (a, b): b has its k-th minimum in common with a, the set that shares most other minima with their group.
+def _relations(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b): b has one of its first minima in common with a, the set that shares most other minima with their group.
 
-    The set that most resembles the others is the one whose answers most of them can take over.
+    The set that most resembles the others is the one whose answers most of them can take over. All minima go through the same
+    shuffles, their number in the key.
     """
-    named = sets.filter("rep is not null").select("id", F.element_at("minima", k + 1).alias("g"), "minima")
-    shared = named.groupBy("g").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("g")
-    grouped = named.join(shared, "g").select("id", "g", F.posexplode("minima").alias("j", "v"))
-    common = grouped.groupBy("g", "j", "v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    likeness = grouped.join(common, ["g", "j", "v"]).groupBy("g", "id").agg(F.sum("c").alias("likeness"))
-    heads = likeness.groupBy("g").agg(F.max(F.struct("likeness", (-F.col("id")).alias("least"))).alias("best")).select("g", (-F.col("best.least")).alias("a"))
-    return named.join(heads, "g").filter("a <> id").select("a", F.col("id").alias("b"))
+    spread = F.posexplode(F.slice("minima", 1, RELATIONS)).alias("k", "g")
+    named = sets.filter("rep is not null").select("id", spread, "minima")
+    shared = named.groupBy("k", "g").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("k", "g")
+    grouped = named.join(shared, ["k", "g"]).select("id", "k", "g", F.posexplode("minima").alias("j", "v"))
+    common = grouped.groupBy("k", "g", "j", "v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    likeness = grouped.join(common, ["k", "g", "j", "v"]).groupBy("k", "g", "id").agg(F.sum("c").alias("likeness"))
+    heads = likeness.groupBy("k", "g").agg(F.max(F.struct("likeness", (-F.col("id")).alias("least"))).alias("best")).select("k", "g", (-F.col("best.least")).alias("a"))
+    return named.join(heads, ["k", "g"]).filter("a <> id").select("a", F.col("id").alias("b")).distinct()
 
 
 def _scouts(sets: DataFrame, groups: DataFrame) -> DataFrame:
@@ -172,6 +174,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     The members of ``a`` are dealt in blocks, each with a copy of a's set, so no task holds all of a hot one.
     """
     pairs = ws.write(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     members = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = sets.join(members, "id").select("id", "sig", F.col("rep").alias("doc_id"))
 
@@ -190,17 +194,28 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     met = heads.unionByName(others).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, head = None, None
+        held, head, last = None, None, None
         for batch in batches:
             out = []
             for a, b, found in zip(batch["a"], batch["b"], batch["found"], strict=True):
                 if pd.isna(b):
-                    held, head = a, np.frombuffer(found, dtype=np.uint64)
-                elif held == a and linked(head, np.frombuffer(found, dtype=np.uint64), percent):
-                    out.append((a, b))
+                    held, head, last = a, np.frombuffer(found, dtype=np.uint64), None
+                elif held == a and last != b:  # a row that repeats has its set twice, one after the other
+                    last = b
+                    if linked(head, np.frombuffer(found, dtype=np.uint64), percent):
+                        out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return ws.write(met.mapInPandas(compare, "a long, b long").distinct(), "links")
+    return ws.write(met.mapInPandas(compare, "a long, b long"), "links")
+
+
+def _united(known: DataFrame | None, links: DataFrame, ws: Workspace) -> DataFrame:
+    """node, root of every set that is not the least of its group: the known groups, united by further links."""
+    if known is not None:
+        if links.isEmpty():
+            return known
+        links = known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+    return stars(links, ws)
 
 
 def parities(found: np.ndarray, words: int = PARITIES) -> np.ndarray:
@@ -372,18 +387,13 @@ def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFr
     rows = summaries.filter("kind = 0")
     distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"), F.min("finer").alias("finer"))
     sets = ws.write(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
-    related = [_relations(sets, k) for k in range(RELATIONS)]
-    pairs = related[0].unionByName(related[1]).unionByName(related[2]).distinct()
-    links = _verify(pairs, sets, docs, width, percent, ws)
-    first = ws.write(components(links, ws), "groups")
-    links = links.unionByName(_verify(_scouts(sets, first), sets, docs, width, percent, ws))
-    first = ws.write(components(links, ws), "groups")
+    first = _united(None, _verify(_relations(sets), sets, docs, width, percent, ws), ws)
+    first = _united(first, _verify(_scouts(sets, first), sets, docs, width, percent, ws), ws)
     met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met")
     likely = ws.write(_likeliest(_named(met, first)), "likeliest")
-    links = ws.write(links.unionByName(_verify(likely, sets, docs, width, percent, ws)), "links")
-    second = ws.write(components(links, ws), "groups")
+    second = _united(first, _verify(likely, sets, docs, width, percent, ws), ws)
     left = _named(met, second).select("a", "b").join(likely, ["a", "b"], "left_anti")
-    joined = components(links.unionByName(_verify(left, sets, docs, width, percent, ws)), ws)
+    joined = _united(second, _verify(left, sets, docs, width, percent, ws), ws)
     of_set = sets.join(joined, sets["id"] == joined["node"], "left").select("sig", "rep", F.coalesce("root", "id").alias("root"))
     least = of_set.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = ws.write(of_set.join(least, "root").select(F.col("sig").alias("s"), "component_id"), "named")
