@@ -1,12 +1,15 @@
 """The corpus pipeline stage by stage, each on its own input."""
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import corpus_pipeline
 import pandas as pd
 import tiktoken
 import public_tokenizers
 
-from tidemark.llm import bpe, pii
-from tidemark.session import Workspace
+from tidemark.llm import bpe, jaccard, pii, toxicity
+from tidemark.session import Workspace, files
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -81,3 +84,35 @@ def test_stages_send_texts_in_batches_of_bounded_size(spark):
         spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
     assert sum(seen) == 3000 * 4000 and max(seen) <= 2 * corpus_pipeline.BATCH_BYTES
     assert all(stage.__wrapped__ for _, stage in corpus_pipeline.STAGES)
+
+
+def test_few_rows_make_few_files(spark, docs):
+    """Every file is a process that the executor starts; a table of some hundred rows is no file for each shuffle partition."""
+
+    def written(root):
+        return {d.name: sum(1 for _ in d.glob("part-*")) for d in Path(urlparse(str(root)).path).iterdir()}
+
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = [(i, " ".join(f"w{i // 3 * 100 + k}" for k in range(60)) + f" end{i % 3}") for i in range(300)]
+    table = docs(rows).repartition(6)
+    top = Path(urlparse(spark.conf.get("spark.checkpoint.dir")).path)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ws = Workspace(spark)
+        kept = sorted(r.doc_id for r in jaccard.one_of_each(table, ws, 5, 80).collect())
+        known = set(top.iterdir())
+        toxicity.fit(table, spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int"))
+        of_fit = [written(d) for d in set(top.iterdir()) - known]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert kept == list(range(0, 300, 3))
+    near = written(ws.root)
+    assert max(n for name, n in near.items() if not name.startswith("sets")) <= 2 and any(name.startswith("links") for name in near)
+    assert [max(d.values()) for d in of_fit] == [1]
+
+
+def test_files_grow_with_rows():
+    assert [files(n, 1000) for n in (0, 1, 1000, 1001, 12_000_000)] == [1, 1, 1, 2, 12_000]

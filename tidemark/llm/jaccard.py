@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, mix, text_ranges
 from tidemark.llm.components import stars
-from tidemark.session import Workspace
+from tidemark.session import TEXTS_A_FILE, Workspace, files
 
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
 #: Further minima by which groups meet, and how many of all minima two sets share at least to be compared for it.
@@ -171,10 +171,10 @@ def _scouts(sets: DataFrame, groups: DataFrame) -> DataFrame:
 def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int, ws: Workspace) -> DataFrame:
     """The pairs (a, b) of set ids that reach the threshold, by exact comparison.
 
-    The members of ``a`` are dealt in blocks, each with a copy of a's set, so no task holds all of a hot one.
+    ``pairs`` are written already. The members of ``a`` are dealt in blocks, each with a copy of a's set, so no task holds all of a hot one.
     """
-    pairs = ws.write(pairs, "pairs")
-    if pairs.isEmpty():
+    met_pairs = pairs.count()
+    if not met_pairs:
         return pairs
     members = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = sets.join(members, "id").select("id", "sig", F.col("rep").alias("doc_id"))
@@ -186,7 +186,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
 
     texts = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("id", "sig", "text")
     # an id that repeats with another text is not the set looked for
-    arrays = ws.write(texts.mapInPandas(gather, "id long, same boolean, found binary").filter("same").select("id", "found"), "shingles")
+    arrays = texts.mapInPandas(gather, "id long, same boolean, found binary").filter("same").select("id", "found")
+    if (few := files(2 * met_pairs, TEXTS_A_FILE)) < ws.parts:  # the texts stay where they are, only the sets asked for go to fewer tasks
+        arrays = arrays.repartition(few)
+    arrays = ws.write(arrays, "shingles")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).cast("int").alias("blocks"))
     heads = arrays.join(sizes, F.col("id") == F.col("a")).select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("long").alias("b"), "found")
     others = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"), "b")
@@ -206,16 +209,18 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
                         out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return ws.write(met.mapInPandas(compare, "a long, b long"), "links")
+    return ws.write(met.mapInPandas(compare, "a long, b long"), "links", files(met_pairs, TEXTS_A_FILE))
 
 
 def _united(known: DataFrame | None, links: DataFrame, ws: Workspace) -> DataFrame:
     """node, root of every set that is not the least of its group: the known groups, united by further links."""
+    rows = links.count()
     if known is not None:
-        if links.isEmpty():
+        if not rows:
             return known
+        rows += known.count()
         links = known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
-    return stars(links, ws)
+    return stars(links, ws, files(rows))
 
 
 def parities(found: np.ndarray, words: int = PARITIES) -> np.ndarray:
@@ -378,30 +383,36 @@ def groups(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFram
     its equals; where no equal has an id it links with nothing and its component is null. Repeated rows are copies. Extra
     columns are left behind; an empty table gives none.
     """
-    return _grouped(docs, ws, width, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return _grouped(docs, ws, width, percent)[0].select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
-def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFrame:
-    """doc_id, of_text (hash of the text), n, component_id of every row."""
+def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> tuple[DataFrame, int]:
+    """doc_id, of_text (hash of the text), n, component_id of every row, and how many rows there are."""
     summaries = _summaries(docs, width, ws)
     rows = summaries.filter("kind = 0")
     distinct = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("minima").alias("minima"), F.min("finer").alias("finer"))
-    sets = ws.write(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
-    first = _united(None, _verify(_relations(sets), sets, docs, width, percent, ws), ws)
-    first = _united(first, _verify(_scouts(sets, first), sets, docs, width, percent, ws), ws)
-    met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met")
-    likely = ws.write(_likeliest(_named(met, first)), "likeliest")
-    second = _united(first, _verify(likely, sets, docs, width, percent, ws), ws)
+    sets = ws.write(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct", files(total := rows.count()))
+    size = sets.count()  # files are counted by the rows that the writing tasks read
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return _verify(pairs, sets, docs, width, percent, ws)
+
+    first = _united(None, verified(ws.write(_relations(sets), "pairs", files(RELATIONS * size))), ws)
+    first = _united(first, verified(ws.write(_scouts(sets, first), "pairs", files(SCOUTS * size))), ws)
+    met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met", files(size, TEXTS_A_FILE))
+    asked = files(2 * met.count() + size)
+    likely = ws.write(_likeliest(_named(met, first)), "likeliest", asked)
+    second = _united(first, verified(likely), ws)
     left = _named(met, second).select("a", "b").join(likely, ["a", "b"], "left_anti")
-    joined = _united(second, _verify(left, sets, docs, width, percent, ws), ws)
+    joined = _united(second, verified(ws.write(left, "pairs", asked)), ws)
     of_set = sets.join(joined, sets["id"] == joined["node"], "left").select("sig", "rep", F.coalesce("root", "id").alias("root"))
     least = of_set.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = ws.write(of_set.join(least, "root").select(F.col("sig").alias("s"), "component_id"), "named")
+    named = ws.write(of_set.join(least, "root").select(F.col("sig").alias("s"), "component_id"), "named", files(size))
     out = rows.join(named, (F.col("sig") == F.col("s")) & (F.col("n") > 0), "left")
     return out.select(
         "doc_id", "of_text", "n",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    ), total
 
 
 def one_of_each(docs: DataFrame, ws: Workspace, width: int, percent: int) -> DataFrame:
@@ -410,11 +421,12 @@ def one_of_each(docs: DataFrame, ws: Workspace, width: int, percent: int) -> Dat
     Rows are told apart by id and text, so of an id with two texts only the copy goes. Repeated rows become one;
     rows without an id all stay, rows without a shingle too, but for repetitions. Null texts count as empty; the rules of ``groups`` for all else.
     """
-    found = _grouped(docs, ws, width, percent).filter("doc_id is not null")
+    found, total = _grouped(docs, ws, width, percent)
+    found = found.filter("doc_id is not null")
     chosen = found.filter("n > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "of_text")).alias("row")).select("row.*")
-    keep = ws.write(chosen.unionByName(found.filter("n = 0").select("doc_id", "of_text").distinct()), "kept")
+    keep = ws.write(chosen.unionByName(found.filter("n = 0").select("doc_id", "of_text").distinct()), "kept", files(total))
     keep = keep.select(F.col("doc_id").alias("_id"), F.col("of_text").alias("_text"))
     of_text = F.xxhash64(F.coalesce("text", F.lit("")))
     named = docs.withColumn("_of", of_text).join(keep, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_of") == F.col("_text")), "left_semi")
-    named = named.dropDuplicates(["doc_id", "_of"])
+    named = named.dropDuplicates(["doc_id", "_of"]).coalesce(files(keep.count(), TEXTS_A_FILE))
     return named.select(docs.columns).unionByName(docs.filter("doc_id is null"))
