@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, mix, text_ranges
 from tidemark.llm.components import stars
-from tidemark.session import TEXTS_A_FILE, Workspace, files
+from tidemark.session import SETS_A_FILE, TEXTS_A_FILE, Workspace, files
 
 SLOT_BITS, CHUNKS, MINIMA, RELATIONS, MEMBER_BLOCK, LIST_BLOCK = 22, 64, 16, 3, 256, 64
 #: Further minima by which groups meet, and how many of all minima two sets share at least to be compared for it.
@@ -187,7 +187,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
     texts = documents(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("id", "sig", "text")
     # an id that repeats with another text is not the set looked for
     arrays = texts.mapInPandas(gather, "id long, same boolean, found binary").filter("same").select("id", "found")
-    if (few := files(2 * met_pairs, TEXTS_A_FILE)) < ws.parts:  # the texts stay where they are, only the sets asked for go to fewer tasks
+    if (few := files(2 * met_pairs, SETS_A_FILE)) < ws.parts:  # the texts stay where they are, only the sets asked for go to fewer tasks
         arrays = arrays.repartition(few)
     arrays = ws.write(arrays, "shingles")
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).cast("int").alias("blocks"))
@@ -209,7 +209,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, perc
                         out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return ws.write(met.mapInPandas(compare, "a long, b long"), "links", files(met_pairs, TEXTS_A_FILE))
+    return ws.write(met.mapInPandas(compare, "a long, b long"), "links", files(met_pairs, SETS_A_FILE))
 
 
 def _united(known: DataFrame | None, links: DataFrame, ws: Workspace) -> DataFrame:
@@ -399,7 +399,7 @@ def _grouped(docs: DataFrame, ws: Workspace, width: int, percent: int) -> tuple[
 
     first = _united(None, verified(ws.write(_relations(sets), "pairs", files(RELATIONS * size))), ws)
     first = _united(first, verified(ws.write(_scouts(sets, first), "pairs", files(SCOUTS * size))), ws)
-    met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met", files(size, TEXTS_A_FILE))
+    met = ws.write(_candidates(docs, sets, first, _levels(summaries), width, percent), "met", files(size, SETS_A_FILE))
     asked = files(2 * met.count() + size)
     likely = ws.write(_likeliest(_named(met, first)), "likeliest", asked)
     second = _united(first, verified(likely), ws)
