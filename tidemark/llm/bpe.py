@@ -125,7 +125,7 @@ class Codec:
 
 @functools.lru_cache(maxsize=1)
 def codec_of(model: str, pattern: str) -> Codec:
-    """One codec per worker, so what it remembers serves all its tasks."""
+    """One codec per worker, for as long as a task runs."""
     return Codec(model, pattern)
 
 
@@ -187,9 +187,12 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = codec_of(model.value, pattern)
-        for batch in batches:
-            joined = [codec.decode([] if ids is None else list(ids)) for ids in batch["ids"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "decoded": joined, "text": [b.decode("utf-8", "replace") for b in joined]})
+        try:
+            for batch in batches:
+                joined = [codec.decode([] if ids is None else list(ids)) for ids in batch["ids"]]
+                yield pd.DataFrame({"doc_id": batch["doc_id"], "decoded": joined, "text": [b.decode("utf-8", "replace") for b in joined]})
+        finally:
+            codec_of.cache_clear()
 
     return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, decoded binary, text string")
 
@@ -203,16 +206,19 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = codec_of(model.value, pattern)
-        for batch in batches:
-            texts = list(batch["text"])
-            rows = []
-            for a, b in batches_of(texts, 2_000_000):
-                for shown, doc_id in zip(codec.prepare(texts[a:b]), batch["doc_id"].iloc[a:b], strict=True):
-                    listed = ",".join(shown)
-                    n = listed.count(",") + 1 if listed else 0
-                    decoded = b"".join(map(codec.back.__getitem__, shown))
-                    rows.append((doc_id, n, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+        try:
+            for batch in batches:
+                texts = list(batch["text"])
+                rows = []
+                for a, b in batches_of(texts, 2_000_000):
+                    for shown, doc_id in zip(codec.prepare(texts[a:b]), batch["doc_id"].iloc[a:b], strict=True):
+                        listed = ",".join(shown)
+                        n = listed.count(",") + 1 if listed else 0
+                        decoded = b"".join(map(codec.back.__getitem__, shown))
+                        rows.append((doc_id, n, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+                yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+        finally:
+            codec_of.cache_clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
